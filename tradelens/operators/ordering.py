@@ -70,9 +70,11 @@ def _cuts(df: DataFrame, order_by: list[str], ranks: Callable[[Column], Column])
     return found.agg(F.array_sort(F.collect_list(F.struct(*order_by)))).scalar()
 
 
-def _keys_below(cuts: Column, order_by: list[str]) -> Column:
-    key = F.struct(*order_by)
-    return F.size(F.filter(cuts, lambda cut: cut < key))
+def cuts_below(df: DataFrame, name: str, cuts: Column, key: Column) -> DataFrame:
+    """Adds 1 + the number of ``cuts`` (a scalar array) that lie below ``key``."""
+    placed = df.withColumns({"_cuts": cuts, "_key": key})
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
+    return placed.withColumn(name, below + 1).drop("_cuts", "_key")
 
 
 def ntile(df: DataFrame, buckets: int, order_by: list[str], name: str, small: bool) -> DataFrame:
@@ -89,7 +91,7 @@ def ntile(df: DataFrame, buckets: int, order_by: list[str], name: str, small: bo
         return F.array(*[F.lit(b) * big + F.least(F.lit(b), rest) for b in range(1, buckets)])
 
     cuts = _cuts(df, order_by, last_of_each)
-    return df.withColumn(name, (_keys_below(cuts, order_by) + 1).cast("int"))
+    return cuts_below(df, name, cuts, F.struct(*order_by))
 
 
 def rank_bins(df: DataFrame, bins: int, order_by: list[str], name: str, small: bool) -> DataFrame:
@@ -108,7 +110,7 @@ def rank_bins(df: DataFrame, bins: int, order_by: list[str], name: str, small: b
                 .withColumn(name, F.size(F.filter("_edges", lambda e: e < F.col("_place"))) + 1)
                 .drop("_place", "_edges"))
     cuts = _cuts(df, order_by, last_of_each)
-    return df.withColumn(name, (_keys_below(cuts, order_by) + 1).cast("int"))
+    return cuts_below(df, name, cuts, F.struct(*order_by))
 
 
 def number_within(df: DataFrame, parent: str, order_by: list[str], name: str,

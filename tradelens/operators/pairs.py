@@ -101,13 +101,17 @@ def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str) -> Da
     cut = cut.join(spans.where("lo < hi").select("g"), "g", "left_semi")
 
     def across(pieces: pd.DataFrame) -> pd.DataFrame:
-        counts = pieces.pivot_table(index="part", columns="a", values="n", fill_value=0,
-                                    aggfunc="sum", dropna=False).sort_index().astype("int64")
-        before = counts.cumsum() - counts
-        product = before.T.astype(object).dot(counts.astype(object))
-        product.index.name, product.columns.name = "a", "b"
-        long = product.stack().rename("n").reset_index()
-        return long[long["n"] > 0].astype({"n": "int64"})
+        import numpy as np
+
+        parts, row = np.unique(pieces["part"], return_inverse=True)  # ascending
+        names, column = np.unique(pieces["a"], return_inverse=True)
+        counts = np.zeros((len(parts), len(names)), dtype=object)
+        np.add.at(counts, (row, column), pieces["n"].to_numpy(dtype=object))
+        before = np.cumsum(counts, axis=0) - counts
+        product = before.T.dot(counts)
+        return pd.DataFrame([(names[a], names[b], int(n))
+                             for (a, b), n in np.ndenumerate(product) if n],
+                            columns=["a", "b", "n"])
 
     border = cut.groupBy("g").applyInPandas(across, "a string, b string, n bigint")
     return inside.unionByName(border).groupBy("a", "b").agg(F.sum("n").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.operators.ordering import rows_at_ranks
+from tradelens.operators.ordering import cuts_below, rows_at_ranks
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], small: bool,
@@ -53,5 +53,4 @@ def quantile_bins(df: DataFrame, value: str, bins: int, name: str, small: bool)
     """
     probs = [e / bins for e in range(1, bins)]
     edges = exact_quantiles(df, value, probs, small).scalar()
-    here = F.col(value).cast("double")
-    return df.withColumn(name, (F.size(F.filter(edges, lambda e: e < here)) + 1).cast("int"))
+    return cuts_below(df, name, edges, F.col(value).cast("double"))
