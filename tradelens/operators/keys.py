@@ -14,10 +14,14 @@ def duplicate_keys(df: DataFrame, keys: list[str], count_name: str = "cnt") -> D
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str,
-            parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key no parent row has."""
+            parent_key: str | None = None, parent_is_unique: bool = True) -> DataFrame:
+    """Child rows whose key no parent row has.
+
+    A parent in which a key may repeat is reduced to its keys first, on the map side as well, so
+    a hot key does not travel.
+    """
     keys = parent.select(F.col(parent_key or child_key).alias(child_key))
-    return child.join(keys, child_key, "left_anti")
+    return child.join(keys if parent_is_unique else keys.distinct(), child_key, "left_anti")
 
 
 def sample_rows(df: DataFrame, rows: int, key: str, seed: int) -> DataFrame:

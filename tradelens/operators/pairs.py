@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.session import materialise
+from tradelens.session import materialise, shuffle_width
 
 
 def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str) -> DataFrame:
@@ -19,7 +19,7 @@ def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str) -> Da
     running count per label. A group cut by a partition border is hot or at the border; those
     leave label counts per piece, from which the pairs across pieces follow.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = shuffle_width(df.sparkSession)
     ranged = (df.select(F.col(group).cast("bigint").alias("g"), F.col(order).alias("o"),
                         F.col(label).alias("label"))
               .repartitionByRange(parts, "g", "o").sortWithinPartitions("g", "o")

@@ -21,9 +21,7 @@ def whole() -> WindowSpec:
 
 
 def orders_in(tables: Tables, statuses: list[str], *columns: str) -> DataFrame:
-    wanted = [*columns] + ([] if "status" in columns else ["status"])
-    orders = tables.orders(*wanted).where(F.col("status").isin(statuses))
-    return orders.select(*columns)
+    return tables.orders(*columns, statuses=statuses)
 
 
 def delivered(tables: Tables, *columns: str) -> DataFrame:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.functions.labels import year_month
 from tradelens.functions.numeric import money, percent, ratio, total
-from tradelens.plans.common import CANCELLED, DELIVERED, RETURNED, order_count
+from tradelens.plans.common import CANCELLED, DELIVERED, RETURNED, delivered, order_count
 from tradelens.plans.overview import category_performance
 from tradelens.sources.tables import Tables
 
@@ -51,16 +52,25 @@ class SlicedTables(Tables):
         return self._base.row_count(name)  # an upper bound
 
     def customers(self, *columns: str) -> DataFrame:
-        return self._narrow(self._base.customers, columns, self._in("segment", self._s.segments))
+        names = columns or tuple(self.columns("customers"))
+        return self._narrow(self._base.customers, names, self._in("segment", self._s.segments))
 
     def products(self, *columns: str) -> DataFrame:
-        return self._narrow(self._base.products, columns, self._in("category", self._s.categories))
+        names = columns or tuple(self.columns("products"))
+        return self._narrow(self._base.products, names, self._in("category", self._s.categories))
 
     def _in(self, column: str, chosen) -> dict[str, Column]:
         return {} if chosen is None else {column: F.col(column).isin(list(chosen))}
 
-    def _narrow(self, read, columns, tests: dict[str, Column]) -> DataFrame:
-        names = columns or tuple(self.columns(read.__name__.removeprefix("raw_")))
+    def _both(self, statuses: list[str] | None) -> list[str] | None:
+        """Statuses that the caller wants and the slicer allows."""
+        chosen = self._s.statuses
+        if statuses is None or chosen is None:
+            return statuses if chosen is None else list(chosen)
+        return [s for s in statuses if s in chosen]
+
+    @staticmethod
+    def _narrow(read, names: tuple[str, ...], tests: dict[str, Column]) -> DataFrame:
         df = read(*dict.fromkeys([*names, *tests]))
         for test in tests.values():
             df = df.where(test)
@@ -68,8 +78,7 @@ class SlicedTables(Tables):
 
     def _order_tests(self) -> dict[str, Column]:
         s, day = self._s, F.col("order_date")
-        tests = {**self._in("state", s.states), **self._in("status", s.statuses),
-                 **self._in("channel", s.channels)}
+        tests = {**self._in("state", s.states), **self._in("channel", s.channels)}
         when = [day >= F.lit(s.date_from)] if s.date_from else []
         when += [day <= F.lit(s.date_to)] if s.date_to else []
         when += [F.year(day).isin(list(s.years))] if s.years is not None else []
@@ -80,16 +89,16 @@ class SlicedTables(Tables):
             tests["order_date"] = test
         return tests
 
-    def raw_orders(self, *columns: str) -> DataFrame:
+    def raw_orders(self, *columns: str, statuses: list[str] | None = None) -> DataFrame:
         names = columns or tuple(self.columns("orders"))
         links = (["customer_id"] if self._s.segments is not None else []) \
             + (["order_id"] if self._s.categories is not None else [])
-        df = self._narrow(self._base.raw_orders, tuple(dict.fromkeys([*names, *links])),
-                          self._order_tests())
+        read = partial(self._base.raw_orders, statuses=self._both(statuses))
+        df = self._narrow(read, tuple(dict.fromkeys([*names, *links])), self._order_tests())
         if self._s.segments is not None:
             df = df.join(self.customers("customer_id"), "customer_id", "left_semi")
         if self._s.categories is not None:
-            df = df.join(self._chosen_lines("order_id"), "order_id", "left_semi")
+            df = df.join(self._chosen_lines("order_id").distinct(), "order_id", "left_semi")
         return df.select(*names)
 
     def _chosen_lines(self, *columns: str) -> DataFrame:
@@ -100,7 +109,8 @@ class SlicedTables(Tables):
         return lines.select(*names)
 
     def _of_kept_orders(self, df: DataFrame, names: tuple[str, ...]) -> DataFrame:
-        if self._order_tests() or self._s.segments is not None or self._s.categories is not None:
+        s = self._s
+        if self._order_tests() or any(x is not None for x in (s.statuses, s.segments, s.categories)):
             df = df.join(self.raw_orders("order_id"), "order_id", "left_semi")
         return df.select(*names)
 
@@ -120,11 +130,12 @@ def sliced(tables: Tables, slicers: Slicers) -> Tables:
 
 # -- the five measures -------------------------------------------------------------------------
 
-def _in_context(tables: Tables, by: list[str], *columns: str) -> DataFrame:
+def _in_context(tables: Tables, by: list[str], *columns: str,
+                statuses: list[str] | None = None) -> DataFrame:
     """Orders with the columns of the visual; the customer's segment is looked up when asked."""
     own = [c for c in by if c != "segment"]
     link = ["customer_id"] if "segment" in by else []
-    orders = tables.orders(*dict.fromkeys([*own, *columns, *link, "status"]))
+    orders = tables.orders(*dict.fromkeys([*own, *columns, *link, "status"]), statuses=statuses)
     if "segment" in by:
         orders = orders.join(tables.customers("customer_id", "segment"), "customer_id")
     return orders
@@ -135,7 +146,7 @@ def _delivered_amount() -> Column:
 
 
 def total_revenue(tables: Tables, by: list[str] = ()) -> DataFrame:
-    return _in_context(tables, by, "total_amount").where(F.col("status") == DELIVERED) \
+    return _in_context(tables, by, "total_amount", statuses=[DELIVERED]) \
         .groupBy(*by).agg(total("total_amount").alias("total_revenue"))
 
 
@@ -177,8 +188,8 @@ def page_cards(tables: Tables) -> DataFrame:
 
 
 def revenue_by_month(tables: Tables) -> DataFrame:
-    months = tables.orders("order_date", "status", "total_amount") \
-        .where(F.col("status") == DELIVERED).groupBy(F.trunc("order_date", "month").alias("m")) \
+    months = delivered(tables, "order_date", "total_amount") \
+        .groupBy(F.trunc("order_date", "month").alias("m")) \
         .agg(F.sum("total_amount").alias("revenue"))
     return months.select(year_month("m").alias("year_month"), money("revenue").alias("revenue"))
 

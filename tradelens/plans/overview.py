@@ -126,22 +126,34 @@ def discount_bands(tables: Tables) -> DataFrame:
         .orderBy(F.desc("total_revenue"), "discount_band")
 
 
-def headline_stats(tables: Tables) -> DataFrame:
-    """Delivered revenue figures, and status rates over all orders."""
-    orders = tables.orders("customer_id", "status", "total_amount")
+_HEADLINE = ["total_revenue", "total_orders", "avg_order_value", "unique_customers",
+             "cancellation_pct", "return_pct"]
+
+
+def _headline(tables: Tables) -> DataFrame:
+    """One pass over the orders, summed per customer so that customers need no distinct count."""
+    orders = tables.orders("customer_id", "status", "total_amount", "discount_pct")
     done = F.col("status") == DELIVERED
+    discount = F.when(done, F.col("discount_pct"))
     per_customer = orders.groupBy("customer_id").agg(
         order_count().alias("n"), F.count_if(done).alias("orders"),
         F.sum(F.when(done, F.col("total_amount"))).alias("revenue"),
         F.count_if(F.col("status") == CANCELLED).alias("cancelled"),
-        F.count_if(F.col("status") == RETURNED).alias("returned"))
+        F.count_if(F.col("status") == RETURNED).alias("returned"),
+        F.sum(discount).alias("discount"), F.count(discount).alias("discounts"))
     return per_customer.agg(
         total("revenue").alias("total_revenue"),
         F.coalesce(F.sum("orders"), F.lit(0)).alias("total_orders"),
         ratio(F.sum("revenue"), F.sum("orders"), 2).alias("avg_order_value"),
         F.count(F.when(F.col("orders") > 0, F.col("customer_id"))).alias("unique_customers"),
         percent(F.sum("cancelled"), F.sum("n"), 4).alias("cancellation_pct"),
-        percent(F.sum("returned"), F.sum("n"), 4).alias("return_pct"))
+        percent(F.sum("returned"), F.sum("n"), 4).alias("return_pct"),
+        percent(F.sum("discount"), F.sum("discounts"), 4).alias("avg_discount_pct"))
+
+
+def headline_stats(tables: Tables) -> DataFrame:
+    """Delivered revenue figures, and status rates over all orders."""
+    return _headline(tables).select(*_HEADLINE)
 
 
 def revenue_by_segment(tables: Tables) -> DataFrame:
@@ -189,11 +201,8 @@ def revenue_by_payment(tables: Tables) -> DataFrame:
 
 def dashboard_kpis(tables: Tables) -> DataFrame:
     """The summary page's tiles; the margin is computed, not assumed."""
-    discount = delivered(tables, "discount_pct").agg(
-        half_up(F.avg("discount_pct") * 100, 4).alias("avg_discount_pct")).scalar()
     margin = gross_margin(tables).select("gross_margin_pct").scalar()
-    return headline_stats(tables).withColumns(
-        {"avg_discount_pct": discount, "gross_margin_pct": margin})
+    return _headline(tables).withColumn("gross_margin_pct", margin)
 
 
 def state_analysis(tables: Tables, top: int | None = None) -> DataFrame:

@@ -79,7 +79,8 @@ def orphan_items(tables: Tables) -> DataFrame:
 
 
 def orders_without_items(tables: Tables) -> DataFrame:
-    return orphans(tables.raw_orders("order_id"), tables.order_items("order_id"), "order_id")
+    return orphans(tables.raw_orders("order_id"), tables.order_items("order_id"), "order_id",
+                   parent_is_unique=False)
 
 
 def order_totals(tables: Tables) -> DataFrame:
@@ -104,8 +105,7 @@ def line_revenue(tables: Tables) -> DataFrame:
 
 def returned_orders(tables: Tables) -> DataFrame:
     """The orders a return belongs to, with the return's date where one is recorded."""
-    orders = tables.raw_orders("order_id", "customer_id", "order_date", "status") \
-        .where(F.col("status") == RETURNED).drop("status")
+    orders = tables.raw_orders("order_id", "customer_id", "order_date", statuses=[RETURNED])
     returns = tables.returns("order_id", "return_date")
     days = F.datediff("return_date", "order_date").cast("bigint")
     return orders.join(returns, "order_id", "left").withColumn("days_to_return", days)

@@ -38,53 +38,62 @@ def _values_by_segment(tables: Tables, segments: list[str]) -> DataFrame:
         "segment", real("total_amount").alias("x"))
 
 
+def _quantiles_of_values(values: DataFrame, probs: list[float], small: bool) -> Column:
+    """To be used in an aggregate over ``values``: in the same pass when few, else looked up."""
+    if small:
+        return F.percentile("x", F.array(*map(F.lit, probs)))
+    return exact_quantiles(values, "x", probs, small).scalar()
+
+
 def order_value_describe(tables: Tables, small_rows: int = SMALL_ROWS) -> DataFrame:
     values = _values(tables)
-    quartiles = exact_quantiles(values, "x", [0.25, 0.5, 0.75], _is_small(tables, small_rows))
-    q = quartiles.scalar()
+    quartiles = _quantiles_of_values(values, [0.25, 0.5, 0.75], _is_small(tables, small_rows))
     return values.agg(
         F.count("x").alias("count"), half_up(F.avg("x"), 2).alias("mean"),
         half_up(F.stddev_samp("x"), 2).alias("std"), F.min("x").alias("min"),
-        F.max("x").alias("max"),
-    ).withColumns({name: half_up(F.get(q, F.lit(i)), 2)
-                   for i, name in enumerate(["p25", "p50", "p75"])})
-
-
-def _equal_width(values: DataFrame, bins: int) -> DataFrame:
-    """Rows per bin over [min, max]; the maximum belongs to the last bin. Empty bins included."""
-    span = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    put = values.select("x", span.alias("s")).withColumn("w", (F.col("s.hi") - F.col("s.lo")) / bins)
-    place = F.least(F.floor(F.try_divide(F.col("x") - F.col("s.lo"), F.col("w"))),
-                    F.lit(bins - 1))
-    counted = put.groupBy(F.coalesce(place, F.lit(0)).alias("bin")).agg(
+        F.max("x").alias("max"), quartiles.alias("q"),
+    ).withColumns({name: half_up(F.get("q", F.lit(i)), 2)
+                   for i, name in enumerate(["p25", "p50", "p75"])}).drop("q")
+
+
+def _equal_width(values: DataFrame, bins: int, **figures: Column) -> DataFrame:
+    """Rows per bin over [min, max], empty bins included; the maximum belongs to the last bin.
+
+    Two passes: one for the range (and further ``figures`` of all values), one to count.
+    """
+    summary = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"),
+                         F.count("x").alias("total"),
+                         *[figure.alias(name) for name, figure in figures.items()])
+    summary = summary.withColumn("w", (F.col("hi") - F.col("lo")) / bins)
+    scale = summary.select(F.struct("lo", "w")).scalar()
+    steps = F.try_divide(F.col("x") - F.col("s.lo"), F.col("s.w"))
+    place = F.coalesce(F.least(F.floor(steps), F.lit(bins - 1)), F.lit(0))
+    counted = values.select("x", scale.alias("s")).groupBy(place.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
-    edges = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"),
-                       F.count("x").alias("total")).where("total > 0")
-    edges = edges.withColumn("w", (F.col("hi") - F.col("lo")) / bins).withColumn(
-        "bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))))
-    return edges.join(counted, "bin", "left").na.fill(0, ["n"])
+    every_bin = F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))
+    return summary.where("total > 0").withColumn("bin", F.explode(every_bin)) \
+        .join(counted, "bin", "left").na.fill(0, ["n"])
 
 
 def order_value_histogram(tables: Tables, bins: int = BINS,
                           small_rows: int = SMALL_ROWS) -> DataFrame:
     values = _values(tables)
-    median = exact_quantiles(values, "x", [0.5], _is_small(tables, small_rows)).scalar()
-    mean = values.agg(F.avg("x")).scalar()
+    median = _quantiles_of_values(values, [0.5], _is_small(tables, small_rows))
     lower = F.col("lo") + F.col("bin") * F.col("w")
-    return _equal_width(values, bins).select(
+    return _equal_width(values, bins, mean=F.avg("x"), median=median).select(
         "bin", half_up(lower, 4).alias("lower"), half_up(lower + F.col("w"), 4).alias("upper"),
-        F.col("n").alias("orders"), half_up(mean, 2).alias("mean"),
-        half_up(F.get(median, F.lit(0)), 2).alias("median"))
+        F.col("n").alias("orders"), half_up(F.col("mean"), 2).alias("mean"),
+        half_up(F.get("median", F.lit(0)), 2).alias("median"))
 
 
 def order_value_density(tables: Tables, bins: int = BINS, grid: int = GRID) -> DataFrame:
     """Gaussian density curve from bin counts, Scott bandwidth; cost is bins x grid points."""
-    values = _values(tables)
-    spread = values.agg(F.stddev_samp("x")).scalar()
-    binned = _equal_width(values, bins).groupBy("lo", "hi", "w", "total").agg(
+    bars = _equal_width(_values(tables), bins, spread=F.stddev_samp("x"))
+    curve = bars.groupBy("lo", "hi", "w", "total", "spread").agg(
         F.collect_list(F.struct("bin", "n")).alias("bars"))
-    binned = binned.withColumn("h", spread * F.pow(F.col("total").cast("double"), F.lit(-0.2)))
-    points = binned.withColumn("point", F.explode(
+    curve = curve.withColumn(
+        "h", F.col("spread") * F.pow(F.col("total").cast("double"), F.lit(-0.2)))
+    points = curve.withColumn("point", F.explode(
         F.sequence(F.lit(0).cast("bigint"), F.lit(grid - 1).cast("bigint"))))
     points = points.withColumn(
         "x", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("point") / (grid - 1))
@@ -137,12 +146,18 @@ def customer_features(tables: Tables) -> DataFrame:
         half_up(F.col("avg_discount"), 6).alias("avg_discount"), "segment")
 
 
+def _pearson(a: Column, b: Column) -> Column:
+    """Pearson's r as an aggregate; NULL when either side is constant."""
+    spread = F.stddev_pop(a) * F.stddev_pop(b)
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def customer_correlations(tables: Tables) -> DataFrame:
     """Pearson correlations below the diagonal, in long form, from one pass."""
     pairs = [(b, a) for a, b in combinations(FEATURES, 2)]
     labels = [f"{row}|{column}" for row, column in pairs]
     wide = _features(tables).select(*[real(c).alias(c) for c in FEATURES]).agg(
-        *[F.corr(*pair).alias(label) for pair, label in zip(pairs, labels)])
+        *[_pearson(*map(F.col, pair)).alias(label) for pair, label in zip(pairs, labels)])
     return wide.unpivot([], labels, "label", "value").select(
         F.split_part("label", F.lit("|"), F.lit(1)).alias("row_feature"),
         F.split_part("label", F.lit("|"), F.lit(2)).alias("column_feature"),
@@ -224,8 +239,10 @@ def discount_ttest(tables: Tables) -> DataFrame:
 def pearson_test(tables: Tables) -> DataFrame:
     """Correlation of a customer's order count with spend; no judgement on its strength."""
     fit = _features(tables).agg(F.count(F.lit(1)).alias("n"),
-                                F.corr(real("orders"), F.col("revenue")).alias("r"))
+                                _pearson(real("orders"), F.col("revenue")).alias("r"))
     free = real(F.col("n") - 2)
     t = F.col("r") * F.sqrt(F.try_divide(free, 1 - F.col("r") * F.col("r")))
-    return fit.withColumn("p", t_two_sided(t, free)).select(
+    certain = (F.abs("r") >= 1) & (free > 0)
+    p = F.when(certain, 0.0).otherwise(t_two_sided(t, free))
+    return fit.withColumn("p", p).select(
         "n", half_up(F.col("r"), 6).alias("r"), half_up(F.col("p"), 6).alias("p_value"))

@@ -37,6 +37,23 @@ def local_session(cores: str = "*", app: str = "tradelens", **conf: str) -> Spar
     return tune(builder.getOrCreate())
 
 
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """Partitions a shuffle starts with; AQE merges small ones afterwards."""
+    return int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Start shuffles wide enough for the input; never narrower than the session has it."""
+    wanted = min(-(-input_bytes // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    if wanted > shuffle_width(spark):
+        spark.conf.set(_INITIAL, str(wanted))
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir():

@@ -68,13 +68,16 @@ class Tables:
     def products(self, *columns: str) -> DataFrame:
         return self._pick("products", columns)
 
-    def raw_orders(self, *columns: str) -> DataFrame:
-        """Orders as stored, with missing totals left missing."""
-        return self._pick("orders", columns)
-
-    def orders(self, *columns: str) -> DataFrame:
+    def raw_orders(self, *columns: str, statuses: list[str] | None = None) -> DataFrame:
+        """Orders as stored, with missing totals left missing; of some statuses if given."""
+        df = self._frames["orders"]
+        if statuses is not None:
+            df = df.where(F.col("status").isin(statuses))
+        return df.select(*columns) if columns else df
+
+    def orders(self, *columns: str, statuses: list[str] | None = None) -> DataFrame:
         """Orders with missing totals read as zero; every analysis but the null audit uses this."""
-        return fill_totals(self.raw_orders(*columns))
+        return fill_totals(self.raw_orders(*columns, statuses=statuses))
 
     def order_items(self, *columns: str) -> DataFrame:
         if LINE_SEQ in columns:
@@ -96,6 +99,11 @@ class Tables:
             self._counts[name] = self._frames[name].count()
         return self._counts[name]
 
+    def input_bytes(self) -> int:
+        """Size of the stored tables as Spark estimates it from the files."""
+        return sum(int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+                   for frame in self._frames.values())
+
 
 def fill_totals(orders: DataFrame) -> DataFrame:
     if "total_amount" not in orders.columns:
