@@ -231,6 +231,15 @@ SELECT payment_mode, {money('sum(total_amount)')} AS revenue FROM done GROUP BY
     "dashboard_kpis": query(f"""
 SELECT head.*, (SELECT {half_up('100 * avg(discount_pct)', 4)} FROM done) AS avg_discount_pct,
        (SELECT gross_margin_pct FROM margin) AS gross_margin_pct FROM head""", _HEAD, _MARGIN),
+    "kpi_tiles": query("""
+SELECT unnest(['Total Revenue', 'Total Orders', 'Avg Order Value', 'Unique Customers',
+               'Return Rate', 'Cancel Rate', 'Avg Discount', 'Gross Margin']) AS tile,
+       unnest(['\u20b9' || format('{:,.0f}', total_revenue), format('{:,}', total_orders),
+               '\u20b9' || format('{:,.0f}', avg_order_value), format('{:,}', unique_customers),
+               format('{:.1f}%', return_pct), format('{:.1f}%', cancellation_pct),
+               format('{:.1f}%', (SELECT 100 * avg(discount_pct) FROM done)),
+               format('{:.1f}%', (SELECT gross_margin_pct FROM margin))]) AS value
+FROM head""", _HEAD, _MARGIN),
     "state_analysis": query(_STATE_REPORT, _STATE),
     "state_analysis_top8": query(_STATE_REPORT + " ORDER BY revenue DESC, state LIMIT 8", _STATE),
 }

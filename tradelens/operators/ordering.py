@@ -70,7 +70,7 @@ def _cuts(df: DataFrame, order_by: list[str], ranks: Callable[[Column], Column])
 
 
 def cuts_below(df: DataFrame, name: str, cuts: Column, key: Column) -> DataFrame:
-    """Adds 1 + the number of ``cuts`` (a scalar array) that lie below ``key``."""
+    """Adds 1 + the number of ``cuts`` (one array, the same for every row) that lie below ``key``."""
     placed = df.withColumns({"_cuts": cuts, "_key": key})
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
     return placed.withColumn(name, below + 1).drop("_cuts", "_key")

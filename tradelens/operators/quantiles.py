@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.operators.ordering import cuts_below, rows_at_ranks
@@ -52,5 +52,9 @@ def quantile_bins(df: DataFrame, value: str, bins: int, name: str, small: bool)
     Repeated edges simply leave bins empty.
     """
     probs = [e / bins for e in range(1, bins)]
-    edges = exact_quantiles(df, value, probs, small).scalar()
+    if small:
+        marks = F.array(*map(F.lit, probs))
+        edges = F.percentile(F.col(value).cast("double"), marks).over(Window.partitionBy())
+    else:
+        edges = exact_quantiles(df, value, probs, small).scalar()
     return cuts_below(df, name, edges, F.col(value).cast("double"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.functions.labels import year_month
@@ -33,20 +35,26 @@ def cohort_retention(tables: Tables, limit: int | None = 50) -> DataFrame:
     return report if limit is None else report.limit(limit)
 
 
+def _place_in_time(day: str, key: str) -> Column:
+    """One number that orders by day, then by key; unlike a struct it fits a hash aggregate."""
+    return F.unix_date(day).cast("decimal(10,0)") * F.lit(Decimal(10) ** 19) \
+        + F.col(key).cast("decimal(19,0)")
+
+
 def new_vs_repeat(tables: Tables) -> DataFrame:
     """First delivered order of each customer against all later ones; same-day ties by order_id.
 
-    One aggregate per customer finds the first order (smallest date, then key), so a customer
-    with very many orders is never sorted in one place.
+    One aggregate per customer finds the first order, so a customer with very many orders is
+    never sorted in one place.
     """
     orders = delivered(tables, "customer_id", "order_date", "order_id", "total_amount")
-    first = F.min(F.struct("order_date", "order_id", "total_amount")).alias("first")
+    first = F.min_by("total_amount", _place_in_time("order_date", "order_id"))
     per_customer = orders.groupBy("customer_id").agg(
-        first, order_count().alias("n"), F.sum("total_amount").alias("spent"))
+        first.alias("first"), order_count().alias("n"), F.sum("total_amount").alias("spent"))
     sums = per_customer.agg(
-        F.count(F.lit(1)).alias("new_n"), F.sum("first.total_amount").alias("new_sum"),
+        F.count(F.lit(1)).alias("new_n"), F.sum("first").alias("new_sum"),
         F.sum(F.col("n") - 1).alias("rep_n"),
-        F.sum(F.col("spent") - F.col("first.total_amount")).alias("rep_sum"))
+        F.sum(F.col("spent") - F.col("first")).alias("rep_sum"))
     rows = F.explode(F.array(
         F.struct(F.lit("New Customer").alias("customer_type"), F.col("new_n").alias("orders"),
                  F.col("new_sum").alias("amount")),

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradelens.functions.display import currency, percent_text, thousands
 from tradelens.plans import overview, rfm, trends
 from tradelens.sources import schema
 from tradelens.sources.tables import Tables
@@ -33,9 +34,27 @@ def data_dictionary(tables: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(name) for name in schema.TABLE_NAMES])
 
 
+def kpi_tiles(tables: Tables) -> DataFrame:
+    """The summary page's tiles as (tile, value), the values as they are printed."""
+    tiles = {
+        "Total Revenue": currency("total_revenue"),
+        "Total Orders": thousands("total_orders"),
+        "Avg Order Value": currency("avg_order_value"),
+        "Unique Customers": thousands("unique_customers"),
+        "Return Rate": percent_text("return_pct"),
+        "Cancel Rate": percent_text("cancellation_pct"),
+        "Avg Discount": percent_text("avg_discount_pct"),
+        "Gross Margin": percent_text("gross_margin_pct"),
+    }
+    wide = overview.dashboard_kpis(tables).select(
+        *[text.alias(name) for name, text in tiles.items()])
+    return wide.unpivot([], list(tiles), "tile", "value")
+
+
 def dashboard(tables: Tables, **rfm_options) -> dict[str, DataFrame]:
     """The report's sections by name, each one a result of its own."""
     return {
+        "summary_tiles": kpi_tiles(tables),
         "summary_kpis": overview.dashboard_kpis(tables),
         "summary_months": trends.monthly_with_index(tables),
         "category_performance": overview.category_performance(tables),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,24 +55,28 @@ def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
         spark.conf.set(_INITIAL, str(wanted))
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def _shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session; a temporary one only where everything is local."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tradelens-"))
-    else:
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tradelens-"))
+    return context.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from there.
+    """Write ``df`` once to the shared folder and go on from the written table.
 
-    Used where two passes must see the very same partitions, which a recomputed
-    range shuffle would not promise.
+    Used where several passes must see the very same rows in the very same ranges, which a
+    recomputed range shuffle would not promise. The table outlives lost executors and goes away
+    with the session.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)

@@ -118,12 +118,8 @@ class StarTables(Tables):
             *[rules[c].alias(c) for c in columns or COLUMNS["products"]])
 
     def order_items(self, *columns: str) -> DataFrame:
-        lines = self._frames["lineitem"]
-        if not columns or "item_id" in columns:
-            small = self.row_count("order_items") <= SMALL_ROWS
-            lines = number_within(lines, "l_orderkey", LINE_ORDER, "line_no", small)
+        columns = columns or tuple(COLUMNS["order_items"])
         rules = {
-            "item_id": F.col("l_orderkey") * 1000 + F.col("line_no"),
             LINE_SEQ: F.struct(*LINE_ORDER),
             "order_id": F.col("l_orderkey"),
             "product_id": F.col("l_partkey"),
@@ -132,7 +128,15 @@ class StarTables(Tables):
             "discount_pct": F.col("l_discount"),
             "line_revenue": line_revenue(),
         }
-        return lines.select(*[rules[c].alias(c) for c in columns or COLUMNS["order_items"]])
+        lines = self._frames["lineitem"]
+        if "item_id" not in columns:
+            return lines.select(*[rules[c].alias(c) for c in columns])
+        wanted = dict.fromkeys(["order_id", *columns])
+        lines = lines.select(*LINE_ORDER, *[rules[c].alias(c) for c in wanted if c in rules])
+        small = self.row_count("order_items") <= SMALL_ROWS
+        numbered = number_within(lines, "order_id", LINE_ORDER, "line_no", small)
+        return numbered.withColumn("item_id", F.col("order_id") * 1000 + F.col("line_no")) \
+            .select(*columns)
 
     def order_totals(self) -> DataFrame:
         """Line revenue per order, summed before it meets the orders."""
