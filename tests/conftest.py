@@ -12,8 +12,9 @@ from tradelens.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("8", app="tests", spark__sql__shuffle__partitions="4")
+def spark(tmp_path_factory):
+    session = local_session("8", app="tests", spark__sql__shuffle__partitions="4",
+                            spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -397,6 +397,32 @@ def test_report_sections_are_written(spark, tmp_path):
         report.export_tables(t, str(tmp_path), "xlsx")
 
 
+def test_settled_orders_change_nothing(spark):
+    t = sales(spark)
+    settled = report.SettledOrders(t)
+    for name, section in report.dashboard(settled).items():
+        assert sorted(rows(section), key=str) == sorted(rows(report.dashboard(t)[name]), key=str)
+
+
+def test_catalog_tables_join_without_shuffle(spark):
+    from tradelens.sources.tables import Tables
+    t = sales(spark)
+    spark.sql("CREATE DATABASE IF NOT EXISTS shop")
+    for _ in range(2):
+        report.save_tables(t, "shop")
+    back = Tables.from_catalog(spark, "shop")
+    assert sorted(rows(back.returns()), key=str) == sorted(rows(t.returns()), key=str)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = back.order_items("order_id", "quantity").join(back.orders("order_id"), "order_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    spark.sql("DROP DATABASE shop CASCADE")
+
+
 # -- empty input -------------------------------------------------------------------------------
 
 EMPTY_SAFE = [

@@ -28,15 +28,15 @@ def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str) -> Da
     def within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
-        codes: dict = {}                      # label -> position in the count arrays
-        pairs = np.zeros((0, 0), dtype=object)
-        running = np.zeros(0, dtype=np.int64)  # labels seen so far in the open group
-        open_group, part, first_done = None, None, False
+        codes: dict = {}                        # label -> position in the count arrays
+        pairs = np.zeros((0, 0), dtype=np.int64)
+        running = np.zeros(0, dtype=np.int64)   # label counts of the open group so far
+        open_group, part, first_closed = None, None, False
         pieces = []
 
-        def leave_piece():
-            pieces.extend((int(open_group), part, name, int(running[code]))
-                          for name, code in codes.items() if running[code])
+        def leave_piece(counts):
+            pieces.extend((int(open_group), part, name, int(counts[code]))
+                          for name, code in codes.items() if counts[code])
 
         for batch in batches:
             if batch.empty:
@@ -45,48 +45,41 @@ def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str) -> Da
             local, names = pd.factorize(batch["label"], use_na_sentinel=False)
             known = np.array([codes.setdefault(None if pd.isna(x) else x, len(codes))
                               for x in names])
-            code = known[local]
-            size = len(codes)
-            if size > len(running):
-                wider = np.zeros((size, size), dtype=object)
-                wider[:len(pairs), :len(pairs)] = pairs
-                pairs = wider
-                running = np.concatenate(
-                    [running, np.zeros(size - len(running), dtype=np.int64)])
+            code, size = known[local], len(codes)
+            more = size - len(running)
+            running = np.pad(running, (0, more))
+            pairs = np.pad(pairs, ((0, more), (0, more)))
+
             groups = batch["g"].to_numpy()
-            starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
-            run = np.cumsum(np.r_[True, groups[1:] != groups[:-1]]) - 1  # group number in batch
-            continued = open_group is not None and groups[0] == open_group
-            if open_group is not None and not continued:
-                if not first_done:
-                    leave_piece()
-                    first_done = True
-                running[:] = 0
-            closing = np.zeros(size, dtype=np.int64)
-            for a in range(size):
+            new = np.r_[True, groups[1:] != groups[:-1]]
+            starts, run = np.flatnonzero(new), np.cumsum(new) - 1  # run: group number in batch
+            head, tail = run == 0, run == run[-1]
+            if open_group is not None and groups[0] != open_group:
+                if not first_closed:
+                    leave_piece(running)
+                    first_closed = True
+                running = np.zeros(size, dtype=np.int64)
+            open_group = groups[0]
+
+            for a in np.union1d(known, np.flatnonzero(running)):
                 here = code == a
                 before = np.cumsum(here) - here
-                since_start = before - before[starts][run]
-                since_start[run == 0] += running[a]
-                found = np.bincount(code, weights=since_start, minlength=size)
-                pairs[a] += found.astype(np.int64).astype(object)
-                closing[a] = (here & (run == run[-1])).sum()
+                earlier = before - before[starts][run] + np.where(head, running[a], 0)
+                found = np.bincount(code, weights=earlier, minlength=size)
+                pairs[a] += found.astype(np.int64)
+
+            running = running + np.bincount(code[head], minlength=size)
             if len(starts) > 1:
-                if not first_done:
-                    open_group = groups[0]
-                    for a in range(size):
-                        running[a] += ((code == a) & (run == 0)).sum()
-                    leave_piece()
-                    first_done = True
-                running = closing
-            else:
-                running = running + closing
+                if not first_closed:
+                    leave_piece(running)
+                    first_closed = True
+                running = np.bincount(code[tail], minlength=size)
             open_group = groups[-1]
         if open_group is not None:
-            leave_piece()
+            leave_piece(running)
         names = list(codes)
         inside = [(None, part, names[a], names[b], int(pairs[a, b]))
-                  for a in range(len(names)) for b in range(len(names)) if pairs[a, b]]
+                  for a, b in zip(*np.nonzero(pairs))]
         ends = [(g, p, name, None, n) for g, p, name, n in pieces]
         yield pd.DataFrame(inside + ends, columns=["g", "part", "a", "b", "n"]).astype(
             {"g": "Int64", "part": "Int64", "n": "Int64"})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.display import currency, percent_text, thousands
 from tradelens.plans import overview, rfm, trends
+from tradelens.session import materialise
 from tradelens.sources import schema
 from tradelens.sources.tables import Tables
 
@@ -51,8 +52,38 @@ def kpi_tiles(tables: Tables) -> DataFrame:
     return wide.unpivot([], list(tiles), "tile", "value")
 
 
+class SettledOrders(Tables):
+    """Tables whose orders were written once, for reports that read them many times."""
+
+    def __init__(self, base: Tables):
+        orders = materialise(base.raw_orders())
+        super().__init__({"orders": orders})
+        self._base = base
+
+    def columns(self, name: str) -> list[str]:
+        return self._base.columns(name)
+
+    def row_count(self, name: str) -> int:
+        return self._base.row_count(name)
+
+    def customers(self, *columns: str) -> DataFrame:
+        return self._base.customers(*columns)
+
+    def products(self, *columns: str) -> DataFrame:
+        return self._base.products(*columns)
+
+    def order_items(self, *columns: str) -> DataFrame:
+        return self._base.order_items(*columns)
+
+    def returns(self, *columns: str) -> DataFrame:
+        return self._base.returns(*columns)
+
+
 def dashboard(tables: Tables, **rfm_options) -> dict[str, DataFrame]:
-    """The report's sections by name, each one a result of its own."""
+    """The report's sections by name, each one a result of its own.
+
+    Most of them start from the orders; where those are derived, pass ``SettledOrders(tables)``.
+    """
     return {
         "summary_tiles": kpi_tiles(tables),
         "summary_kpis": overview.dashboard_kpis(tables),
