@@ -260,12 +260,12 @@ _MATRIX = "matrix AS (SELECT year, " + ", ".join(
 
 TRENDS = {
     "order_calendar": query("""
-SELECT order_id, order_date, CAST(year(order_date) AS INTEGER) AS year,
-       CAST(month(order_date) AS INTEGER) AS month, strftime(order_date, '%Y-%m') AS year_month,
+SELECT ord.* REPLACE (CAST(total_amount AS DOUBLE) AS total_amount),
+       CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month, strftime(order_date, '%Y-%m') AS year_month,
        concat(year(order_date), 'Q', quarter(order_date)) AS quarter, dayname(order_date) AS dow
 FROM ord"""),
     "order_detail": query(f"""
-SELECT order_id, product_id, customer_id, order_date, status,
+SELECT item_id, order_id, product_id, customer_id, order_date, status, line.discount_pct,
        CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month,
        strftime(order_date, '%Y-%m') AS year_month, ord.discount_pct AS order_discount_pct,
        quantity, {half_up('line.unit_price', 4)} AS unit_price, {real('line_revenue')} AS line_revenue,

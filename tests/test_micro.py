@@ -397,6 +397,18 @@ def test_report_sections_are_written(spark, tmp_path):
         report.export_tables(t, str(tmp_path), "xlsx")
 
 
+@pytest.mark.parametrize("name, sections", [("sql", 28), ("eda", 23), ("dashboard", 7)])
+def test_command_line(spark, tmp_path, name, sections):
+    from tradelens.__main__ import main
+    report.export_tables(sales(spark), f"{tmp_path}/in", "csv")
+    main(["--source", f"{tmp_path}/in", "--format", "csv", "--report", name,
+          "--reference-date", "2024-06-01", "--out", f"{tmp_path}/out"])
+    written = sorted(p.name for p in (tmp_path / "out").iterdir())
+    assert len(written) == sections
+    for section in written:
+        assert spark.read.parquet(f"{tmp_path}/out/{section}").columns
+
+
 def test_settled_orders_change_nothing(spark):
     t = sales(spark)
     settled = report.SettledOrders(t)

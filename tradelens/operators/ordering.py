@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelens.session import materialise, shuffle_width
+from tradelens.session import materialise, range_width
 
 SMALL_ROWS = 1_000_000
 
@@ -22,7 +22,7 @@ _CHUNK = "_chunk"
 
 def range_chunks(df: DataFrame, *order_by: str) -> DataFrame:
     """``df`` split into ordered ranges; ``_chunk`` numbers them in order."""
-    ranged = df.repartitionByRange(shuffle_width(df.sparkSession), *order_by)
+    ranged = df.repartitionByRange(range_width(df.sparkSession), *order_by)
     return materialise(ranged.withColumn(_CHUNK, F.spark_partition_id()))
 
 

@@ -8,18 +8,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.session import materialise, shuffle_width
+from tradelens.session import materialise, range_width
 
 
-def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str) -> DataFrame:
+def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str,
+                        rows: int | None = None) -> DataFrame:
     """For labels (a, b): how many row pairs of the same group have a before b.
 
     A group of n rows has n(n-1)/2 pairs, so a hot group would blow up a self-join. Instead the
     rows are range-partitioned by (group, order) and each task walks its sorted rows with one
     running count per label. A group cut by a partition border is hot or at the border; those
-    leave label counts per piece, from which the pairs across pieces follow.
+    leave label counts per piece, from which the pairs across pieces follow. ``rows`` is a rough
+    row count, if known; it sets the number of ranges.
     """
-    parts = shuffle_width(df.sparkSession)
+    parts = range_width(df.sparkSession, rows)
     ranged = (df.select(F.col(group).cast("bigint").alias("g"), F.col(order).alias("o"),
                         F.col(label).alias("label"))
               .repartitionByRange(parts, "g", "o").sortWithinPartitions("g", "o")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.functions.display import currency, percent_text, thousands
-from tradelens.plans import overview, rfm, trends
+from tradelens.plans import (
+    basket, cohorts, model, overview, quality, rfm, stats, topn, trends,
+)
 from tradelens.session import materialise
 from tradelens.sources import schema
 from tradelens.sources.tables import Tables
@@ -79,17 +82,53 @@ class SettledOrders(Tables):
         return self._base.returns(*columns)
 
 
-def dashboard(tables: Tables, **rfm_options) -> dict[str, DataFrame]:
-    """The report's sections by name, each one a result of its own.
+def sql_sections(tables: Tables, reference: date) -> dict[str, DataFrame]:
+    """The analytical statements, by name."""
+    return {
+        **{f.__name__: f(tables) for f in (
+            quality.null_audit, quality.order_outliers, quality.duplicate_orders,
+            quality.orphan_items, overview.orders_by_status, overview.revenue_by_category,
+            overview.customers_by_segment_state, overview.payment_mode_summary,
+            overview.channel_summary, topn.top_products_revenue, overview.kpi_overview,
+            overview.gross_margin, overview.return_rate, overview.clv_by_segment,
+            overview.discount_bands, trends.monthly_revenue, trends.mom_growth,
+            trends.yoy_growth, trends.quarterly_performance, cohorts.cohort_retention,
+            topn.top_states, topn.top_customers, topn.product_return_rate,
+            trends.orders_by_weekday, cohorts.new_vs_repeat, basket.category_basket_pairs)},
+        "rfm_customers": rfm.rfm_customers(tables, reference),
+        "rfm_segments": rfm.rfm_segments_ntile(tables, reference),
+    }
+
+
+def eda_sections(tables: Tables, reference: date) -> dict[str, DataFrame]:
+    """What lies behind the exploratory charts and tests, by name."""
+    return {
+        **{f.__name__: f(tables) for f in (
+            quality.table_profile, overview.headline_stats, overview.status_counts,
+            overview.revenue_by_segment, stats.order_value_describe, trends.monthly_trend,
+            overview.category_margin, stats.order_value_histogram, stats.order_value_density,
+            stats.order_value_box_by_segment, overview.payment_channel_matrix,
+            overview.revenue_by_payment, stats.customer_features, stats.customer_correlations,
+            stats.orders_revenue_trend, stats.orders_revenue_trend_line, stats.normality_check,
+            stats.segment_ttest, stats.pearson_test, stats.discount_ttest,
+            model.clv_regression)},
+        "rfm_quantile": rfm.rfm_quantile(tables, reference),
+        "rfm_segment_summary": rfm.rfm_segment_summary(tables, reference),
+    }
+
+
+def dashboard(tables: Tables, reference: date = rfm.REFERENCE_DATE) -> dict[str, DataFrame]:
+    """The workbook's sheets by name, each one a result of its own.
 
-    Most of them start from the orders; where those are derived, pass ``SettledOrders(tables)``.
+    Most sections of a report start from the orders; where those are derived, pass
+    ``SettledOrders(tables)``.
     """
     return {
         "summary_tiles": kpi_tiles(tables),
         "summary_kpis": overview.dashboard_kpis(tables),
         "summary_months": trends.monthly_with_index(tables),
         "category_performance": overview.category_performance(tables),
-        "customer_rfm": rfm.rfm_report(tables, **rfm_options),
+        "customer_rfm": rfm.rfm_report(tables, reference),
         "state_analysis": overview.state_analysis(tables),
         "data_dictionary": data_dictionary(tables),
     }

@@ -16,26 +16,28 @@ from tradelens.sources.tables import Tables
 
 
 def order_calendar(tables: Tables) -> DataFrame:
+    """Orders with the calendar columns of their date."""
     day = F.col("order_date")
     quarter = F.concat(F.year(day).cast("string"), F.lit("Q"), F.quarter(day).cast("string"))
-    return tables.orders("order_id", "order_date").select(
-        "order_id", "order_date", F.year(day).alias("year"), F.month(day).alias("month"),
-        year_month(day).alias("year_month"), quarter.alias("quarter"),
-        weekday_name(day).alias("dow"))
+    return tables.orders().withColumns({
+        "total_amount": money("total_amount"),
+        "year": F.year(day), "month": F.month(day), "year_month": year_month(day),
+        "quarter": quarter, "dow": weekday_name(day)})
 
 
 def order_detail(tables: Tables) -> DataFrame:
     """Lines with their order, product and profit; all statuses."""
     orders = tables.orders("order_id", "customer_id", "order_date", "status", "discount_pct")
-    items = tables.order_items("order_id", "product_id", *LINE_MEASURES)
+    items = tables.order_items("item_id", "order_id", "product_id", "discount_pct",
+                               *LINE_MEASURES)
     products = tables.products("product_id", "product_name", "category", "brand", "cost_price")
     profit = F.col("line_revenue") - F.col("quantity") * F.col("cost_price")
     day = F.col("order_date")
     return (items.join(orders.withColumnRenamed("discount_pct", "order_discount_pct"), "order_id")
             .join(products, "product_id")
-            .select("order_id", "product_id", "customer_id", "order_date", "status",
+            .select("item_id", "order_id", "product_id", "customer_id", "order_date", "status",
                     F.year(day).alias("year"), F.month(day).alias("month"),
-                    year_month(day).alias("year_month"), "order_discount_pct",
+                    year_month(day).alias("year_month"), "discount_pct", "order_discount_pct",
                     "quantity", half_up(F.col("unit_price"), 4).alias("unit_price"),
                     money("line_revenue", 4).alias("line_revenue"), "product_name", "category",
                     "brand", real("cost_price").alias("cost_price"),
@@ -123,10 +125,15 @@ def quarterly_performance(tables: Tables) -> DataFrame:
 
 
 def category_by_year(tables: Tables, years: list[str] | None = None) -> DataFrame:
-    """Category x year revenue; without a list, every year gets a column."""
-    kept = delivered(tables, "order_id", "order_date")
-    lines = tables.order_items("order_id", "product_id", "line_revenue").join(
-        kept.select("order_id", F.year("order_date").cast("string").alias("year")), "order_id")
+    """Category x year revenue; without a list, every year with delivered orders gets a column.
+
+    The years come from the orders alone, so finding them does not run the join of the lines.
+    """
+    kept = delivered(tables, "order_id", "order_date").select(
+        "order_id", F.year("order_date").cast("string").alias("year"))
+    if years is None:
+        years = sorted(row["year"] for row in kept.select("year").distinct().collect())
+    lines = tables.order_items("order_id", "product_id", "line_revenue").join(kept, "order_id")
     per_product = lines.groupBy("product_id", "year").agg(F.sum("line_revenue").alias("revenue"))
     return per_product.join(tables.products("product_id", "category"), "product_id") \
         .groupBy("category").pivot("year", years).agg(total("revenue"))

@@ -41,6 +41,7 @@ def local_session(cores: str = "*", app: str = "tradelens", **conf: str) -> Spar
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_PARTITION = 256 * 1024 * 1024
 MOST_PARTITIONS = 50_000
+FEW_ROWS, MANY_ROWS = 100_000, 20_000_000  # rows a range should have at least, at most
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -48,6 +49,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def range_width(spark: SparkSession, rows: int | None = None) -> int:
+    """Ranges to cut ``rows`` rows into: the shuffle width, unless that is far off for the rows."""
+    width = shuffle_width(spark)
+    if rows is None:
+        return width
+    return max(min(width, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS), 1)
+
+
 def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """Start shuffles wide enough for the input; never narrower than the session has it."""
     wanted = min(-(-input_bytes // BYTES_PER_PARTITION), MOST_PARTITIONS)
