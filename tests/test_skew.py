@@ -22,9 +22,11 @@ LINES, ORDERS = 24_000, 3_000
 CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "30KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.files.maxPartitionBytes": "60KB",  # several map tasks, or nothing can be split
+    "spark.sql.files.openCostInBytes": "1KB",
 }
 
 
@@ -34,7 +36,7 @@ def folder(tmp_path_factory):
     con = duckdb.connect()
 
     def save(name, sql):
-        con.execute(f"COPY ({sql}) TO '{out}/{name}.parquet' (FORMAT parquet)")
+        con.execute(f"COPY ({sql}) TO '{out}/{name}.parquet' (FORMAT parquet, ROW_GROUP_SIZE 2048)")
 
     for name in ("nation", "customer", "part"):
         save(name, f"SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
@@ -97,3 +99,9 @@ def test_hot_keys(shuffled, folder, name, monkeypatch):
         mine = driver.queries()[name](shuffled, folder)
     theirs = connect(folder).sql(driver.oracle_sql()[name]).to_arrow_table()
     assert differences(mine.toArrow(), theirs) == []
+
+
+def test_hot_partition_is_split(shuffled, folder):
+    df = driver.queries()["gross_margin"](shuffled, folder)
+    df.collect()
+    assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
