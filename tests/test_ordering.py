@@ -81,11 +81,13 @@ def test_rows_at_ranks_keeps_repeated_ranks(spark):
     assert sorted(r["v"] for r in got) == [2.0, 2.0, 3.0]
 
 
+@pytest.mark.parametrize("limit", [0, 100, 10_000])
 @pytest.mark.parametrize("hot", [0, 400])
-def test_number_within(spark, hot):
+def test_number_within(spark, hot, limit):
     rng = random.Random(hot)
     parents = [rng.randint(1, 60) for _ in range(500)] + [30] * hot
     df = spark.createDataFrame(list(enumerate(parents)), "id bigint, p bigint")
-    wide = number_within(df, "p", ["id"], "k", small=False).toPandas().sort_values("id")
+    wide = number_within(df, "p", ["id"], "k", small=False, hot_rows=limit) \
+        .toPandas().sort_values("id")
     plain = number_within(df, "p", ["id"], "k", small=True).toPandas().sort_values("id")
     assert wide["k"].tolist() == plain["k"].tolist()

@@ -112,17 +112,35 @@ def rank_bins(df: DataFrame, bins: int, order_by: list[str], name: str, small: b
     return cuts_below(df, name, cuts, F.struct(*order_by))
 
 
-def number_within(df: DataFrame, parent: str, order_by: list[str], name: str,
-                  small: bool) -> DataFrame:
+def number_within(df: DataFrame, parent: str, order_by: list[str], name: str, small: bool,
+                  hot_rows: int = SMALL_ROWS) -> DataFrame:
     """Adds 1, 2, 3 ... within each parent, in the unique order ``order_by``.
 
-    Large tables are cut into ordered ranges, so a parent with very many rows spreads over
-    several of them. Numbers restart in each range; a parent that continues from one range into
-    the next, of which there are fewer than ranges, gets the count of its earlier rows on top.
+    A window does it, except for parents with more than ``hot_rows`` rows: counting the rows per
+    parent is cheap next to sorting them, and usually finds none.
     """
-    if small:
+    def by_window(rows: DataFrame) -> DataFrame:
         within = Window.partitionBy(parent).orderBy(*order_by)
-        return df.withColumn(name, F.row_number().over(within).cast("bigint"))
+        return rows.withColumn(name, F.row_number().over(within).cast("bigint"))
+
+    if small:
+        return by_window(df)
+    hot = df.groupBy(parent).agg(F.count(F.lit(1)).alias("_n")) \
+        .where(F.col("_n") > hot_rows).select(parent)
+    if hot.isEmpty():
+        return by_window(df)
+    hot = materialise(hot)
+    usual = by_window(df.join(hot, parent, "left_anti"))
+    return usual.unionByName(
+        _number_by_range(df.join(hot, parent, "left_semi"), parent, order_by, name))
+
+
+def _number_by_range(df: DataFrame, parent: str, order_by: list[str], name: str) -> DataFrame:
+    """Rows cut into ordered ranges, so that a large parent spreads over several of them.
+
+    Numbers restart in each range; a parent that goes on from one range to the next, of which
+    there are fewer than ranges, gets the count of its earlier rows on top.
+    """
     chunks = range_chunks(df, parent, *order_by)
     ends = chunks.groupBy(_CHUNK).agg(F.min(parent).alias("_first"), F.max(parent).alias("_last"))
     cut = ends.select(F.col("_last").alias(parent)).join(

@@ -115,7 +115,7 @@ def numbered_lines(tables: Tables, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Distinct products of each order, numbered from 1: a key built from the parent's key."""
     lines = tables.order_items("order_id", "product_id").distinct()
     small = tables.row_count("order_items") <= small_rows
-    return number_within(lines, "order_id", ["product_id"], "line_no", small)
+    return number_within(lines, "order_id", ["product_id"], "line_no", small, small_rows)
 
 
 def sample_orders(tables: Tables, rows: int = 200, seed: int = 42) -> DataFrame:

@@ -134,7 +134,7 @@ class StarTables(Tables):
         wanted = dict.fromkeys(["order_id", *columns])
         lines = lines.select(*LINE_ORDER, *[rules[c].alias(c) for c in wanted if c in rules])
         small = self.row_count("order_items") <= SMALL_ROWS
-        numbered = number_within(lines, "order_id", LINE_ORDER, "line_no", small)
+        numbered = number_within(lines, "order_id", LINE_ORDER, "line_no", small, SMALL_ROWS)
         return numbered.withColumn("item_id", F.col("order_id") * 1000 + F.col("line_no")) \
             .select(*columns)
 
