@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.functions.numeric import half_up, money, ratio, real
+from tradelens.functions.numeric import half_up, ratio, real
 from tradelens.functions.student_t import t_two_sided
 from tradelens.operators.ordering import SMALL_ROWS
 from tradelens.operators.quantiles import exact_quantiles
