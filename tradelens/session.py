@@ -77,6 +77,14 @@ def _shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is written there goes away with the session."""
+    path = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
@@ -85,8 +93,6 @@ def materialise(df: DataFrame) -> DataFrame:
     with the session.
     """
     spark = df.sparkSession
-    path = f"{_shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = shared_path(spark)
     df.write.parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
