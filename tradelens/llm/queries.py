@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelens.llm import mixing, reputation, warc
+from tradelens.llm import mixing, phrases, reputation, suffix, warc
 from tradelens.llm.text import table
 from tradelens.session import shared_path
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix.deduplicated(table(spark, folder, "documents"))
+
+
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_path(spark)
     warc.archive(table(spark, folder, "pages"), path)
@@ -26,10 +30,16 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op10_phrase_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.deduplicated(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op6_warc": op6_warc,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
+    "op10_phrase_dedup": op10_phrase_dedup,
 }
 
 ORACLES = {

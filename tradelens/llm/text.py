@@ -18,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def shards_for(df: DataFrame, bytes_each: int = 8 << 20) -> int:
     """Groups to cut the rows of ``df`` into: several per shuffle partition, more for large input."""
     spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(4 * width, min(-(-size // bytes_each), 1 << 30))
 
