@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelens.llm import mixing, phrases, reputation, suffix, warc
+from tradelens.llm import mixing, phrases, quality, reputation, suffix, warc
 from tradelens.llm.text import table
 from tradelens.session import shared_path
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.deduplicated(table(spark, folder, "documents"))
 
@@ -35,6 +39,7 @@ def op10_phrase_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op6_warc": op6_warc,
     "op8_url_filter": op8_url_filter,
