@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradelens.session import materialise
+
 # Fixed rules: verdict, host, path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -61,8 +63,8 @@ def outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return parsed(pages).select("host", of.alias("of")).join(told, "of").select("host", "bad")
 
 
-def _prior(groups: DataFrame, mean: str) -> Column:
-    """The level's strength, estimated over all its groups with labels; a scalar."""
+def _strength(groups: DataFrame, mean: str) -> float:
+    """The level's strength, estimated over all its groups with labels: one number."""
     spread = F.col(mean) * (1 - F.col(mean))
     off = F.col("k") / F.col("n") - F.col(mean)
     moments = groups.where(F.col("n") > 0).agg(
@@ -70,28 +72,33 @@ def _prior(groups: DataFrame, mean: str) -> Column:
         F.sum((F.col("n") - 1) * spread).alias("base"))
     r = F.when(F.col("base") > 0, F.col("over") / F.col("base"))
     r = F.greatest(F.lit(LEAST_R), F.least(F.lit(MOST_R), F.coalesce(r, F.lit(MOST_R))))
-    return moments.select((1 / r - 1).alias("strength")).scalar()
+    return moments.select((1 / r - 1).alias("strength")).first()["strength"]
 
 
 def _posterior(groups: DataFrame, mean: str, name: str) -> DataFrame:
-    weight = _prior(groups, mean)
+    weight = F.lit(_strength(groups, mean))
     a = weight * F.col(mean) + F.col("k")
     return groups.withColumns({name: a / (weight + F.col("n")),
                                f"{name}_weight": weight + F.col("n")})
 
 
 def reputation(hosts: DataFrame, told: DataFrame, z: float = BOUND_Z) -> DataFrame:
-    """host, labelled, bad, mean and lower bound of the share of bad pages, for every host."""
+    """host, labelled, bad, mean and lower bound of the share of bad pages, for every host.
+
+    The hosts' counts are written to the session's checkpoint folder; of the priors four numbers
+    go through the driver.
+    """
     counts = told.groupBy("host").agg(F.count("bad").alias("n"), F.sum("bad").alias("k"))
-    every = (hosts.select("host").distinct().join(counts, "host", "left")
-             .fillna(0, ["n", "k"])
-             .withColumn("domain", F.substring_index("host", ".", -2))
-             .withColumn("suffix", F.substring_index("host", ".", -1)))
+    every = materialise(
+        hosts.select("host").distinct().join(counts, "host", "left").fillna(0, ["n", "k"])
+        .withColumn("domain", F.substring_index("host", ".", -2))
+        .withColumn("suffix", F.substring_index("host", ".", -1)))
     domains = every.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    whole = suffixes.agg(F.coalesce(F.sum("k") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.5))).scalar()
+    whole = every.agg(F.coalesce(
+        F.sum("k") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.5)).alias("mean")).first()["mean"]
 
-    suffixes = _posterior(suffixes.withColumn("m0", whole), "m0", "m1").select("suffix", "m1")
+    suffixes = _posterior(suffixes.withColumn("m0", F.lit(whole)), "m0", "m1").select("suffix", "m1")
     domains = _posterior(domains.join(suffixes, "suffix"), "m1", "m2").select("domain", "m2")
     every = _posterior(every.join(domains, "domain"), "m2", "mean")
     spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("mean_weight") + 1))
