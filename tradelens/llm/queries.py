@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelens.llm import mixing, phrases, quality, reputation, suffix, warc
+from tradelens.llm import mixing, neardup, phrases, quality, reputation, suffix, warc
 from tradelens.llm.text import table
 from tradelens.session import shared_path
 
@@ -19,6 +19,10 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.deduplicated(table(spark, folder, "documents"))
 
 
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_path(spark)
     warc.archive(table(spark, folder, "pages"), path)
@@ -41,6 +45,7 @@ def op10_phrase_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op5_minhash": op5_minhash,
     "op6_warc": op6_warc,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
