@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelens.llm import mixing, neardup, phrases, quality, reputation, suffix, warc
+from tradelens.llm import decontaminate, mixing, neardup, phrases, quality, reputation, suffix, warc
 from tradelens.llm.text import table
 from tradelens.session import shared_path
 
@@ -29,6 +29,11 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.index(spark, path)
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"),
+                                 table(spark, folder, "benchmark"))
+
+
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     return reputation.judge(pages, reputation.outcomes(pages, table(spark, folder, "labels")))
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op5_minhash": op5_minhash,
     "op6_warc": op6_warc,
+    "op7_decontaminate": op7_decontaminate,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_phrase_dedup": op10_phrase_dedup,

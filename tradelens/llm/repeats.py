@@ -57,6 +57,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def rolled(h: np.ndarray, gram: int) -> np.ndarray:
+    """Hashes of ``gram`` symbols in a row, from those of single symbols; runs out at the end."""
+    reach = 1
+    while reach < gram:
+        step = min(reach, gram - reach)
+        out = h * _ODD
+        out[:len(h) - step] += h[step:]
+        h = mix(out)
+        reach += step
+    return h
+
+
 def eight_bytes(text: bytes, kind: str) -> np.ndarray:
     """The number that the eight bytes at each place make; zeros follow the text."""
     out = np.empty(len(text) + 1, kind)
@@ -82,14 +94,7 @@ def _gram_hashes(unit: Unit, symbols: list[bytes | list[bytes]]) -> np.ndarray:
             h[:n - o] += eights[o:]
             h = mix(h)
         return h
-    reach = 1
-    while reach < unit.gram:
-        step = min(reach, unit.gram - reach)
-        out = h * _ODD
-        out[:len(h) - step] += h[step:]
-        h = mix(out)
-        reach += step
-    return h
+    return rolled(h, unit.gram)
 
 
 def _sliding_min(h: np.ndarray, span: int) -> np.ndarray:
