@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelens.llm import decontaminate, mixing, neardup, phrases, quality, reputation, suffix, warc
+from tradelens.llm import (
+    decontaminate, language, licences, mixing, neardup, phrases, quality, reputation, suffix, warc,
+)
 from tradelens.llm.text import table
 from tradelens.session import shared_path
 
@@ -19,6 +21,14 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.deduplicated(table(spark, folder, "documents"))
 
 
+def op3_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scanned(table(spark, folder, "documents"))
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.predict(table(spark, folder, "documents"))
+
+
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
 
@@ -50,6 +60,8 @@ def op10_phrase_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_licences": op3_licences,
+    "op4_language": op4_language,
     "op5_minhash": op5_minhash,
     "op6_warc": op6_warc,
     "op7_decontaminate": op7_decontaminate,
