@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.llm.text import WORD
@@ -29,13 +29,19 @@ DIGITS, LEVELS = 3, 4
 _BEYOND = "g"  # after every hexadecimal digit
 
 
+def _size() -> Column:
+    words = F.regexp_count("text", F.lit(WORD))
+    return F.coalesce(words, F.lit(0)).cast("bigint").alias("size")
+
+
+def _hash() -> Column:
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return F.substring(F.md5(name), 1, DIGITS * LEVELS).alias("hash")
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words, and the hash that decides on the document."""
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    return docs.select(
-        "doc_id", F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        F.substring(F.md5(name), 1, DIGITS * LEVELS).alias("hash"))
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), _size(), _hash())
 
 
 def targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
@@ -104,20 +110,45 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
         F.coalesce("prefix", F.lit(_BEYOND)).alias("threshold"))
 
 
+def _settled(docs: DataFrame, weights: Sequence[int], share: float, most: int
+             ) -> tuple[DataFrame, DataFrame]:
+    """The documents' sizes, and by source what is taken; both written, hence of known size."""
+    sized = materialise(sizes(docs))
+    found = thresholds(sized, targets(sized, weights, share, most))
+    return sized, materialise(found).withColumnRenamed("source", "of")
+
+
+def _taken() -> Column:
+    again = (F.col("hash") < F.col("threshold")).cast("bigint")
+    return (F.col("size") * (F.col("rounds") + again)).alias("taken")
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
         most: int = MOST_ROUNDS) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for every document.
 
-    ``taken`` is the document's size times the rounds it takes part in. The words are counted once
-    and their counts written to the session's checkpoint folder.
+    ``taken`` is the document's size times the rounds it takes part in. Words are counted once and
+    the counts written to the session's checkpoint folder.
     """
-    sized = materialise(sizes(docs))
-    found = thresholds(sized, targets(sized, weights, share, most))
-    named = found.withColumnRenamed("source", "of")
-    again = (F.col("hash") < F.col("threshold")).cast("bigint")
-    return sized.join(named, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "source", "size", "source_size", "target",
-        (F.col("size") * (F.col("rounds") + again)).alias("taken"))
+    sized, found = _settled(docs, weights, share, most)
+    return sized.join(found, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "source", "size", "source_size", "target", _taken())
+
+
+def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
+          most: int = MOST_ROUNDS) -> DataFrame:
+    """The documents that are taken, with all their columns, and size, target and taken.
+
+    A column of docs that has one of these names gives way to it.
+    """
+    _, found = _settled(docs, weights, share, most)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", "source")
+    sized = rows.select("row", F.col("source").cast("string").alias("source"), _size(), _hash())
+    out = sized.join(found, F.col("source").eqNullSafe(F.col("of"))).select(
+        "row", "size", "target", _taken()).where("taken > 0")
+    named = [c for c in docs.columns if c not in ("size", "target", "taken")]
+    return out.select(*[F.col("row").getField(c).alias(c) for c in named],
+                      "size", "target", "taken")
 
 
 ORACLE = r"""

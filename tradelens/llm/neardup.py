@@ -256,6 +256,6 @@ def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS,
 
 def unique(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One document of each group, with all its columns; of rows that repeat its doc_id all."""
-    gone = near_duplicates(docs, least).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone.withColumnRenamed("doc_id", "_gone"),
-                     F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, least).where(~F.col("kept"))
+    gone = gone.select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["gone"], "left_anti")

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from tradelens.llm.text import slices, texts
 
@@ -117,15 +118,15 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), characters, symbols, len(lines) - len(set(lines)), repeated
 
 
-_JUDGED = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-           "n_repeat_words bigint, base_failed boolean, score double, kept boolean")
 _NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def judged(rows: DataFrame, scores: np.ndarray, least: float = LEAST_SCORE) -> DataFrame:
     """``rows``, which have a text, with the verdict's columns; the text itself is left out."""
     carried = [f for f in rows.schema.fields if f.name != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
+    schema = StructType([*carried, *(StructField(name, LongType()) for name in _NAMES),
+                         StructField("base_failed", BooleanType()),
+                         StructField("score", DoubleType()), StructField("kept", BooleanType())])
 
     def judge_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -143,7 +144,7 @@ def judged(rows: DataFrame, scores: np.ndarray, least: float = LEAST_SCORE) -> D
                  pa.array(~failed & (score >= least))],
                 [*(f.name for f in carried), *_NAMES, "base_failed", "score", "kept"])
 
-    return rows.mapInArrow(judge_, f"{schema}, {_JUDGED}")
+    return rows.mapInArrow(judge_, schema)
 
 
 def judge(docs: DataFrame, labels: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
