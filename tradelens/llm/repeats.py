@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,14 +146,34 @@ def codes(anchors: np.ndarray, shards: int) -> np.ndarray:
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Byte planes of differences: equal high bytes lie together and compress away."""
-    steps = np.diff(values.astype(np.uint64), prepend=np.uint64(0))
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Byte planes of what values exceed the smallest by: high bytes, mostly zero, lie together."""
+    if not len(values):
+        return b""
+    values = values.astype(np.uint64)
+    least = values.min()
+    return least.tobytes() + (values - least).view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    if not data:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(data, np.uint8, offset=8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel() + np.frombuffer(data, np.uint64, 1)
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    return pack(np.diff(values.astype(np.uint64), prepend=values[:1].astype(np.uint64))) \
+        + values[:1].astype(np.uint64).tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data[:-8]), dtype=np.uint64) + np.frombuffer(data[-8:], np.uint64)
+
+
+def short(code: np.ndarray) -> np.ndarray:
+    """Half a code, with which a document finds its live anchors again; a chance hit costs a piece
+    that turns out not to repeat."""
+    return mix(code).view(np.uint32)[1::2].view(np.int32)
 
 
 def _keys(batch: pa.RecordBatch) -> np.ndarray:
@@ -191,11 +212,11 @@ def _send_anchors(unit: Unit, shards: int) -> Callable:
             first = np.flatnonzero(new)
             often = np.diff(np.append(first, len(code))) > 1
             known = np.repeat(often, np.diff(np.append(first, len(code))))
-            rows = [(s, False, pack(key[first][part]), pack(code[first][part]))
+            rows = [(s, False, pack(key[first][part]), pack_sorted(code[first][part]))
                     for s, part in _by_shard(code[first])]
             if known.any():  # settled here; any shard may pass them on
                 rows.append((int(code[0] % np.uint64(shards)), True, pack(key[known]),
-                             pack(code[known])))
+                             pack_sorted(code[known])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.bool_(), pa.binary(),
                                                              pa.binary()))], names)
@@ -206,7 +227,7 @@ def _meet_anchors(unit: Unit) -> Callable:
     def meet(group: pa.Table) -> pa.Table:
         sent = group.to_pydict()
         keys = [unpack(x).astype(np.int64) for x in sent["keys"]]
-        code = [unpack(x) for x in sent["codes"]]
+        code = [unpack_sorted(x) for x in sent["codes"]]
         known = [np.full(len(c), x) for c, x in zip(code, sent["known"])]
         key, code, known = np.concatenate(keys), np.concatenate(code), np.concatenate(known)
         live_keys, live_codes = [key[known]], [code[known]]
@@ -224,7 +245,7 @@ def _meet_anchors(unit: Unit) -> Callable:
             live_keys.append(key[live])
             live_codes.append(code[live])
         return pa.table({"k": pa.array(np.concatenate(live_keys), pa.int64()),
-                         "code": pa.array(np.concatenate(live_codes).astype(np.int64), pa.int64())})
+                         "code": pa.array(short(np.concatenate(live_codes)), pa.int32())})
     return meet
 
 
@@ -238,7 +259,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def live_anchors(rows: DataFrame, unit: Unit, shards: int) -> DataFrame:
     """k, codes: for each document the anchors that occur in another place too."""
     sent = rows.select("k", "text").mapInArrow(_send_anchors(unit, shards), _SENT)
-    live = sent.groupBy("shard").applyInArrow(_meet_anchors(unit), "k bigint, code bigint")
+    live = sent.groupBy("shard").applyInArrow(_meet_anchors(unit), "k bigint, code int")
     return live.groupBy("k").agg(F.collect_set("code").alias("codes"))
 
 
@@ -249,10 +270,19 @@ _PIECES = ("shard int, known boolean, keys binary, tags binary, starts binary, s
 _FIELDS = ["keys", "tags", "starts", "stops", "weights", "lengths"]
 
 
-def _piece_row(shard: int, known: bool, entries: list[tuple], data: bytes) -> dict:
-    """entries: key, tag, start, stop, weight, bytes in data."""
-    columns = np.array(entries, np.int64).reshape(-1, len(_FIELDS)).T
-    return {"shard": shard, "known": known, "data": data} | {
+def joined(spans: np.ndarray) -> np.ndarray:
+    """Rows key, tag, start, stop: sorted, what overlaps or touches in one text made one span."""
+    key, tag, start, stop = spans[:, np.lexsort(spans[2::-1])]
+    text = np.cumsum(np.append(False, (np.diff(key) != 0) | (np.diff(tag) != 0))) << 32
+    far = np.maximum.accumulate(text + stop)
+    first = np.flatnonzero(np.append(True, (text + start)[1:] > far[:-1]))
+    last = np.append(first[1:], len(key)) - 1
+    return np.stack([key[first], tag[first], start[first], far[last] - text[last]])
+
+
+def _piece_row(shard: int, known: bool, columns: np.ndarray, data: bytes) -> dict:
+    """columns: key, tag, start, stop, weight, bytes in data."""
+    return {"shard": shard, "known": known, "data": zstandard.compress(data, 1)} | {
         name: pack(np.ascontiguousarray(c)) for name, c in zip(_FIELDS, columns)}
 
 
@@ -265,12 +295,13 @@ def _send_pieces(unit: Unit, shards: int) -> Callable:
             symbols = [unit.symbols(t) for t in texts(batch).to_pylist()]
             found = runs(unit, symbols)
             live = np.unique(batch.column(batch.schema.get_field_index("codes")).flatten()
-                             .to_numpy(zero_copy_only=False).astype(np.uint64))
+                             .to_numpy(zero_copy_only=False))
             code = codes(found.anchor, shards)
             if not len(live) or not len(code):
                 continue
-            at = np.minimum(np.searchsorted(live, code), len(live) - 1)
-            hit = np.flatnonzero(live[at] == code)
+            half = short(code)
+            at = np.minimum(np.searchsorted(live, half), len(live) - 1)
+            hit = np.flatnonzero(live[at] == half)
             hit = hit[np.argsort(code[hit], kind="stable")]
             keys = _keys(batch).tolist()
             tags = batch.column(batch.schema.get_field_index("tag")).to_pylist()
@@ -295,10 +326,11 @@ def _send_pieces(unit: Unit, shards: int) -> Callable:
                     entries += [(*p, weight, len(piece) if i == 0 else 0)
                                 for i, p in enumerate(sent)]
                     data.append(piece)
-                rows.append(_piece_row(shard, False, entries, b"".join(data)))
-            if known:
-                rows.append(_piece_row(rows[0]["shard"], True,
-                                       [(*p, 0, 0) for p in sorted(known)], b""))
+                rows.append(_piece_row(shard, False, np.array(entries, np.int64).T, b"".join(data)))
+            if known:  # settled here; any shard may pass them on
+                settled = joined(np.array(known, np.int64).T)
+                settled = np.vstack([settled, np.zeros((2, settled.shape[1]), np.int64)])
+                rows.append(_piece_row(int(found.anchor[0] % np.uint64(shards)), True, settled, b""))
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema)
     return send
@@ -313,16 +345,16 @@ class Pieces:
     weights: list[int]  # how many places it has, two standing for more
 
 
-def _received(group: pa.Table) -> tuple[Pieces, list[tuple[int, int, int, int]]]:
+def _received(group: pa.Table) -> tuple[Pieces, list[np.ndarray]]:
     number: dict[bytes, int] = {}
     pieces, known = Pieces([], [], []), []
     for row in group.to_pylist():
-        key, tag, start, stop, weight, length = (
-            unpack(row[name]).astype(np.int64).tolist() for name in _FIELDS)
+        fields = [unpack(row[name]).astype(np.int64) for name in _FIELDS]
         if row["known"]:
-            known += zip(key, tag, start, stop)
+            known.append(np.stack(fields[:4]))
             continue
-        data, at, i = row["data"], 0, 0
+        key, tag, start, stop, weight, length = (f.tolist() for f in fields)
+        data, at, i = zstandard.decompress(row["data"]), 0, 0
         for place in zip(key, tag, start, stop, weight, length):
             if place[5]:  # else one more place of the same piece
                 piece = data[at:at + place[5]]
@@ -339,10 +371,13 @@ def _received(group: pa.Table) -> tuple[Pieces, list[tuple[int, int, int, int]]]
 
 def _meet_pieces(kernel: Callable[[Pieces], Iterator[tuple[int, int, int, int]]]) -> Callable:
     def meet(group: pa.Table) -> pa.Table:
-        pieces, known = _received(group)
-        spans = known + (list(kernel(pieces)) if pieces.texts else [])
-        k, tag, start, stop = zip(*spans) if spans else ((), (), (), ())
-        return pa.table({"k": pa.array(k, pa.int64()), "tag": pa.array(tag, pa.int32()),
+        pieces, spans = _received(group)
+        if pieces.texts:
+            found = np.array(list(kernel(pieces)), np.int64)
+            spans.append(found.reshape(-1, 4).T)
+        both = np.hstack(spans) if spans else np.zeros((4, 0), np.int64)
+        key, tag, start, stop = joined(both) if both.shape[1] else both
+        return pa.table({"k": pa.array(key, pa.int64()), "tag": pa.array(tag, pa.int32()),
                          "start": pa.array(start, pa.int32()), "stop": pa.array(stop, pa.int32())})
     return meet
 

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tradelens.llm import repeats
 from tradelens.llm.repeats import eight_bytes
@@ -30,6 +31,7 @@ from tradelens.llm.text import slices, texts
 
 WIDTH, GRAM = 50, 24
 ARRAY_BYTES = 2 << 20
+LANES = 32  # neighbouring suffixes along which Kasai's rule is followed
 
 
 def _refine(order: np.ndarray, rank: np.ndarray, shift: int, wanted: np.ndarray | None
@@ -89,9 +91,10 @@ def common_prefixes(text: bytes, order: np.ndarray, lanes: list[np.ndarray], end
                     width: int = WIDTH) -> np.ndarray:
     """For each suffix, the bytes it has in common with the one before it in ``order``, to width + 1.
 
-    ``lanes``: the first suffix of every piece, then the second ones, and so on. ``ends``: where the
-    piece of each suffix ends, 0 where none starts. Kasai's rule goes along the pieces, all of them
-    at once: with the suffix before it, a suffix shares what its left neighbour shares with its own
+    ``lanes``: the first suffixes of all stretches of neighbours, then the second ones, and so on; long
+    pieces are cut into several stretches. ``ends``: where the
+    piece of each suffix ends, 0 where none starts. Kasai's rule goes along all
+    stretches at once: with the suffix before it, a suffix shares what its left neighbour shares with its own
     predecessor, less one, if that predecessor's right neighbour is a suffix of the array. Equal
     suffixes are ordered by place, hence the rule holds for them too, but for a common prefix of
     exactly ``width`` bytes, the last of which decides the order.
@@ -139,8 +142,9 @@ class _Array:
         order = suffix_array(self.text, starts, width)
         stops = np.zeros(len(self.text) + 1, np.int64)
         stops[starts] = ends[piece]
-        by_offset = np.argsort(offset, kind="stable")
-        cuts = np.flatnonzero(np.diff(offset[by_offset])) + 1
+        step = offset % LANES
+        by_offset = np.argsort(step, kind="stable")
+        cuts = np.flatnonzero(np.diff(step[by_offset])) + 1
         lanes = np.split(starts[by_offset], cuts)
         common = common_prefixes(self.text, order, lanes, stops, width)
         place = np.zeros(len(self.text), np.int64)
@@ -276,7 +280,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
             yield pa.RecordBatch.from_arrays([rows_, pa.array(out, pa.string())], ["row", "cut"])
 
     found = tagged.join(repeated(rows, width, gram), "k", "left").mapInArrow(
-        finish, f"row {schema.simpleString()}, cut string")
+        finish, StructType([StructField("row", schema), StructField("cut", StringType())]))
     text = F.when(F.col("row.text").isNotNull(), F.col("cut"))
     columns = {name: F.col("row").getField(name) for name in schema.names}
     columns["text"] = text
