@@ -1,4 +1,4 @@
-"""The distributed forms of ranks, buckets and quantiles against the one-task forms."""
+"""Ranks, buckets and quantiles cut into pieces against one-task windows and pandas."""
 
 from __future__ import annotations
 
@@ -7,9 +7,12 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tradelens.operators.ordering import ntile, number_within, rank_bins, rows_at_ranks
+from tradelens.operators.ordering import (
+    ntile, number_within, rank_bins, ranked, rows_at_ranks,
+)
 from tradelens.operators.quantiles import exact_quantiles, quantile_bins
 
 
@@ -27,47 +30,44 @@ def tied(n, seed):
 @pytest.mark.parametrize("buckets", [5, 7])
 def test_ntile(spark, n, buckets):
     df = frame(spark, tied(n, n))
-    wide = ntile(df, buckets, ["v", "id"], "b", small=False).toPandas().sort_values("id")
-    plain = ntile(df, buckets, ["v", "id"], "b", small=True).toPandas().sort_values("id")
+    wide = ntile(df, buckets, ["v", "id"], "b").toPandas().sort_values("id")
+    plain = df.withColumn("b", F.ntile(buckets).over(Window.orderBy("v", "id"))) \
+        .toPandas().sort_values("id")
     assert wide["b"].tolist() == plain["b"].tolist()
     sizes = plain["b"].value_counts()
     assert sizes.max() - sizes.min() <= 1
 
 
 def test_ntile_seven_tied_customers(spark):
-    got = ntile(frame(spark, [1.0] * 7), 5, ["v", "id"], "b", small=False)
+    got = ntile(frame(spark, [1.0] * 7), 5, ["v", "id"], "b")
     assert [r["b"] for r in got.orderBy("id").collect()] == [1, 1, 2, 2, 3, 4, 5]
 
 
-@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("n", [6, 11, 250])
-def test_rank_bins_is_qcut_of_first_come_ranks(spark, n, small):
+def test_rank_bins_is_qcut_of_first_come_ranks(spark, n):
     values = tied(n, n + 1)
-    got = rank_bins(frame(spark, values), 5, ["v", "id"], "b", small).toPandas().sort_values("id")
+    got = rank_bins(frame(spark, values), 5, ["v", "id"], "b").toPandas().sort_values("id")
     expected = pd.qcut(pd.Series(values).rank(method="first"), 5, labels=[1, 2, 3, 4, 5])
     assert got["b"].tolist() == expected.astype(int).tolist()
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_quantile_bins_is_qcut(spark, small):
+def test_quantile_bins_is_qcut(spark):
     rng = np.random.default_rng(3)
     values = rng.gamma(2.0, 50.0, 333).round(2).tolist()
-    got = quantile_bins(frame(spark, values), "v", 5, "b", small).toPandas().sort_values("id")
+    got = quantile_bins(frame(spark, values), "v", 5, "b").toPandas().sort_values("id")
     assert got["b"].tolist() == pd.qcut(values, 5, labels=[1, 2, 3, 4, 5]).astype(int).tolist()
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_quantile_bins_with_repeated_edges(spark, small):
-    got = quantile_bins(frame(spark, [5.0] * 8 + [9.0]), "v", 5, "b", small).toPandas()
+def test_quantile_bins_with_repeated_edges(spark):
+    got = quantile_bins(frame(spark, [5.0] * 8 + [9.0]), "v", 5, "b").toPandas()
     assert got.set_index("id")["b"].tolist() == [1] * 8 + [5]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_exact_quantiles_by_group(spark, small):
+def test_exact_quantiles_by_group(spark):
     values = tied(600, 9)
     groups = ["hot" if i % 3 else f"g{i % 4}" for i in range(600)]
     probs = [0.0, 0.25, 0.5, 0.9, 1.0]
-    got = exact_quantiles(frame(spark, values, groups), "v", probs, small, by="g").collect()
+    got = exact_quantiles(frame(spark, values, groups), "v", probs, by="g").collect()
     table = pd.DataFrame({"v": values, "g": groups})
     for row in got:
         np.testing.assert_allclose(row["quantiles"],
@@ -76,18 +76,32 @@ def test_exact_quantiles_by_group(spark, small):
 
 
 def test_rows_at_ranks_keeps_repeated_ranks(spark):
-    got = rows_at_ranks(frame(spark, [3.0, 1.0, 2.0]), ["v"],
-                        lambda total: F.array(F.lit(2), F.lit(2), total)).collect()
+    df = frame(spark, [3.0, 1.0, 2.0]).withColumn("n", F.lit(1))
+    got = rows_at_ranks(df, "v", "n", lambda total: F.array(F.lit(2), F.lit(2), total)).collect()
     assert sorted(r["v"] for r in got) == [2.0, 2.0, 3.0]
 
 
-@pytest.mark.parametrize("limit", [0, 100, 10_000])
+@pytest.mark.parametrize("pieces", ["1", "7", "200"])
+def test_ranks_with_hot_and_missing_values(spark, pieces):
+    """Half the rows have one value, a tenth have none; the marks may cut as they like."""
+    rng = random.Random(int(pieces))
+    values = [rng.choice([5.0, 5.0, 5.0, 5.0, 5.0, None, 1.0, float(rng.randint(1, 9)),
+                          rng.random() * 10, -1e18]) for _ in range(2000)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", pieces)
+    try:
+        got = {r["id"]: r["k"] for r in ranked(frame(spark, values), "v", "id", "k").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    order = sorted(range(2000), key=lambda i: (values[i] is not None, values[i] or 0.0, i))
+    assert got == {i: place for place, i in enumerate(order, 1)}
+
+
 @pytest.mark.parametrize("hot", [0, 400])
-def test_number_within(spark, hot, limit):
+def test_number_within(spark, hot):
     rng = random.Random(hot)
     parents = [rng.randint(1, 60) for _ in range(500)] + [30] * hot
     df = spark.createDataFrame(list(enumerate(parents)), "id bigint, p bigint")
-    wide = number_within(df, "p", ["id"], "k", small=False, hot_rows=limit) \
-        .toPandas().sort_values("id")
-    plain = number_within(df, "p", ["id"], "k", small=True).toPandas().sort_values("id")
-    assert wide["k"].tolist() == plain["k"].tolist()
+    got = number_within(df, "p", ["id"], "k").collect()
+    for r in got:
+        assert r["k"] == sum(p == r["p"] for p in parents[:r["id"] + 1])

@@ -6,16 +6,12 @@ ranks, numbering and quantiles run; DuckDB has the last word.
 
 from __future__ import annotations
 
-from functools import partial
 
 import duckdb
 import pytest
 
 import __spark_entry__ as driver
 from tests.compare import connect, differences
-from tradelens.plans import quality, rfm, stats
-from tradelens.sources import bound
-from tradelens.sources.bound import StarTables
 
 LINES, ORDERS = 24_000, 3_000
 
@@ -72,17 +68,9 @@ def shuffled(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-DISTRIBUTED = {
-    "numbered_lines": quality.numbered_lines,
-    "rfm_customers_as_written": partial(rfm.rfm_customers, reference=driver.TODAY),
-    "rfm_quantile": partial(rfm.rfm_quantile, reference=driver.TODAY),
-    "pareto_share": rfm.pareto_share,
-    "order_value_describe": stats.order_value_describe,
-    "order_value_box_by_segment": partial(stats.order_value_box_by_segment,
-                                          segments=driver.SEGMENTS),
-}
-
-PLAIN = ["revenue_by_category", "gross_margin", "kpi_overview_as_written", "headline_stats",
+HOT = ["numbered_lines", "rfm_customers_as_written", "rfm_quantile", "pareto_share",
+       "order_value_describe", "order_value_box_by_segment",
+       "revenue_by_category", "gross_margin", "kpi_overview_as_written", "headline_stats",
          "clv_by_segment", "clv_by_state", "state_analysis", "cohort_retention_full",
          "new_vs_repeat", "top_products_revenue", "top_customers", "product_return_rate",
          "category_return_rate", "category_basket_pairs_all", "constraint_report",
@@ -90,13 +78,9 @@ PLAIN = ["revenue_by_category", "gross_margin", "kpi_overview_as_written", "head
          "customer_features", "sliced_category_revenue"]
 
 
-@pytest.mark.parametrize("name", sorted(DISTRIBUTED) + PLAIN)
-def test_hot_keys(shuffled, folder, name, monkeypatch):
-    monkeypatch.setattr(bound, "SMALL_ROWS", 0)
-    if name in DISTRIBUTED:
-        mine = DISTRIBUTED[name](StarTables(shuffled, folder), small_rows=0)
-    else:
-        mine = driver.queries()[name](shuffled, folder)
+@pytest.mark.parametrize("name", HOT)
+def test_hot_keys(shuffled, folder, name):
+    mine = driver.queries()[name](shuffled, folder)
     theirs = connect(folder).sql(driver.oracle_sql()[name]).to_arrow_table()
     assert differences(mine.toArrow(), theirs) == []
 

@@ -1,9 +1,12 @@
 """Global order without moving everything into one task.
 
-A window with an order but no partition key sorts the whole table in a single task. Below
-``SMALL_ROWS`` that is fine and quickest. Above it the rows are range-partitioned, written once,
-and only the partitions that hold a wanted rank are sorted again; the rest is arithmetic on
-per-partition row counts.
+A window with an order but no partition key sorts the whole table in a single task. Instead, rows
+are dealt to pieces by marks taken from approximate percentiles: a piece holds the values between
+two marks, or, where one value fills several pieces, that value alone, cut again by the marks of
+the tie-breaking key. Rows are numbered inside their pieces, and the sizes of the pieces before
+are added. The marks only decide how even the pieces are; numbers are exact whatever they are. All
+of it is one lazy plan, the same for every size. It reads its input three times, so hand it a
+written table if the input is dear.
 """
 
 from __future__ import annotations
@@ -13,144 +16,119 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelens.session import materialise, range_width
+from tradelens.session import shuffle_width
 
-SMALL_ROWS = 1_000_000
+MOST_PIECES = 200
+ACCURACY = 10_000
 
-_CHUNK = "_chunk"
 
+def marks(df: DataFrame, *names: str) -> Column:
+    """Evenly spaced approximate percentiles of the numeric columns, an array for each; a scalar."""
+    pieces = min(shuffle_width(df.sparkSession), MOST_PIECES)
+    probs = [i / pieces for i in range(1, pieces)] or [0.5]
+    return df.agg(F.struct(*[
+        F.percentile_approx(F.col(name).cast("double"), probs, ACCURACY).alias(name)
+        for name in names])).scalar()
 
-def range_chunks(df: DataFrame, *order_by: str) -> DataFrame:
-    """``df`` split into ordered ranges; ``_chunk`` numbers them in order."""
-    ranged = df.repartitionByRange(range_width(df.sparkSession), *order_by)
-    return materialise(ranged.withColumn(_CHUNK, F.spark_partition_id()))
 
+def below(array: Column, value: Column) -> Column:
+    """How many of the marks lie below the value; 0 for a NULL value."""
+    return F.coalesce(F.size(F.filter(array, lambda m: m < value.cast("double"))), F.lit(0))
 
-def rows_at_ranks(df: DataFrame, order_by: list[str],
-                  ranks: Callable[[Column], Column],
-                  by: str | None = None, weight: str | None = None) -> DataFrame:
-    """The rows standing at given 1-based ranks of the ascending order, per group if ``by`` is set.
 
-    ``ranks`` turns the group's size into an array of ranks. With ``weight`` a row stands for that
-    many equal rows. The order should be unique (weighted rows: unique values). Adds ``_rank``
-    and ``_total``; a rank asked for twice comes back twice.
+def ranked(df: DataFrame, value: str, key: str, name: str) -> DataFrame:
+    """Adds 1, 2, 3 ... in the ascending order of (value, key), NULL values first, and ``_total``."""
+    found = df.withColumn("_marks", marks(df, value, key))
+    over = F.array_contains(F.col("_marks")[value], F.col(value).cast("double"))
+    pieces = found.withColumns({
+        "_v": below(F.col("_marks")[value], F.col(value)),
+        "_k": F.when(F.coalesce(over, F.lit(False)), below(F.col("_marks")[key], F.col(key)))
+              .otherwise(-1),
+        "_alone": F.coalesce(over, F.lit(False)).cast("int"),
+    }).drop("_marks")
+    # Of one _v, the values below the next mark come before that mark's own value.
+    piece = ["_v", "_alone", "_k"]
+    sizes = pieces.groupBy(*piece).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*piece, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+                          F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    inside = Window.partitionBy(*piece).orderBy(value, key)
+    return (pieces.withColumn("_local", F.row_number().over(inside)).join(starts, piece)
+            .withColumn(name, F.col("_start") + F.col("_local"))
+            .drop("_v", "_k", "_alone", "_local", "_start"))
+
+
+def ntile(df: DataFrame, buckets: int, order_by: list[str], name: str) -> DataFrame:
+    """Adds NTILE(buckets) over the unique ascending order of a value and a key.
+
+    For a descending order pass a negated column.
+    """
+    placed = ranked(df, *order_by, "_rank")
+    big = F.floor(F.col("_total") / buckets)
+    rest = F.col("_total") % buckets
+    in_larger = F.ceil(F.col("_rank") / (big + 1))
+    after = rest + F.ceil(F.try_divide(F.col("_rank") - rest * (big + 1), big))
+    bucket = F.when(F.col("_rank") <= rest * (big + 1), in_larger).otherwise(after)
+    return placed.withColumn(name, bucket.cast("int")).drop("_rank", "_total")
+
+
+def rank_bins(df: DataFrame, bins: int, order_by: list[str], name: str) -> DataFrame:
+    """Bins 1..bins by cutting the ranks 1..n of (value, key) at their equal-width quantiles.
+
+    Row k falls past edge e when k > 1 + (n - 1) * e / bins; the edge is taken in integers.
+    """
+    placed = ranked(df, *order_by, "_rank")
+    past = [(F.col("_rank") > F.floor((F.col("_total") - 1) * e / bins) + 1).cast("int")
+            for e in range(1, bins)]
+    return placed.withColumn(name, sum(past, F.lit(1))).drop("_rank", "_total")
+
+
+def rows_at_ranks(df: DataFrame, value: str, weight: str, ranks: Callable[[Column], Column],
+                  by: str | None = None) -> DataFrame:
+    """The values standing at given 1-based ranks of the ascending order, per group if ``by`` is set.
+
+    A row stands for ``weight`` equal values and is the only one of its value in its group.
+    ``ranks`` turns the group's size into an array of ranks. Adds ``_rank`` and ``_total``.
     """
     group = [by] if by else []
-    count = F.col(weight) if weight else F.lit(1)
-    keep = group + order_by + ([weight] if weight else [])
-    chunks = range_chunks(df.select(*keep), *group, *order_by)
+    pieces = df.select(*group, value, weight, marks(df, value).alias("_marks")) \
+        .withColumn("_piece", below(F.col("_marks")[value], F.col(value))).drop("_marks")
 
-    sizes = chunks.groupBy(*group, _CHUNK).agg(F.sum(count).alias("_size"))
+    sizes = pieces.groupBy(*group, "_piece").agg(F.sum(weight).alias("_size"))
     whole = Window.partitionBy(*group)
     sizes = sizes.select(
-        *group, _CHUNK, "_size",
+        *group, "_piece", "_size",
         F.sum("_size").over(whole).alias("_total"),
-        F.sum("_size").over(whole.orderBy(_CHUNK)).alias("_end"))
+        F.sum("_size").over(whole.orderBy("_piece")).alias("_end"))
     wanted = (
         sizes.withColumn("_rank", F.explode(ranks(F.col("_total"))))
         .where((F.col("_rank") <= F.col("_end"))
                & (F.col("_rank") > F.col("_end") - F.col("_size")))
-        .select(*group, _CHUNK, "_rank", "_total",
+        .select(*group, "_piece", "_rank", "_total",
                 (F.col("_rank") - F.col("_end") + F.col("_size")).alias("_local")))
 
-    on = [*group, _CHUNK]
-    hit = chunks.join(wanted.select(*on).distinct(), on, "left_semi")
-    inside = Window.partitionBy(*on).orderBy(*order_by) \
+    on = [*group, "_piece"]
+    hit = pieces.join(wanted.select(*on).distinct(), on, "left_semi")
+    inside = Window.partitionBy(*on).orderBy(value) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = hit.withColumn("_upto", F.sum(count).over(inside))
+    hit = hit.withColumn("_upto", F.sum(weight).over(inside))
     here = ((F.col("_local") <= F.col("_upto"))
-            & (F.col("_local") > F.col("_upto") - count))
-    return hit.join(wanted, on).where(here).drop(_CHUNK, "_upto", "_local")
-
-
-def _cuts(df: DataFrame, order_by: list[str], ranks: Callable[[Column], Column]) -> Column:
-    """Sorted array of the order keys at ``ranks``, as a scalar subquery."""
-    found = rows_at_ranks(df, order_by, ranks)
-    return found.agg(F.array_sort(F.collect_list(F.struct(*order_by)))).scalar()
+            & (F.col("_local") > F.col("_upto") - F.col(weight)))
+    return hit.join(wanted, on).where(here).drop("_piece", "_upto", "_local")
 
 
 def cuts_below(df: DataFrame, name: str, cuts: Column, key: Column) -> DataFrame:
     """Adds 1 + the number of ``cuts`` (one array, the same for every row) that lie below ``key``."""
     placed = df.withColumns({"_cuts": cuts, "_key": key})
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
-    return placed.withColumn(name, below + 1).drop("_cuts", "_key")
-
-
-def ntile(df: DataFrame, buckets: int, order_by: list[str], name: str, small: bool) -> DataFrame:
-    """Adds NTILE(buckets) over the unique ascending order ``order_by`` of the whole table.
-
-    For a descending order pass a negated column.
-    """
-    if small:
-        return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order_by)))
+    found = F.size(F.filter("_cuts", lambda cut: cut < F.col("_key")))
+    return placed.withColumn(name, found + 1).drop("_cuts", "_key")
 
-    def last_of_each(total: Column) -> Column:
-        big = F.floor(total / buckets)
-        rest = total % buckets
-        return F.array(*[F.lit(b) * big + F.least(F.lit(b), rest) for b in range(1, buckets)])
 
-    cuts = _cuts(df, order_by, last_of_each)
-    return cuts_below(df, name, cuts, F.struct(*order_by))
-
-
-def rank_bins(df: DataFrame, bins: int, order_by: list[str], name: str, small: bool) -> DataFrame:
-    """Bins 1..bins by cutting the ranks 1..n of ``order_by`` at their equal-width quantiles.
-
-    Row k falls past edge e when k > 1 + (n - 1) * e / bins; the edge is taken in integers.
-    """
-    def last_of_each(total: Column) -> Column:
-        return F.array(*[F.floor((total - 1) * e / bins) + 1 for e in range(1, bins)])
-
-    if small:
-        everything = Window.partitionBy()
-        place = F.row_number().over(Window.orderBy(*order_by))
-        edges = last_of_each(F.count(F.lit(1)).over(everything))
-        return (df.withColumn("_place", place).withColumn("_edges", edges)
-                .withColumn(name, F.size(F.filter("_edges", lambda e: e < F.col("_place"))) + 1)
-                .drop("_place", "_edges"))
-    cuts = _cuts(df, order_by, last_of_each)
-    return cuts_below(df, name, cuts, F.struct(*order_by))
-
-
-def number_within(df: DataFrame, parent: str, order_by: list[str], name: str, small: bool,
-                  hot_rows: int = SMALL_ROWS) -> DataFrame:
+def number_within(df: DataFrame, parent: str, order_by: list[str], name: str) -> DataFrame:
     """Adds 1, 2, 3 ... within each parent, in the unique order ``order_by``.
 
-    A window does it, except for parents with more than ``hot_rows`` rows: counting the rows per
-    parent is cheap next to sorting them, and usually finds none.
-    """
-    def by_window(rows: DataFrame) -> DataFrame:
-        within = Window.partitionBy(parent).orderBy(*order_by)
-        return rows.withColumn(name, F.row_number().over(within).cast("bigint"))
-
-    if small:
-        return by_window(df)
-    hot = df.groupBy(parent).agg(F.count(F.lit(1)).alias("_n")) \
-        .where(F.col("_n") > hot_rows).select(parent)
-    if hot.isEmpty():
-        return by_window(df)
-    hot = materialise(hot)
-    usual = by_window(df.join(hot, parent, "left_anti"))
-    return usual.unionByName(
-        _number_by_range(df.join(hot, parent, "left_semi"), parent, order_by, name))
-
-
-def _number_by_range(df: DataFrame, parent: str, order_by: list[str], name: str) -> DataFrame:
-    """Rows cut into ordered ranges, so that a large parent spreads over several of them.
-
-    Numbers restart in each range; a parent that goes on from one range to the next, of which
-    there are fewer than ranges, gets the count of its earlier rows on top.
+    One shuffle and a sort that can spill; the numbering itself holds one row at a time, so a
+    parent with very many rows makes a long task but not a large one.
     """
-    chunks = range_chunks(df, parent, *order_by)
-    ends = chunks.groupBy(_CHUNK).agg(F.min(parent).alias("_first"), F.max(parent).alias("_last"))
-    cut = ends.select(F.col("_last").alias(parent)).join(
-        ends.select(F.col("_first").alias(parent)), parent, "left_semi").distinct()
-    pieces = chunks.select(parent, _CHUNK).join(cut, parent, "left_semi") \
-        .groupBy(parent, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(parent).orderBy(_CHUNK) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select(parent, _CHUNK, F.sum("_n").over(before).alias("_before"))
-    within = Window.partitionBy(parent, _CHUNK).orderBy(*order_by)
-    numbered = chunks.withColumn("_local", F.row_number().over(within).cast("bigint"))
-    return numbered.join(pieces, [parent, _CHUNK], "left").withColumn(
-        name, F.col("_local") + F.coalesce("_before", F.lit(0))).drop(_CHUNK, "_local", "_before")
+    within = Window.partitionBy(parent).orderBy(*order_by)
+    return df.withColumn(name, F.row_number().over(within).cast("bigint"))

@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.operators.ordering import cuts_below, rows_at_ranks
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], small: bool,
+def exact_quantiles(df: DataFrame, value: str, probs: list[float],
                     by: str | None = None) -> DataFrame:
     """Column ``quantiles``: one array per group, in the order of ``probs``. NULLs are ignored.
 
-    Spark's own ``percentile`` keeps every distinct value of a group in one task, so it serves
-    small inputs only. Otherwise equal values are counted first, which also takes the weight out
-    of a hot value, and the wanted ranks are looked up among the counted values.
+    Spark's own ``percentile`` keeps every distinct value of a group in one task. Here equal values
+    are counted first, which also takes the weight out of a hot value, and the wanted ranks are
+    looked up among the counted values.
     """
     group = [by] if by else []
     df = df.select(*group, F.col(value).cast("double").alias("_value")).where("_value IS NOT NULL")
-    if small:
-        grouped = df.groupBy(*group)
-        return grouped.agg(F.percentile("_value", F.array(*map(F.lit, probs))).alias("quantiles"))
-
     def position(total: Column, p: float) -> Column:
         return (total - 1) * F.lit(p)
 
@@ -31,7 +27,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], small: bool,
             for p in probs for side in (F.floor, F.ceil)]))
 
     counted = df.groupBy(*group, "_value").agg(F.count(F.lit(1)).alias("_n"))
-    found = rows_at_ranks(counted, ["_value"], ranks, by=by, weight="_n")
+    found = rows_at_ranks(counted, "_value", "_n", ranks, by=by)
     entry = F.struct("_rank", "_value")
     looked_up = found.groupBy(*group).agg(
         F.max("_total").alias("_total"),
@@ -46,15 +42,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], small: bool,
     return looked_up.select(*group, F.array(*map(quantile, probs)).alias("quantiles"))
 
 
-def quantile_bins(df: DataFrame, value: str, bins: int, name: str, small: bool) -> DataFrame:
+def quantile_bins(df: DataFrame, value: str, bins: int, name: str) -> DataFrame:
     """Bins 1..bins cut at the value's quantiles; a value on an edge stays in the lower bin.
 
     Repeated edges simply leave bins empty.
     """
     probs = [e / bins for e in range(1, bins)]
-    if small:
-        marks = F.array(*map(F.lit, probs))
-        edges = F.percentile(F.col(value).cast("double"), marks).over(Window.partitionBy())
-    else:
-        edges = exact_quantiles(df, value, probs, small).scalar()
+    edges = exact_quantiles(df, value, probs).scalar()
     return cuts_below(df, name, edges, F.col(value).cast("double"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.numeric import half_up, money
 from tradelens.operators.keys import duplicate_keys, orphans, sample_rows
-from tradelens.operators.ordering import SMALL_ROWS, number_within
+from tradelens.operators.ordering import number_within
 from tradelens.plans.common import RETURNED, delivered
 from tradelens.sources import schema
 from tradelens.sources.tables import Tables, fill_totals
@@ -111,11 +111,10 @@ def returned_orders(tables: Tables) -> DataFrame:
     return orders.join(returns, "order_id", "left").withColumn("days_to_return", days)
 
 
-def numbered_lines(tables: Tables, small_rows: int = SMALL_ROWS) -> DataFrame:
+def numbered_lines(tables: Tables) -> DataFrame:
     """Distinct products of each order, numbered from 1: a key built from the parent's key."""
     lines = tables.order_items("order_id", "product_id").distinct()
-    small = tables.row_count("order_items") <= small_rows
-    return number_within(lines, "order_id", ["product_id"], "line_no", small, small_rows)
+    return number_within(lines, "order_id", ["product_id"], "line_no")
 
 
 def sample_orders(tables: Tables, rows: int = 200, seed: int = 42) -> DataFrame:

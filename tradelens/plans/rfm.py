@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.labels import LONG_LABELS, SHORT_LABELS, score_label, score_label_six
 from tradelens.functions.numeric import half_up, mean, money, percent, real, total
-from tradelens.operators.ordering import SMALL_ROWS, ntile, rank_bins
+from tradelens.operators.ordering import ntile, rank_bins
 from tradelens.operators.quantiles import quantile_bins
 from tradelens.plans.common import customer_value
 from tradelens.session import materialise
@@ -25,27 +25,22 @@ BUCKETS = 5
 REFERENCE_DATE = date(2025, 1, 1)
 
 
-def _base(tables: Tables, reference: date, small_rows: int) -> tuple[DataFrame, bool]:
-    """One row per customer with a delivered order.
-
-    There are no more customers than orders, so few orders prove a small frame. A large one is
-    written once, because every score needs its own pass over it.
-    """
+def _base(tables: Tables, reference: date) -> DataFrame:
+    """One row per customer with a delivered order, written once: every score reads it again."""
     customers = customer_value(tables).select(
         "customer_id", "last_order_date",
         F.datediff(F.lit(reference), "last_order_date").cast("bigint").alias("recency_days"),
         F.col("orders").alias("frequency"), F.col("spent").alias("monetary"))
-    small = tables.row_count("orders") <= small_rows
-    return (customers, True) if small else (materialise(customers), False)
+    return materialise(customers)
 
 
-def _ntile_scores(base: DataFrame, small: bool, orientation: str) -> DataFrame:
+def _ntile_scores(base: DataFrame, orientation: str) -> DataFrame:
     """r, f, m by NTILE over recency ascending, frequency and spend descending."""
     if orientation not in ("as_written", "best_high"):
         raise ValueError(f"unknown orientation: {orientation}")
     keyed = base.withColumns({"_f": -F.col("frequency"), "_m": -F.col("monetary")})
     for name, key in (("r_score", "recency_days"), ("f_score", "_f"), ("m_score", "_m")):
-        keyed = ntile(keyed, BUCKETS, [key, "customer_id"], name, small)
+        keyed = ntile(keyed, BUCKETS, [key, "customer_id"], name)
     if orientation == "best_high":
         keyed = keyed.withColumns({s: F.lit(BUCKETS + 1) - F.col(s)
                                    for s in ("r_score", "f_score", "m_score")})
@@ -54,10 +49,10 @@ def _ntile_scores(base: DataFrame, small: bool, orientation: str) -> DataFrame:
 
 
 def rfm_customers(tables: Tables, reference: date = REFERENCE_DATE,
-                  orientation: str = "as_written", small_rows: int = SMALL_ROWS) -> DataFrame:
-    base, small = _base(tables, reference, small_rows)
+                  orientation: str = "as_written") -> DataFrame:
+    base = _base(tables, reference)
     base = base.withColumn("monetary", F.round("monetary", 2))
-    scored = _ntile_scores(base, small, orientation)
+    scored = _ntile_scores(base, orientation)
     people = tables.customers("customer_id", "first_name", "last_name", "segment")
     cell = F.concat(*[F.col(s).cast("string") for s in ("r_score", "f_score", "m_score")])
     return scored.join(people, "customer_id").select(
@@ -70,9 +65,8 @@ def rfm_customers(tables: Tables, reference: date = REFERENCE_DATE,
 
 
 def rfm_segments_ntile(tables: Tables, reference: date = REFERENCE_DATE,
-                       orientation: str = "as_written",
-                       small_rows: int = SMALL_ROWS) -> DataFrame:
-    scored = _ntile_scores(*_base(tables, reference, small_rows), orientation)
+                       orientation: str = "as_written") -> DataFrame:
+    scored = _ntile_scores(_base(tables, reference), orientation)
     label = score_label_six(F.col("rfm_total"), F.col("r_score"))
     return scored.groupBy(label.alias("rfm_segment")).agg(
         F.count(F.lit(1)).alias("customers"),
@@ -81,63 +75,58 @@ def rfm_segments_ntile(tables: Tables, reference: date = REFERENCE_DATE,
     ).orderBy(F.desc("total_revenue"), "rfm_segment")
 
 
-def _quantile_scores(tables: Tables, reference: date, labels, small_rows: int) -> DataFrame:
-    base, small = _base(tables, reference, small_rows)
-    scored = quantile_bins(base, "recency_days", BUCKETS, "_r", small)
-    scored = rank_bins(scored, BUCKETS, ["frequency", "customer_id"], "f", small)
-    scored = quantile_bins(scored, "monetary", BUCKETS, "m", small)
+def _quantile_scores(tables: Tables, reference: date, labels) -> DataFrame:
+    base = _base(tables, reference)
+    scored = quantile_bins(base, "recency_days", BUCKETS, "_r")
+    scored = rank_bins(scored, BUCKETS, ["frequency", "customer_id"], "f")
+    scored = quantile_bins(scored, "monetary", BUCKETS, "m")
     scored = scored.withColumn("r", F.lit(BUCKETS + 1) - F.col("_r")).drop("_r")
     scored = scored.withColumn("rfm_score", F.col("r") + F.col("f") + F.col("m"))
     return scored.withColumn("rfm_segment", score_label(F.col("rfm_score"), labels))
 
 
-def rfm_quantile(tables: Tables, reference: date = REFERENCE_DATE, labels=SHORT_LABELS,
-                 small_rows: int = SMALL_ROWS) -> DataFrame:
-    return _quantile_scores(tables, reference, labels, small_rows).select(
+def rfm_quantile(tables: Tables, reference: date = REFERENCE_DATE, labels=SHORT_LABELS) -> DataFrame:
+    return _quantile_scores(tables, reference, labels).select(
         "customer_id", F.col("recency_days").alias("recency"), "frequency",
         money("monetary").alias("monetary"), "r", "f", "m", "rfm_score",
         F.col("rfm_segment").alias("segment"))
 
 
-def _by_segment(tables: Tables, reference: date, labels, small_rows: int, *extra: Column):
-    scored = _quantile_scores(tables, reference, labels, small_rows)
+def _by_segment(tables: Tables, reference: date, labels, *extra: Column):
+    scored = _quantile_scores(tables, reference, labels)
     return scored.groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customers"), mean("monetary").alias("avg_monetary"), *extra)
 
 
-def rfm_segment_summary(tables: Tables, reference: date = REFERENCE_DATE, labels=SHORT_LABELS,
-                        small_rows: int = SMALL_ROWS) -> DataFrame:
+def rfm_segment_summary(tables: Tables, reference: date = REFERENCE_DATE, labels=SHORT_LABELS) -> DataFrame:
     """Customers, their share of all customers, and average spend per group."""
     everyone = F.sum("customers").over(Window.partitionBy())
-    return _by_segment(tables, reference, labels, small_rows).select(
+    return _by_segment(tables, reference, labels).select(
         F.col("rfm_segment").alias("segment"), "customers",
         percent("customers", everyone, 1).alias("customers_pct"), "avg_monetary",
     ).orderBy(F.desc("avg_monetary"), "segment")
 
 
-def rfm_report(tables: Tables, reference: date = REFERENCE_DATE,
-               small_rows: int = SMALL_ROWS) -> DataFrame:
+def rfm_report(tables: Tables, reference: date = REFERENCE_DATE) -> DataFrame:
     """Customer-level scores with name, city and the long wording of the groups."""
     people = tables.customers("customer_id", "first_name", "last_name", "segment", "city")
-    return _quantile_scores(tables, reference, LONG_LABELS, small_rows) \
+    return _quantile_scores(tables, reference, LONG_LABELS) \
         .join(people, "customer_id").select(
             "customer_id", F.concat("first_name", F.lit(" "), "last_name").alias("name"),
             "segment", "city", F.col("recency_days").alias("recency"), "frequency",
             money("monetary").alias("monetary"), "rfm_score", "rfm_segment")
 
 
-def rfm_segment_pivot(tables: Tables, reference: date = REFERENCE_DATE,
-                      small_rows: int = SMALL_ROWS) -> DataFrame:
+def rfm_segment_pivot(tables: Tables, reference: date = REFERENCE_DATE) -> DataFrame:
     """Count, average lifetime value and average recency per group."""
     recency = half_up(F.avg(real("recency_days")), 1).alias("avg_recency")
-    return _by_segment(tables, reference, LONG_LABELS, small_rows, recency).select(
+    return _by_segment(tables, reference, LONG_LABELS, recency).select(
         "rfm_segment", "customers", F.col("avg_monetary").alias("avg_clv"), "avg_recency")
 
 
-def customer_kpis(tables: Tables, reference: date = REFERENCE_DATE,
-                  small_rows: int = SMALL_ROWS) -> DataFrame:
+def customer_kpis(tables: Tables, reference: date = REFERENCE_DATE) -> DataFrame:
     """Customers, Champions and customers at risk of leaving (At Risk or Lost)."""
-    scored = _quantile_scores(tables, reference, SHORT_LABELS, small_rows)
+    scored = _quantile_scores(tables, reference, SHORT_LABELS)
     everyone = tables.customers("customer_id").agg(F.count(F.lit(1))).scalar()
     return scored.agg(
         F.count_if(F.col("rfm_segment") == "Champions").alias("champions"),
@@ -145,17 +134,15 @@ def customer_kpis(tables: Tables, reference: date = REFERENCE_DATE,
     ).select(everyone.alias("total_customers"), "champions", "churn_risk")
 
 
-def rfm_scatter(tables: Tables, reference: date = REFERENCE_DATE,
-                small_rows: int = SMALL_ROWS) -> DataFrame:
-    return _quantile_scores(tables, reference, SHORT_LABELS, small_rows).select(
+def rfm_scatter(tables: Tables, reference: date = REFERENCE_DATE) -> DataFrame:
+    return _quantile_scores(tables, reference, SHORT_LABELS).select(
         "customer_id", "frequency", money("monetary").alias("monetary"), "rfm_segment")
 
 
-def pareto_share(tables: Tables, small_rows: int = SMALL_ROWS) -> DataFrame:
+def pareto_share(tables: Tables) -> DataFrame:
     """Revenue share of the top fifth of customers by spend (the first NTILE bucket)."""
-    base, small = _base(tables, REFERENCE_DATE, small_rows)
-    ranked = ntile(base.withColumn("_m", -F.col("monetary")), BUCKETS, ["_m", "customer_id"],
-                   "fifth", small)
+    base = _base(tables, REFERENCE_DATE)
+    ranked = ntile(base.withColumn("_m", -F.col("monetary")), BUCKETS, ["_m", "customer_id"], "fifth")
     top = F.col("fifth") == 1
     sums = ranked.agg(
         F.count_if(top).alias("top_customers"), F.count(F.lit(1)).alias("customers"),

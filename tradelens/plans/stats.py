@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.numeric import half_up, ratio, real
 from tradelens.functions.student_t import t_two_sided
-from tradelens.operators.ordering import SMALL_ROWS
 from tradelens.operators.quantiles import exact_quantiles
 from tradelens.plans.common import customer_value, delivered
 from tradelens.sources.schema import SEGMENTS
+from tradelens.session import materialise
 from tradelens.sources.tables import Tables
 
 # --- fixed values ---
@@ -23,31 +23,22 @@ LINE_POINTS = 50
 FEATURES = ["orders", "revenue", "aov", "avg_discount"]
 
 
-def _is_small(tables: Tables, small_rows: int) -> bool:
-    return tables.row_count("orders") <= small_rows
-
-
 def _values(tables: Tables) -> DataFrame:
-    return delivered(tables, "total_amount").select(real("total_amount").alias("x")) \
-        .where("x IS NOT NULL")
+    """The delivered amounts, written once: range, bins and quantiles each read them."""
+    return materialise(delivered(tables, "total_amount").select(real("total_amount").alias("x"))
+                       .where("x IS NOT NULL"))
 
 
 def _values_by_segment(tables: Tables, segments: list[str]) -> DataFrame:
     people = tables.customers("customer_id", "segment").where(F.col("segment").isin(segments))
-    return delivered(tables, "customer_id", "total_amount").join(people, "customer_id").select(
-        "segment", real("total_amount").alias("x"))
-
-
-def _quantiles_of_values(values: DataFrame, probs: list[float], small: bool) -> Column:
-    """To be used in an aggregate over ``values``: in the same pass when few, else looked up."""
-    if small:
-        return F.percentile("x", F.array(*map(F.lit, probs)))
-    return exact_quantiles(values, "x", probs, small).scalar()
+    return materialise(
+        delivered(tables, "customer_id", "total_amount").join(people, "customer_id").select(
+            "segment", real("total_amount").alias("x")))
 
 
-def order_value_describe(tables: Tables, small_rows: int = SMALL_ROWS) -> DataFrame:
+def order_value_describe(tables: Tables) -> DataFrame:
     values = _values(tables)
-    quartiles = _quantiles_of_values(values, [0.25, 0.5, 0.75], _is_small(tables, small_rows))
+    quartiles = exact_quantiles(values, "x", [0.25, 0.5, 0.75]).scalar()
     return values.agg(
         F.count("x").alias("count"), half_up(F.avg("x"), 2).alias("mean"),
         half_up(F.stddev_samp("x"), 2).alias("std"), F.min("x").alias("min"),
@@ -75,10 +66,9 @@ def _equal_width(values: DataFrame, bins: int, **figures: Column) -> DataFrame:
         .join(counted, "bin", "left").na.fill(0, ["n"])
 
 
-def order_value_histogram(tables: Tables, bins: int = BINS,
-                          small_rows: int = SMALL_ROWS) -> DataFrame:
+def order_value_histogram(tables: Tables, bins: int = BINS) -> DataFrame:
     values = _values(tables)
-    median = _quantiles_of_values(values, [0.5], _is_small(tables, small_rows))
+    median = exact_quantiles(values, "x", [0.5]).scalar()
     lower = F.col("lo") + F.col("bin") * F.col("w")
     return _equal_width(values, bins, mean=F.avg("x"), median=median).select(
         "bin", half_up(lower, 4).alias("lower"), half_up(lower + F.col("w"), 4).alias("upper"),
@@ -109,18 +99,21 @@ def order_value_density(tables: Tables, bins: int = BINS, grid: int = GRID) -> D
                          half_up(density, 10).alias("density"))
 
 
-def order_value_box_by_segment(tables: Tables, segments: list[str] = SEGMENTS,
-                               small_rows: int = SMALL_ROWS) -> DataFrame:
+def order_value_box_by_segment(tables: Tables, segments: list[str] = SEGMENTS) -> DataFrame:
     """Quartiles, whiskers within 1.5 IQR, median notch and outlier count per segment."""
     values = _values_by_segment(tables, segments)
-    quartiles = exact_quantiles(values, "x", [0.25, 0.5, 0.75],
-                                _is_small(tables, small_rows), by="segment")
+    quartiles = exact_quantiles(values, "x", [0.25, 0.5, 0.75], by="segment")
     q1, q2, q3 = (F.get("quantiles", F.lit(i)) for i in range(3))
     fences = quartiles.select("segment", q1.alias("q1"), q2.alias("median"), q3.alias("q3"),
                               (q3 - q1).alias("iqr"))
     inside = F.col("x").between(F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr"))
     kept = F.when(inside, F.col("x"))
-    box = values.join(fences, "segment").groupBy("segment", "q1", "median", "q3", "iqr").agg(
+    # The fences of all segments as one map: the amounts need not meet them by segment.
+    of = fences.agg(F.map_from_entries(F.collect_list(F.struct(
+        "segment", F.struct("q1", "median", "q3", "iqr"))))).scalar()
+    fenced = values.withColumn("_of", of).withColumn("_of", F.try_element_at("_of", "segment")) \
+        .select("segment", "x", "_of.*")
+    box = fenced.groupBy("segment", "q1", "median", "q3", "iqr").agg(
         F.count("x").alias("orders"), F.min(kept).alias("whisker_low"),
         F.max(kept).alias("whisker_high"), F.count_if(~inside).alias("outliers"))
     notch = 1.57 * F.col("iqr") / F.sqrt(real("orders"))
