@@ -10,15 +10,16 @@ WITH cust AS (
          CASE WHEN c_custkey % 50 <> 0
               THEN concat('customer', CAST(c_custkey AS VARCHAR), '@example.com') END AS email,
          n_name AS city, n_name AS state, c_mktsegment AS segment
-  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
 prod AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category, p_brand AS brand,
          p_retailprice AS unit_price, CAST(p_retailprice AS DECIMAL(12,2)) AS cost_price
   FROM part),
 line AS (
-  SELECT l_orderkey * 1000 + row_number() OVER (
+  SELECT CAST(CAST(l_orderkey AS HUGEINT) * 1000000000000000000 + row_number() OVER (
            PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,
-                                            l_extendedprice, l_quantity) AS item_id,
+                                            l_extendedprice, l_quantity)
+              AS DECIMAL(38,0)) AS item_id,
          l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
          l_extendedprice / l_quantity AS unit_price, l_discount AS discount_pct,
          CAST(CAST(l_extendedprice AS DECIMAL(12,2))
@@ -40,7 +41,7 @@ raw_ord AS (
               WHEN o_orderkey % 10 < 9 THEN 'Website' ELSE 'Mobile Web' END AS channel,
          (o_custkey % 5) * 5 / CAST(100 AS DOUBLE) AS discount_pct,
          t.total_amount, c.city, c.state
-  FROM orders JOIN cust c ON o_custkey = c.customer_id
+  FROM orders LEFT JOIN cust c ON o_custkey = c.customer_id
        LEFT JOIN line_total t ON t.order_id = o_orderkey),
 ord AS (SELECT * REPLACE (coalesce(total_amount, 0) AS total_amount) FROM raw_ord),
 done AS (SELECT * FROM ord WHERE status = 'Delivered'),

@@ -140,6 +140,8 @@ _STATE = f"""st AS (
   SELECT state, count(*) AS orders, sum(total_amount) AS spent,
          count(DISTINCT customer_id) AS customers FROM done GROUP BY state)"""
 
+_KNOWN_STATE = _STATE.replace("FROM done", "FROM done WHERE state IS NOT NULL")
+
 _STATE_REPORT = f"""
 SELECT state, orders, {money('spent')} AS revenue, customers, {ratio('spent', 'orders', 2)} AS aov,
        {ratio('spent', 'sum(spent) OVER ()', 6)} AS revenue_share,
@@ -240,8 +242,8 @@ SELECT unnest(['Total Revenue', 'Total Orders', 'Avg Order Value', 'Unique Custo
                format('{:.1f}%', (SELECT 100 * avg(discount_pct) FROM done)),
                format('{:.1f}%', (SELECT gross_margin_pct FROM margin))]) AS value
 FROM head""", _HEAD, _MARGIN),
-    "state_analysis": query(_STATE_REPORT, _STATE),
-    "state_analysis_top8": query(_STATE_REPORT + " ORDER BY revenue DESC, state LIMIT 8", _STATE),
+    "state_analysis": query(_STATE_REPORT, _KNOWN_STATE),
+    "state_analysis_top8": query(_STATE_REPORT + " ORDER BY revenue DESC, state LIMIT 8", _KNOWN_STATE),
 }
 
 _MONTH = """mon AS (

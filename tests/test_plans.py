@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as driver
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = driver.queries()
+QUERIES = {name: query for name, query in driver.queries().items() if name in driver.ANALYSES}
 
 # Tests with a p-value end in a Python function on one row; pairs are counted in Python.
 PYTHON = {"segment_ttest", "discount_ttest", "pearson_test"}
@@ -48,3 +48,30 @@ def test_status_report_does_not_touch_the_lines(spark):
 
 def test_first_order_uses_hash_aggregates(spark):
     assert "SortAggregate" not in plan(QUERIES["new_vs_repeat"](spark, FOLDER))
+
+
+def lines_shuffled(text: str) -> int:
+    """Exchanges above a scan of the lines, in the plan without adaptive changes."""
+    count, depths = 0, []
+    for line in text.split("== Initial Plan ==")[-1].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        while depths and depths[-1][0] >= depth:
+            depths.pop()
+        if "Exchange" in line:
+            depths.append((depth, "Exchange"))
+        if "l_orderkey" in line and "FileScan" in line:
+            count = max(count, len(depths))
+    return count
+
+
+@pytest.mark.parametrize("name, most", [("revenue_by_category", 4), ("category_margin", 4),
+                                        ("product_return_rate", 4), ("category_return_rate", 3),
+                                        ("gross_margin", 3)])
+def test_lines_are_shuffled_no_more_than_needed(spark, name, most):
+    """On the lines' way to the result; those of sums, of the top rows and of the sort included."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert lines_shuffled(plan(QUERIES[name](spark, FOLDER))) <= most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

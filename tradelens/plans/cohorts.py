@@ -13,18 +13,17 @@ from tradelens.plans.common import delivered, order_count
 from tradelens.sources.tables import Tables
 
 
-def cohort_retention(tables: Tables, limit: int | None = 50) -> DataFrame:
-    """Customers by month of first order and month of activity; ``limit=None`` for all cells.
+def cohort_retention(tables: Tables, limit: int | None = None) -> DataFrame:
+    """Customers by month of first order and month of activity; with ``limit`` the first cells only.
 
-    Orders shrink to distinct (customer, month) before anything else, so the window that finds a
-    customer's first month never holds more rows than there are months. All of a cohort is
-    active in its own first month, so that cell is the cohort's size.
+    Orders shrink to each customer's set of months in one shuffle; a set never holds more than
+    there are months. All of a cohort is active in its own first month, so that cell is the
+    cohort's size.
     """
-    active = delivered(tables, "customer_id", "order_date").select(
-        "customer_id", F.trunc("order_date", "month").alias("month")).distinct()
-    started = F.min("month").over(Window.partitionBy("customer_id"))
-    cells = active.withColumn("cohort", started).groupBy("cohort", "month") \
-        .agg(F.count("customer_id").alias("active_customers"))
+    months = delivered(tables, "customer_id", "order_date").where("order_date IS NOT NULL") \
+        .groupBy("customer_id").agg(F.collect_set(F.trunc("order_date", "month")).alias("months"))
+    cells = months.select(F.array_min("months").alias("cohort"), F.explode("months").alias("month")) \
+        .groupBy("cohort", "month").agg(F.count(F.lit(1)).alias("active_customers"))
     size = F.max(F.when(F.col("month") == F.col("cohort"), F.col("active_customers"))) \
         .over(Window.partitionBy("cohort"))
     report = cells.withColumn("cohort_customers", size).select(

@@ -70,10 +70,12 @@ def category_sales(tables: Tables) -> DataFrame:
     """Delivered sales per category with exact revenue and cost.
 
     Summed per (category, order) first: then the number of orders is a plain count, and a
-    category with very many lines is shared out by order.
+    category with very many lines is shared out by order. The products come before the orders, so
+    that the join with the orders has already dealt the lines as that sum needs them.
     """
-    lines = sold_lines(tables, "product_id", *LINE_MEASURES).join(
-        tables.products("product_id", "category", "cost_price"), "product_id")
+    products = tables.products("product_id", "category", "cost_price")
+    lines = tables.order_items("order_id", "product_id", *LINE_MEASURES) \
+        .join(products, "product_id").join(delivered(tables, "order_id"), "order_id")
     per_order = lines.groupBy("category", "order_id").agg(
         F.sum("quantity").alias("units"), F.sum("line_revenue").alias("revenue"),
         F.sum(F.col("quantity") * F.col("cost_price")).alias("cost"),

@@ -205,14 +205,19 @@ def dashboard_kpis(tables: Tables) -> DataFrame:
     return _headline(tables).withColumn("gross_margin_pct", margin)
 
 
-def state_analysis(tables: Tables, top: int | None = None) -> DataFrame:
-    """Delivered sales per state with revenue share and the heat value of its cell."""
+def state_sales(tables: Tables) -> DataFrame:
+    """Delivered sales per state; orders without a state are a group of their own."""
     per_customer = delivered(tables, "state", "customer_id", "total_amount") \
-        .where("state IS NOT NULL").groupBy("state", "customer_id") \
+        .groupBy("state", "customer_id") \
         .agg(order_count().alias("n"), F.sum("total_amount").alias("spent"))
-    states = per_customer.groupBy("state").agg(
+    return per_customer.groupBy("state").agg(
         F.sum("n").alias("orders"), F.sum("spent").alias("spent"),
         F.count("customer_id").alias("customers"))
+
+
+def state_analysis(tables: Tables, top: int | None = None) -> DataFrame:
+    """Delivered sales per known state with revenue share and the heat value of its cell."""
+    states = state_sales(tables).where("state IS NOT NULL")
     heat = 200 - 150 * ratio("spent", F.max("spent").over(whole()))
     report = states.select(
         "state", "orders", money("spent").alias("revenue"), "customers",

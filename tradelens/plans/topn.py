@@ -9,7 +9,9 @@ from tradelens.functions.numeric import half_up, money, percent, ratio
 from tradelens.plans.common import (
     FULFILLED, category_sales, customer_value, orders_in, product_sales, whole,
 )
-from tradelens.plans.overview import category_margin, channel_summary, return_rate, state_analysis
+from tradelens.plans.overview import (
+    category_margin, channel_summary, return_rate, state_analysis, state_sales,
+)
 from tradelens.sources.tables import Tables
 
 
@@ -26,7 +28,9 @@ def top_products_revenue(tables: Tables, limit: int = 10) -> DataFrame:
 
 
 def top_states(tables: Tables, limit: int = 5) -> DataFrame:
-    return state_analysis(tables, limit).select("state", "customers", "orders", "revenue", "aov")
+    return state_sales(tables).select(
+        "state", "customers", "orders", money("spent").alias("revenue"),
+        ratio("spent", "orders", 2).alias("aov")).orderBy(F.desc("revenue"), "state").limit(limit)
 
 
 def top_customers(tables: Tables, limit: int = 10) -> DataFrame:
@@ -40,19 +44,22 @@ def top_customers(tables: Tables, limit: int = 10) -> DataFrame:
         "last_order_date").orderBy(F.desc("lifetime_value"), "customer_id")
 
 
-def _product_orders(tables: Tables) -> DataFrame:
-    """Distinct (order, product) of delivered and returned orders, with the order's returns."""
+def _with_returns(lines: DataFrame, tables: Tables) -> DataFrame:
+    """Distinct rows of ``lines`` in delivered and returned orders, with the order's returns.
+
+    Dealt by order once: that serves the distinct rows as well as the join with the orders.
+    """
     per_order = tables.returns("order_id", "return_id").groupBy("order_id") \
         .agg(F.count("return_id").alias("returns"))
     orders = orders_in(tables, FULFILLED, "order_id").join(per_order, "order_id", "left") \
         .na.fill(0, ["returns"])
-    pairs = tables.order_items("order_id", "product_id").distinct()
-    return pairs.join(orders, "order_id")
+    return lines.repartition("order_id").distinct().join(orders, "order_id")
 
 
 def product_return_rate(tables: Tables, min_orders: int = 5, limit: int = 10) -> DataFrame:
     """An order's return counts for every product in it."""
-    rated = _product_orders(tables).groupBy("product_id").agg(
+    lines = tables.order_items("order_id", "product_id")
+    rated = _with_returns(lines, tables).groupBy("product_id").agg(
         F.count("order_id").alias("total_orders"), F.sum("returns").alias("returns"))
     rate = percent("returns", "total_orders", 1)
     top = rated.where(F.col("total_orders") >= min_orders).withColumn("return_rate_pct", rate) \
@@ -65,9 +72,8 @@ def product_return_rate(tables: Tables, min_orders: int = 5, limit: int = 10) ->
 def category_return_rate(tables: Tables) -> DataFrame:
     """The same rate per category: an order counts once for each category in it."""
     categories = tables.products("product_id", "category")
-    per_pair = _product_orders(tables).join(categories, "product_id") \
-        .groupBy("category", "order_id").agg(F.max("returns").alias("returns"))
-    rated = per_pair.groupBy("category").agg(
+    lines = tables.order_items("order_id", "product_id").join(categories, "product_id")
+    rated = _with_returns(lines.select("order_id", "category"), tables).groupBy("category").agg(
         F.count("order_id").alias("total_orders"), F.sum("returns").alias("returns"))
     return rated.withColumn("return_rate_pct", percent("returns", "total_orders", 1))
 

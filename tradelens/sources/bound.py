@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelens.operators.ordering import SMALL_ROWS, number_within
+from tradelens.operators.ordering import number_within
 from tradelens.sources.schema import RETURN_REASONS
 from tradelens.sources.tables import LINE_SEQ, Tables
 
@@ -40,6 +40,9 @@ COLUMNS = {
 DRIVING = {"customers": "customer", "products": "part", "orders": "orders",
            "order_items": "lineitem", "returns": "orders"}
 
+# An order's lines are numbered from 1; no order reaches the next one's numbers.
+ITEM_STEP = Decimal(10 ** 18)
+
 # Identifies a line within its order; (order, line number) alone is not unique.
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
               "l_quantity"]
@@ -90,7 +93,8 @@ class StarTables(Tables):
         columns = columns or tuple(COLUMNS["customers"])
         df = self._frames["customer"]
         if {"city", "state"} & set(columns):
-            df = df.join(self._frames["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+            df = df.join(self._frames["nation"], F.col("c_nationkey") == F.col("n_nationkey"),
+                         "left")
         key = F.col("c_custkey")
         rules = {
             "customer_id": key,
@@ -133,10 +137,10 @@ class StarTables(Tables):
             return lines.select(*[rules[c].alias(c) for c in columns])
         wanted = dict.fromkeys(["order_id", *columns])
         lines = lines.select(*LINE_ORDER, *[rules[c].alias(c) for c in wanted if c in rules])
-        small = self.row_count("order_items") <= SMALL_ROWS
-        numbered = number_within(lines, "order_id", LINE_ORDER, "line_no", small, SMALL_ROWS)
-        return numbered.withColumn("item_id", F.col("order_id") * 1000 + F.col("line_no")) \
-            .select(*columns)
+        numbered = number_within(lines, "order_id", LINE_ORDER, "line_no")
+        order, line = (F.col(c).cast("decimal(19,0)") for c in ("order_id", "line_no"))
+        item_id = (order * ITEM_STEP + line).cast("decimal(38,0)")
+        return numbered.withColumn("item_id", item_id).select(*columns)
 
     def order_totals(self) -> DataFrame:
         """Line revenue per order, summed before it meets the orders."""
@@ -171,7 +175,7 @@ class StarTables(Tables):
         if "total_amount" in columns:
             df = df.join(self.order_totals(), "order_id", "left")
         if place:
-            df = df.join(self.customers("customer_id", *sorted(place)), "customer_id")
+            df = df.join(self.customers("customer_id", *sorted(place)), "customer_id", "left")
         return df.select(*columns)
 
     def returns(self, *columns: str) -> DataFrame:
