@@ -55,3 +55,19 @@ def test_small_batches_split_groups(spark):
 def test_empty_and_single_rows(spark):
     assert run(spark, []) == {}
     assert run(spark, [(1, 1, "a"), (2, 2, "b")]) == {}
+
+
+def test_missing_groups_and_large_ids(spark):
+    big = (1 << 53) + 1
+    rows = [(None, 1, "a"), (None, 2, "b"), (big, 1, "a"), (big, 2, "b"), (big + 1, 1, "b"), (big + 1, 2, "c")]
+    assert run(spark, rows) == {("a", "b"): 1, ("b", "c"): 1}
+
+
+def test_very_many_labels(spark):
+    rows = [(i // 3, i, f"l{i % 10_000}") for i in range(30_000)]
+    assert run(spark, rows) == brute_force(rows)
+
+
+def test_groups_of_any_type(spark):
+    df = spark.createDataFrame([("x", 1, "a"), ("x", 2, "b"), ("y", 1, "a")], "g string, o bigint, label string")
+    assert [tuple(r) for r in ordered_label_pairs(df, "g", "o", "label").collect()] == [("a", "b", 1)]

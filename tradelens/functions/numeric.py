@@ -15,10 +15,14 @@ def real(value: Column | str) -> Column:
     return (F.col(value) if isinstance(value, str) else value).cast("double")
 
 
+_NO_FRACTION = float(1 << 52)  # doubles from here on have no digits to round
+
+
 def half_up(value: Column, digits: int) -> Column:
     scale = float(10 ** digits)
     value = real(value)
-    return F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / F.lit(scale)
+    rounded = F.signum(value) * F.floor(F.abs(value) * scale + 0.5) / F.lit(scale)
+    return F.when(F.abs(value) * scale < _NO_FRACTION, rounded).otherwise(value)
 
 
 def money(value: Column | str, digits: int = 2) -> Column:

@@ -1,10 +1,10 @@
-"""Counting ordered label pairs inside groups, without forming the pairs."""
+"""Counting ordered label pairs inside groups, without forming the pairs of large groups."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,100 +13,84 @@ from tradelens.session import materialise, range_width
 
 def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str,
                         rows: int | None = None) -> DataFrame:
-    """For labels (a, b): how many row pairs of the same group have a before b.
+    """For labels (a, b): how many row pairs of the same group have a before b. NULL groups have none.
 
     A group of n rows has n(n-1)/2 pairs, so a hot group would blow up a self-join. Instead the
-    rows are range-partitioned by (group, order) and each task walks its sorted rows with one
-    running count per label. A group cut by a partition border is hot or at the border; those
-    leave label counts per piece, from which the pairs across pieces follow. ``rows`` is a rough
-    row count, if known; it sets the number of ranges.
+    narrow rows are written, range-partitioned by (group, order), and each task walks its sorted
+    rows: each row meets the label counts of its group so far, so the work is rows times labels in
+    the group. A group cut by a partition border leaves label counts per piece, from which the
+    pairs across pieces follow. Counts are kept by pair that occurs, not for all labels squared.
+    ``rows`` is a rough row count, if known; it sets the number of ranges.
     """
     parts = range_width(df.sparkSession, rows)
-    ranged = (df.select(F.col(group).cast("bigint").alias("g"), F.col(order).alias("o"),
-                        F.col(label).alias("label"))
-              .repartitionByRange(parts, "g", "o").sortWithinPartitions("g", "o")
+    narrow = materialise(df.where(F.col(group).isNotNull()).select(
+        F.col(group).alias("g"), F.col(order).alias("o"), F.col(label).alias("label")))
+    ranged = (narrow.repartitionByRange(parts, "g", "o").sortWithinPartitions("g", "o")
               .select("g", "label", F.spark_partition_id().alias("part")))
+    kind = narrow.schema["g"].dataType.simpleString()
 
-    def within(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
+    def within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: dict = {}
+        running: dict = {}  # label -> rows of the open group so far
+        open_group, part, closed = None, None, 0
+        pieces = []  # label counts of the partition's first and last group
 
-        codes: dict = {}                        # label -> position in the count arrays
-        pairs = np.zeros((0, 0), dtype=np.int64)
-        running = np.zeros(0, dtype=np.int64)   # label counts of the open group so far
-        open_group, part, first_closed = None, None, False
-        pieces = []
-
-        def leave_piece(counts):
-            pieces.extend((int(open_group), part, name, int(counts[code]))
-                          for name, code in codes.items() if counts[code])
+        def leave_piece() -> None:
+            pieces.extend((open_group, part, name, n) for name, n in running.items())
 
         for batch in batches:
-            if batch.empty:
-                continue
-            part = int(batch["part"].iloc[0])
-            local, names = pd.factorize(batch["label"], use_na_sentinel=False)
-            known = np.array([codes.setdefault(None if pd.isna(x) else x, len(codes))
-                              for x in names])
-            code, size = known[local], len(codes)
-            more = size - len(running)
-            running = np.pad(running, (0, more))
-            pairs = np.pad(pairs, ((0, more), (0, more)))
-
-            groups = batch["g"].to_numpy()
-            new = np.r_[True, groups[1:] != groups[:-1]]
-            starts, run = np.flatnonzero(new), np.cumsum(new) - 1  # run: group number in batch
-            head, tail = run == 0, run == run[-1]
-            if open_group is not None and groups[0] != open_group:
-                if not first_closed:
-                    leave_piece(running)
-                    first_closed = True
-                running = np.zeros(size, dtype=np.int64)
-            open_group = groups[0]
-
-            for a in np.union1d(known, np.flatnonzero(running)):
-                here = code == a
-                before = np.cumsum(here) - here
-                earlier = before - before[starts][run] + np.where(head, running[a], 0)
-                found = np.bincount(code, weights=earlier, minlength=size)
-                pairs[a] += found.astype(np.int64)
-
-            running = running + np.bincount(code[head], minlength=size)
-            if len(starts) > 1:
-                if not first_closed:
-                    leave_piece(running)
-                    first_closed = True
-                running = np.bincount(code[tail], minlength=size)
-            open_group = groups[-1]
+            if batch.num_rows:
+                part = batch.column(2)[0].as_py()
+            for g, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if g != open_group:
+                    if open_group is not None:
+                        if not closed:
+                            leave_piece()
+                        closed += 1
+                    open_group, running = g, {}
+                for earlier, n in running.items():
+                    pair = earlier, name
+                    pairs[pair] = pairs.get(pair, 0) + n
+                running[name] = running.get(name, 0) + 1
         if open_group is not None:
-            leave_piece(running)
-        names = list(codes)
-        inside = [(None, part, names[a], names[b], int(pairs[a, b]))
-                  for a, b in zip(*np.nonzero(pairs))]
-        ends = [(g, p, name, None, n) for g, p, name, n in pieces]
-        yield pd.DataFrame(inside + ends, columns=["g", "part", "a", "b", "n"]).astype(
-            {"g": "Int64", "part": "Int64", "n": "Int64"})
-
+            leave_piece()
+        found = [(None, part, a, b, n) for (a, b), n in pairs.items()]
+        found += [(g, p, name, None, n) for g, p, name, n in pieces]
+        yield pa.RecordBatch.from_pylist(
+            [dict(zip(("g", "part", "a", "b", "n", "piece"), (*row, row[0] is not None)))
+             for row in found], schema=tally)
+
+    tally = pa.schema([("g", _arrow(narrow, "g")), ("part", pa.int32()), ("a", pa.string()),
+                       ("b", pa.string()), ("n", pa.int64()), ("piece", pa.bool_())])
     # Small: per partition one row per label pair and the label counts of two groups.
-    tallies = materialise(
-        ranged.mapInPandas(within, "g bigint, part bigint, a string, b string, n bigint"))
-    inside = tallies.where("g IS NULL").select("a", "b", "n")
+    tallies = materialise(ranged.mapInArrow(
+        within, f"g {kind}, part int, a string, b string, n bigint, piece boolean"))
+    inside = tallies.where("NOT piece").select("a", "b", "n")
 
-    cut = tallies.where("g IS NOT NULL")
+    cut = tallies.where("piece").drop("piece")
     spans = cut.groupBy("g").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
     cut = cut.join(spans.where("lo < hi").select("g"), "g", "left_semi")
 
-    def across(pieces: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
+    def across(group_pieces: pa.Table) -> pa.Table:
+        counts: dict[int, dict] = {}
+        for row in group_pieces.to_pylist():
+            mine = counts.setdefault(row["part"], {})
+            mine[row["a"]] = mine.get(row["a"], 0) + row["n"]
+        found: dict = {}
+        before: dict = {}
+        for number in sorted(counts):
+            for b, n in counts[number].items():
+                for a, earlier in before.items():
+                    found[a, b] = found.get((a, b), 0) + earlier * n
+            for b, n in counts[number].items():
+                before[b] = before.get(b, 0) + n
+        return pa.Table.from_pylist([{"a": a, "b": b, "n": n} for (a, b), n in found.items()],
+                                    schema=pa.schema([("a", pa.string()), ("b", pa.string()),
+                                                      ("n", pa.int64())]))
+
+    border = cut.groupBy("g").applyInArrow(across, "a string, b string, n bigint")
+    return inside.unionByName(border).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
-        parts, row = np.unique(pieces["part"], return_inverse=True)  # ascending
-        names, column = np.unique(pieces["a"], return_inverse=True)
-        counts = np.zeros((len(parts), len(names)), dtype=object)
-        np.add.at(counts, (row, column), pieces["n"].to_numpy(dtype=object))
-        before = np.cumsum(counts, axis=0) - counts
-        product = before.T.dot(counts)
-        return pd.DataFrame([(names[a], names[b], int(n))
-                             for (a, b), n in np.ndenumerate(product) if n],
-                            columns=["a", "b", "n"])
 
-    border = cut.groupBy("g").applyInPandas(across, "a string, b string, n bigint")
-    return inside.unionByName(border).groupBy("a", "b").agg(F.sum("n").alias("n"))
+def _arrow(df: DataFrame, name: str) -> pa.DataType:
+    return df.select(name).limit(0).toArrow().schema.field(name).type

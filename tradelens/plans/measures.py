@@ -51,6 +51,9 @@ class SlicedTables(Tables):
     def row_count(self, name: str) -> int:
         return self._base.row_count(name)  # an upper bound
 
+    def input_bytes(self) -> int:
+        return self._base.input_bytes()
+
     def customers(self, *columns: str) -> DataFrame:
         names = columns or tuple(self.columns("customers"))
         return self._narrow(self._base.customers, names, self._in("segment", self._s.segments))

@@ -40,8 +40,8 @@ def local_session(cores: str = "*", app: str = "tradelens", **conf: str) -> Spar
 
 
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_USUAL = "tradelens.shuffle.usualWidth"
 BYTES_PER_PARTITION = 256 * 1024 * 1024
-MOST_PARTITIONS = 50_000
 FEW_ROWS, MANY_ROWS = 100_000, 20_000_000  # rows a range should have at least, at most
 
 
@@ -59,9 +59,16 @@ def range_width(spark: SparkSession, rows: int | None = None) -> int:
 
 
 def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Start shuffles wide enough for the input; never narrower than the session has it."""
-    wanted = min(-(-input_bytes // BYTES_PER_PARTITION), MOST_PARTITIONS)
-    if wanted > shuffle_width(spark):
+    """Start shuffles wide enough for the input, never narrower than the session had it at first.
+
+    A query on little input after one on much starts as narrow as before again.
+    """
+    usual = spark.conf.get(_USUAL, None)
+    if usual is None:
+        usual = str(shuffle_width(spark))
+        spark.conf.set(_USUAL, usual)
+    wanted = max(-(-input_bytes // BYTES_PER_PARTITION), int(usual))
+    if wanted != shuffle_width(spark):
         spark.conf.set(_INITIAL, str(wanted))
 
 
