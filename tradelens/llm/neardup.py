@@ -9,10 +9,11 @@ hash minima are taken of each set. Documents that agree in a whole band meet in
 2. Links make components, by alternating large-star and small-star.
 3. Where a bucket still holds several components, members of the smaller ones are compared with
    all members of the others, block by block and on full sets, so that no link gets lost through
-   the choice of the smallest. What this finds goes into the components.
+   the choice of the smallest. Two that stand alone are first compared by two bits of each of their
+   minima, inside the join that brings them together. What this finds goes into the components.
 
 No bucket forms all its pairs, and none is left out. A pair of similarity 0.8 has no band in common
-with probability (1 - 0.8^6)^40 = 5e-6, and fails the comparison of minima with less than 1e-6.
+with probability (1 - 0.8^6)^40 = 5e-6, and fails a comparison of minima with less than 1e-6.
 
 Defined cases: null texts and texts without words have an empty set, are linked with nothing and
 are kept. A row without doc_id is linked with nothing: component_id null, kept. Rows that share a
@@ -28,7 +29,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.llm.components import components
@@ -89,6 +90,32 @@ def least_agreeing(least: int = LEAST, count: int = BANDS * ROWS) -> int:
     return int(count * p - SIGMAS * (count * p * (1 - p)) ** 0.5)
 
 
+def most_differing(least: int = LEAST, count: int = BANDS * ROWS) -> int:
+    """Minima of which two bits differ in a pair of at least this similarity, but for SIGMAS."""
+    p = 0.75 * (1 - least / 100)
+    return int(count * p + SIGMAS * (count * p * (1 - p)) ** 0.5) + 1
+
+
+def two_bits(low: np.ndarray) -> np.ndarray:
+    """The two lowest bits of every minimum, 32 to a number."""
+    held = np.zeros(-(-len(low) // 32) * 32, np.uint64)
+    held[:len(low)] = low & np.uint32(3)
+    places = np.arange(0, 64, 2, dtype=np.uint64)
+    return np.bitwise_or.reduce(held.reshape(-1, 32) << places, axis=1)
+
+
+_EVERY_OTHER = 0x5555555555555555
+
+
+def differing(a: Column, b: Column, numbers: int) -> Column:
+    """How many minima differ in their two bits."""
+    total = F.lit(0)
+    for i in range(numbers):
+        off = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        total += F.bit_count(off.bitwiseOR(F.shiftrightunsigned(off, 1)).bitwiseAND(F.lit(_EVERY_OTHER)))
+    return total
+
+
 def _features(bands: int, rows: int):
     a, b = _family(bands * rows)
     place = np.arange(bands, dtype=np.uint64)
@@ -105,12 +132,14 @@ def _features(bands: int, rows: int):
                     key ^= key >> np.uint64(31)
                 out.append((len(hashes), hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(),
                             key.astype(np.int64) if len(hashes) else None,
-                            (low & np.uint32(255)).astype(np.uint8).tobytes()))
-            n, digest, keys, low = zip(*out)
+                            (low & np.uint32(255)).astype(np.uint8).tobytes(),
+                            two_bits(low).astype(np.int64)))
+            n, digest, keys, low, bits = zip(*out)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("doc_id")), pa.array(n, pa.int64()),
                  pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
-                 pa.array(low, pa.binary())], ["doc_id", "n", "digest", "keys", "minima"])
+                 pa.array(low, pa.binary()), pa.array(bits, pa.list_(pa.int64()))],
+                ["doc_id", "n", "digest", "keys", "minima", "bits"])
     return describe
 
 
@@ -118,9 +147,9 @@ def _ids(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 
-def _confirm(least: int):
+def _confirm(least: int, count: int):
     """Of candidate pairs (a, b, with texts and minima) those that are similar."""
-    agreeing = least_agreeing(least)
+    agreeing = least_agreeing(least, count)
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[bytes, np.ndarray] = (b"", np.zeros(0, np.uint64))
@@ -174,18 +203,27 @@ def texts_of(table: pa.Table) -> list[bytes]:
     return [t or b"" for t in table["text"].cast(pa.large_binary()).to_pylist()]
 
 
-def _leftover(shared: DataFrame, found: DataFrame, pool: DataFrame, least: int) -> DataFrame:
+def _leftover(shared: DataFrame, found: DataFrame, pool: DataFrame, least: int, bands: int,
+              rows: int) -> DataFrame:
     """Links between components that buckets still hold side by side."""
     named = shared.select("key", "node").join(found, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))
     held = named.groupBy("key", "component").agg(F.count("node").alias("n"))
     mixed = held.groupBy("key").agg(F.count("component").alias("parts")).where("parts > 1")
     held = held.join(mixed.select("key"), "key", "left_semi")
-    mine = named.join(held, ["key", "component"])
-    other = held.select("key", F.col("component").alias("to"), F.col("n").alias("m"))
+    # The bits of those that stand alone in their bucket; a larger component has none.
+    alone = F.when(F.col("n") == 1, F.col("bits"))
+    mine = named.join(held, ["key", "component"]).join(pool.select("node", "bits"), "node") \
+        .withColumn("bits", alone)
+    other = mine.groupBy("key", F.col("component").alias("to")).agg(
+        F.first("n").alias("m"), F.first("bits").alias("other"))
     # Members of the smaller component of two go to the larger one.
     smaller = F.struct("n", "component") < F.struct("m", "to")
-    sent = mine.join(other, "key").where(smaller).select("node", "to").distinct()
+    count = -(-bands * rows // 32)
+    near = F.coalesce(differing(F.col("bits"), F.col("other"), count)
+                      <= most_differing(least, bands * rows), F.lit(True))
+    mine = mine.withColumnRenamed("key", "in")
+    sent = mine.join(other, (mine["in"] == other["key"]) & smaller & near).select("node", "to").distinct()
     sent = materialise(sent)
 
     parts = sent.groupBy("to").agg(F.ceil(F.count("node") / BLOCK).cast("int").alias("columns"))
@@ -217,7 +255,7 @@ def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS,
     ids = _ids(docs)
     features = materialise(ids.mapInArrow(
         _features(bands, rows),
-        "doc_id bigint, n bigint, digest binary, keys array<bigint>, minima binary"))
+        "doc_id bigint, n bigint, digest binary, keys array<bigint>, minima binary, bits array<bigint>"))
     real = features.where("n > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("digest").agg(F.min("doc_id").alias("node"))
 
@@ -227,7 +265,7 @@ def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS,
         .where("head < last").select("key", "head")
     shared = materialise(buckets.join(heads, "key"))
 
-    low = first.select(F.col("doc_id").alias("node"), "minima")
+    low = first.select(F.col("doc_id").alias("node"), "minima", "bits")
     pool = shared.select("node").distinct().join(low, "node")
     pool = materialise(pool.join(ids.withColumnRenamed("doc_id", "node"), "node"))
     pairs = shared.where("node > head").select("head", "node").distinct()
@@ -236,10 +274,10 @@ def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS,
     links = materialise(
         pairs.join(two, pairs["node"] == two["node_v"]).join(one, pairs["head"] == one["node_u"])
         .select("node_u", "node_v", "minima_u", "minima_v", "text_u", "text_v")
-        .mapInArrow(_confirm(least), "u bigint, v bigint"))
+        .mapInArrow(_confirm(least, bands * rows), "u bigint, v bigint"))
 
     found = materialise(components(links))
-    more = materialise(_leftover(shared, found, pool, least))
+    more = materialise(_leftover(shared, found, pool, least, bands, rows))
     if not more.isEmpty():
         tied = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
         found = materialise(components(tied.union(more)))
