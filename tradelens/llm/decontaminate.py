@@ -13,7 +13,7 @@ The table of items is sent to all tasks in blocks of at most ``BLOCK_WORDS`` wor
 documents for each block; a usual benchmark is one block. Documents are not shuffled.
 
 Defined cases: null and empty texts are clean; a null or short item (fewer words than a run) is
-found only as a whole, items shorter than a window never. Repeated items and rows each count for
+found only as a whole, items without a window of enough plain words never. Repeated items and rows each count for
 themselves; a null item_id is reported as null. Columns other than doc_id and text are not looked
 at by ``matches``; ``clean`` carries them along.
 """
@@ -133,6 +133,17 @@ def longest_consistent(item: Template, document: Template, a: int, b: int, n: in
     return best
 
 
+def stretched(item: Template, document: Template, a: int, b: int, n: int) -> tuple[int, int, int]:
+    """The run of n words from a and from b, longer by what is equal before it and after it."""
+    doc = document.doc[b]
+    while a and b and document.doc[b - 1] == doc and item.codes[a - 1] == document.codes[b - 1]:
+        a, b, n = a - 1, b - 1, n + 1
+    while (a + n < len(item.codes) and b + n < len(document.codes) and document.doc[b + n] == doc
+           and item.codes[a + n] == document.codes[b + n]):
+        n += 1
+    return a, b, n
+
+
 class Table:
     """The windows of a block of items, sorted by hash."""
 
@@ -182,7 +193,8 @@ def _find(table: Table, window: int, plain: int, least: int):
                 number = int(item[f])
                 other = table.items[number]
                 n = int(place[e] - place[f]) + window
-                run = longest_consistent(other, text, int(start[f]), int(place[f]), n)
+                a, b, n = stretched(other, text, int(start[f]), int(place[f]), n)
+                run = longest_consistent(other, text, a, b, n)
                 if run >= min(least, len(other.codes)):
                     mine = found[where[f]]
                     mine[number] = max(mine.get(number, 0), run)
