@@ -126,6 +126,22 @@ def _constraints() -> str:
     add("days_after_order", "returns", "return_date",
         "SELECT count(*) FROM ret JOIN raw_ord USING (order_id) "
         "WHERE return_date - order_date NOT BETWEEN 1 AND 15")
+    add("line_amount", "order_items", "line_revenue",
+        "SELECT count(*) FROM line WHERE abs(CAST(line_revenue AS DOUBLE) "
+        "- quantity * unit_price * (1 - discount_pct)) > 0.01")
+    add("order_discount", "order_items", "discount_pct",
+        "SELECT count(DISTINCT order_id) FROM line JOIN ord o USING (order_id) "
+        "WHERE round(line.discount_pct * 100) <> round(o.discount_pct * 100)")
+    add("of_returned_order", "returns", "order_id",
+        "SELECT count(*) FROM ret JOIN raw_ord USING (order_id) WHERE status <> 'Returned'")
+    add("one_per_order", "returns", "order_id", "SELECT count(*) FROM (SELECT order_id FROM ret "
+        "WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1)")
+    for rule, table, c in (("not_null", "customers", "registration_date"),
+                           ("allowed_values", "customers", "is_active"),
+                           ("allowed_values", "products", "is_active"),
+                           ("allowed_values", "returns", "status"),
+                           ("after_registration", "orders", "order_date")):
+        add(rule, table, c, "SELECT NULL")
     return query("\n" + "\nUNION ALL ".join(rows))
 
 

@@ -63,7 +63,8 @@ def test_duplicates_orphans_and_constraints(spark):
               for r in quality.constraint_report(t).collect() if r["violations"]}
     assert broken == {("primary_key", "order_id"): 1, ("unique", "email"): 1,
                       ("allowed_values", "status"): 1, ("foreign_key", "order_id"): 1,
-                      ("sum_of_lines", "total_amount"): 1, ("days_after_order", "return_date"): 1}
+                      ("sum_of_lines", "total_amount"): 1, ("days_after_order", "return_date"): 1,
+                      ("of_returned_order", "order_id"): 1}
 
 
 def test_line_revenue_rounds_half_a_cent_up(spark):

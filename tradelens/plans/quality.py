@@ -7,13 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.functions.numeric import half_up, money
+from tradelens.functions.numeric import half_up, money, real
 from tradelens.operators.keys import duplicate_keys, orphans, sample_rows
 from tradelens.operators.ordering import number_within
 from tradelens.plans.common import RETURNED, delivered
 from tradelens.sources import schema
 from tradelens.sources.tables import Tables, fill_totals
 
+CENT = 0.01  # what a stored amount may be off by rounding
+
 AUDITED = {"customers": ["email", "city", "segment"],
            "orders": ["total_amount", "payment_mode", "channel"]}
 
@@ -150,9 +152,15 @@ def _row_rules(tables: Tables, table: str) -> DataFrame | None:
     for where, column in schema.POSITIVE:
         if where == table and column in present:
             checks.append(("positive", column, ~(F.col(column) > 0)))
+    amount = {"quantity", "unit_price", "discount_pct", "line_revenue"}
+    if table == "order_items" and amount <= present:
+        expected = F.col("quantity") * F.col("unit_price") * (1 - F.col("discount_pct"))
+        off = F.abs(real("line_revenue") - expected) > CENT
+        checks.append(("line_amount", "line_revenue", off))
     if not checks:
         return None
-    columns = list(dict.fromkeys(column for _, column, _ in checks))
+    columns = list(dict.fromkeys([*(column for _, column, _ in checks),
+                                  *sorted(amount & present if table == "order_items" else ())]))
     counts = [F.count_if(bad).alias(_label(rule, table, column)) for rule, column, bad in checks]
     return _as_rules(_stored(tables, table, *columns).agg(*counts))
 
@@ -178,35 +186,75 @@ def _foreign_key_rule(tables: Tables, child: str, column: str, parent: str, key:
 
 
 def _line_rules(tables: Tables) -> DataFrame:
-    """Lines without an order, and orders whose total is not the sum of their lines."""
-    per_order = tables.order_items("order_id", "line_revenue").groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("line_revenue"), 2).alias("lines"))
-    stored = tables.orders("order_id", "total_amount").withColumn("known", F.lit(True))
+    """Lines without an order, orders whose total is not the sum of their lines, and orders with a
+    line that has another discount."""
+    per_order = tables.order_items("order_id", "line_revenue", "discount_pct").groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("line_revenue"), 2).alias("lines"),
+        F.min("discount_pct").alias("low"), F.max("discount_pct").alias("high"))
+    stored = tables.orders("order_id", "total_amount", "discount_pct").withColumn("known", F.lit(True))
     both = stored.join(per_order.where("order_id IS NOT NULL"), "order_id", "full")
     off = F.col("total_amount") != F.coalesce("lines", F.lit(0).cast("decimal(18,2)"))
     lost = F.sum(F.when(F.col("known").isNull(), F.col("n")))
+
+    def differs(side: str) -> Column:
+        return F.round(F.col(side) * 100) != F.round(F.col("discount_pct") * 100)
+
     return _as_rules(both.agg(
         lost.alias(_label("foreign_key", "order_items", "order_id")),
+        F.count_if(differs("low") | differs("high"))
+        .alias(_label("order_discount", "order_items", "discount_pct")),
         F.count_if(off).alias(_label("sum_of_lines", "orders", "total_amount"))))
 
 
 def _return_rules(tables: Tables) -> DataFrame:
-    """Returns without an order, and returns on an impossible day."""
-    orders = tables.raw_orders("order_id", "order_date").withColumn("known", F.lit(True))
+    """Returns without an order, of an order that is not Returned, or on an impossible day."""
+    orders = tables.raw_orders("order_id", "order_date", "status").withColumn("known", F.lit(True))
     both = tables.returns("order_id", "return_date").join(orders, "order_id", "left")
     lost = F.col("order_id").isNotNull() & F.col("known").isNull()
     late = ~F.datediff("return_date", "order_date").between(1, 15)
     return _as_rules(both.agg(
         F.count_if(lost).alias(_label("foreign_key", "returns", "order_id")),
+        F.count_if(F.col("status") != RETURNED).alias(_label("of_returned_order", "returns", "order_id")),
         F.count_if(late).alias(_label("days_after_order", "returns", "return_date"))))
 
 
+def _one_return(tables: Tables) -> DataFrame:
+    repeated = F.count_if(F.col("order_id").isNotNull() & (F.col("n") > 1))
+    return _as_rules(_per_value(tables, "returns", "order_id").agg(
+        repeated.alias(_label("one_per_order", "returns", "order_id"))))
+
+
+def _registration_rule(tables: Tables) -> DataFrame:
+    """Orders from before their customer's registration."""
+    people = tables.customers("customer_id", "registration_date")
+    both = tables.raw_orders("customer_id", "order_date").join(people, "customer_id")
+    early = F.col("order_date") < F.col("registration_date")
+    return _as_rules(both.agg(
+        F.count_if(early).alias(_label("after_registration", "orders", "order_date"))))
+
+
+def _not_checked(tables: Tables) -> list[tuple[str, str, str]]:
+    """Rules on columns that the source does not have."""
+    def lacks(table: str, column: str) -> bool:
+        return column not in tables.columns(table)
+
+    found = [("not_null", table, field.name) for table in schema.TABLE_NAMES
+             for field in schema.SCHEMAS[table] if not field.nullable and lacks(table, field.name)]
+    found += [("allowed_values", *key) for key in schema.DOMAINS if lacks(*key)]
+    found += [("positive", *key) for key in schema.POSITIVE if lacks(*key)]
+    if lacks("customers", "registration_date"):
+        found.append(("after_registration", "orders", "order_date"))
+    return found
+
+
 def constraint_report(tables: Tables) -> DataFrame:
     """Violations of every declared constraint: (rule, table, column, violations).
 
-    Keys count the values that occur more than once, the others count rows. Two rules on amounts
-    and dates come on top: an order's total is the sum of its lines, and a return follows its
-    order by 1 to 15 days.
+    Keys count the values that occur more than once, the others count rows. On top come: an order's
+    total is the sum of its lines, a line's revenue follows from price, quantity and discount, a
+    line has its order's discount (counted by order), a return follows its order by 1 to 15 days,
+    belongs to a Returned order and is the only one of it, and no order is older than its customer's
+    registration. Rules on columns that the source lacks are listed with NULL: not checked.
     """
     reports = [r for r in (_row_rules(tables, name) for name in schema.TABLE_NAMES) if r]
     reports += [_key_rules(tables, t, c, "primary_key") for t, c in schema.PRIMARY_KEYS.items()]
@@ -214,7 +262,16 @@ def constraint_report(tables: Tables) -> DataFrame:
     joined = {("order_items", "order_id"), ("returns", "order_id")}  # come with other rules
     reports += [_foreign_key_rule(tables, *link) for link in schema.FOREIGN_KEYS
                 if link[:2] not in joined]
-    return _stack_all([*reports, _line_rules(tables), _return_rules(tables)])
+    reports += [_line_rules(tables), _return_rules(tables), _one_return(tables)]
+    open_rules = _not_checked(tables)
+    if ("after_registration", "orders", "order_date") not in open_rules:
+        reports.append(_registration_rule(tables))
+    if open_rules:
+        spark = reports[0].sparkSession
+        reports.append(spark.createDataFrame(
+            [(*rule, None) for rule in open_rules],
+            "`rule` string, `table` string, `column` string, `violations` bigint"))
+    return _stack_all(reports)
 
 
 def table_profile(tables: Tables) -> DataFrame:
