@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.llm.text import shards_for, slices, texts
+from tradelens.llm.text import bounded_batches, shards_for, slices, texts
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _HALF = np.uint64(32)
@@ -203,9 +203,11 @@ def _send_anchors(unit: Unit, shards: int) -> Callable:
             if not len(found.doc):
                 continue
             code, key = codes(found.anchor, shards), keys[found.doc]
-            order = np.lexsort((key, code))
+            order = np.argsort(code)
             code, key = code[order], key[order]
             new = np.append(True, code[1:] != code[:-1])
+            again = np.flatnonzero(~(new & np.append(new[1:], True)))  # anchors found twice or more
+            key[again] = key[again][np.lexsort((key[again], code[again]))]
             if not unit.same_document:  # one entry for each anchor and document
                 keep = new | np.append(True, key[1:] != key[:-1])
                 code, key, new = code[keep], key[keep], new[keep]
@@ -386,6 +388,7 @@ def repeated_spans(rows: DataFrame, unit: Unit,
                    kernel: Callable[[Pieces], Iterator[tuple[int, int, int, int]]],
                    shards: int | None = None) -> DataFrame:
     """k, spans (tag, start, stop): what ``kernel`` finds repeated, for documents ``keyed``."""
+    bounded_batches(rows.sparkSession)
     shards = shards or shards_for(rows)
     live = live_anchors(rows, unit, shards)
     sent = rows.join(live, "k").mapInArrow(_send_pieces(unit, shards), _PIECES)

@@ -29,7 +29,7 @@ from tradelens.llm import repeats
 from tradelens.llm.repeats import eight_bytes
 from tradelens.llm.text import slices, texts
 
-WIDTH, GRAM = 50, 24
+WIDTH, GRAM = 50, 20
 ARRAY_BYTES = 2 << 20
 LANES = 32  # neighbouring suffixes along which Kasai's rule is followed
 
