@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.llm.repeats import rolled
-from tradelens.llm.text import WORD, slices, texts
+from tradelens.llm.text import WORD, bounded_batches, slices, texts
 
 WINDOW, LEAST_PLAIN, LEAST_RUN = 8, 5, 12
 BLOCK_WORDS = 2_000_000
@@ -228,6 +228,7 @@ def matched(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, plain:
 
     Every block of items is one more pass of the same rows; what is found is carried along.
     """
+    bounded_batches(rows.sparkSession)
     found = rows.withColumns({"items": F.array().cast("array<bigint>"),
                               "longest_run": F.lit(0).cast("bigint")})
     for block in _blocks(benchmark):

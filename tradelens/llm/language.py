@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.llm.text import slices, texts
+from tradelens.llm.text import bounded_batches, slices, texts
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -208,6 +208,7 @@ def training_words(docs: DataFrame, most: int = TRAIN_DOCS) -> pa.Table:
 
 def predict(docs: DataFrame, path: str = VOCABULARY, most: int = TRAIN_DOCS) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document."""
+    bounded_batches(docs.sparkSession)
     known = vocabulary(path)
     sample = training_words(docs, most)
     names = sorted(set(sample["lang"].to_pylist()))

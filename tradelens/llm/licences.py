@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tradelens.llm.text import slices, texts
+from tradelens.llm.text import bounded_batches, slices, texts
 
 # Phrases and their labels.
 PHRASES = (("gnu general public license", "gpl"), ("apache license", "apache"),
@@ -223,6 +223,7 @@ def scanned(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
 
     spans: label, first word and word after the last, covered share of every chain that counts.
     """
+    bounded_batches(docs.sparkSession)
     scanner = Scanner(templates, phrases)
     spans = "array<struct<label: string, start: bigint, stop: bigint, share: double>>"
 

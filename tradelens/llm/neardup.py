@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelens.llm.components import components
-from tradelens.llm.text import slices, texts
+from tradelens.llm.text import bounded_batches, slices, texts
 from tradelens.session import materialise
 
 BANDS, ROWS = 40, 6
@@ -252,6 +252,7 @@ def _leftover(shared: DataFrame, found: DataFrame, pool: DataFrame, least: int,
 def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
+    bounded_batches(docs.sparkSession)
     ids = _ids(docs)
     features = materialise(ids.mapInArrow(
         _features(bands, rows),

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from tradelens.llm.text import slices, texts
+from tradelens.llm.text import bounded_batches, slices, texts
 
 GRAM, BUCKETS = 4, 1 << 16
 TRUSTED = 50_000
@@ -85,6 +85,7 @@ def _counts(trusted: np.ndarray):
 
 def bucket_scores(docs: DataFrame, labels: DataFrame, most: int = TRUSTED) -> np.ndarray:
     """The log-likelihood ratio of every bucket."""
+    bounded_batches(docs.sparkSession)
     trusted = np.sort(np.array(trusted_ids(labels, most), np.int64))
     rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
             .mapInArrow(_counts(trusted), "bucket int, target bigint, raw bigint")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 WORD = r"[^\x20\x09-\x0D]+"  # what bytes.split() without arguments takes as a word
 SLICE_BYTES = 4 << 20
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
+                "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -23,9 +27,22 @@ def shards_for(df: DataFrame, bytes_each: int = 8 << 20) -> int:
     return max(4 * width, min(-(-size // bytes_each), 1 << 30))
 
 
+def _number(setting: str) -> int:
+    """A count or a size in bytes, as Spark writes it."""
+    value, unit = re.fullmatch(r"(-?[0-9]+)([bkmg]?)b?", setting.strip().lower()).groups()
+    return int(value) << {"k": 10, "m": 20, "g": 30}.get(unit, 0)
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of bounded size, whatever the session's usual ones are."""
+    for name, most in ARROW_LIMITS.items():
+        if not 0 < _number(spark.conf.get(name)) <= most:
+            spark.conf.set(name, str(most))
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     """The column as binary, nulls as empty."""
-    column = batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary())
+    column = batch.column(batch.schema.get_field_index(name)).cast(pa.binary())
     return column.fill_null(b"") if column.null_count else column
 
 
@@ -33,12 +50,11 @@ def slices(batches: Iterable[pa.RecordBatch], name: str = "text",
            size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Every batch cut into runs of rows of about ``size`` bytes of text; a longer text stands alone."""
     for batch in batches:
-        lengths = texts(batch, name).to_numpy(zero_copy_only=False)
         first, held = 0, 0
-        for i, value in enumerate(lengths):
-            if held and held + len(value) > size:
+        for i, length in enumerate(pc.binary_length(texts(batch, name)).to_pylist()):
+            if held and held + length > size:
                 yield batch.slice(first, i - first)
                 first, held = i, 0
-            held += len(value)
+            held += length
         if batch.num_rows > first:
             yield batch.slice(first)
