@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 WORD = r"[^\x20\x09-\x0D]+"  # what bytes.split() without arguments takes as a word
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000,
                 "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 
