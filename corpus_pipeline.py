@@ -13,6 +13,8 @@ from tradelens.llm import decontaminate, mixing, neardup, quality, suffix
 from tradelens.llm.text import table
 from tradelens.session import materialise
 
+SHINGLE = 5  # words; op5_minhash compares by two
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go; the likelihoods are those of these documents."""
@@ -20,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return neardup.unique(docs)
+    """One document of each group of near copies stays, by shingles of ``SHINGLE`` words."""
+    return neardup.unique(docs, width=SHINGLE)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import corpus_pipeline
 from tests.llm import plain
 
@@ -55,3 +57,26 @@ def test_run_is_the_stages_in_turn(spark):
     again = corpus_pipeline.run(spark, FOLDER)
     assert out.columns[:5] == plain.COLUMNS
     assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
+
+
+def _five_word_sets(text):
+    words = plain.spaced(re.sub(r"[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def test_near_dedup_compares_five_words(spark):
+    docs = table(spark, FOLDER, "documents")
+    rows = _rows(docs)
+    short = [(1000 + i, t, "en", "s", 1) for i, t in enumerate(["one two three", "One two three", "one two four"])]
+    docs = docs.select(plain.COLUMNS).union(spark.createDataFrame(short, plain.DOCS))
+    sets = sorted((r[0], s) for r in rows + short if (s := _five_word_sets(r[1])))
+    group = {d: d for d, _ in sets}
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if 100 * len(x & y) >= 80 * len(x | y) and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {d: low if g == high else g for d, g in group.items()}
+    wanted = sorted(r[0] for r in rows + short if group.get(r[0], r[0]) == r[0])
+    out = dict(corpus_pipeline.STAGES)["near dedup"](spark, docs, FOLDER)
+    assert sorted(r[0] for r in _rows(out)) == wanted
+    assert len(wanted) > sum(k for *_, k in plain.near_dups([r[:2] for r in rows + short]))

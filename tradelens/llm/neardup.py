@@ -1,6 +1,7 @@
 """Near-duplicate documents by MinHash.
 
-A document's set holds the hashes of its distinct 2-word shingles. Documents with equal sets are one
+A document's set holds the hashes of its distinct shingles of ``WIDTH`` words, or of as many as the
+caller asks for; a shorter text is one shingle. Documents with equal sets are one
 class, represented by its smallest doc_id; only representatives go on. ``BANDS`` x ``ROWS`` universal
 hash minima are taken of each set. Documents that agree in a whole band meet in a bucket:
 
@@ -38,6 +39,7 @@ from tradelens.session import materialise
 
 BANDS, ROWS = 40, 6
 LEAST = 80  # similarity in a hundred
+WIDTH = 2  # words of a shingle
 SIGMAS = 5  # what an estimate may be off
 BLOCK = 1000  # documents compared with as many others in one group
 
@@ -45,15 +47,17 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(text: bytes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the 2-word shingles; of a single word if there is only one."""
+def shingles(text: bytes, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of ``width`` words; of all words if they are fewer."""
     words = text.translate(_LOWER).split()
     if not words:
         return np.zeros(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    if len(words) > 1:
-        h = h[:-1] * _MULTIPLIER + h[1:]
-    h ^= h >> np.uint64(32)
+    single, width = h, min(width, len(words))
+    h = single[:len(words) - width + 1]
+    for i in range(1, width):
+        h = h * _MULTIPLIER + single[i:len(words) - width + 1 + i]
+    h = h ^ h >> np.uint64(32)
     h = h * _MULTIPLIER
     h ^= h >> np.uint64(29)
     return np.unique(h)
@@ -116,7 +120,7 @@ def differing(a: Column, b: Column, numbers: int) -> Column:
     return total
 
 
-def _features(bands: int, rows: int):
+def _features(bands: int, rows: int, width: int):
     a, b = _family(bands * rows)
     place = np.arange(bands, dtype=np.uint64)
 
@@ -124,7 +128,7 @@ def _features(bands: int, rows: int):
         for batch in slices(batches):
             out = []
             for text in texts(batch).to_pylist():
-                hashes = shingles(text)
+                hashes = shingles(text, width)
                 low = minima(hashes, a, b)
                 key = np.full(bands, 0, np.uint64) + place
                 for part in low.reshape(bands, rows).T:
@@ -147,7 +151,7 @@ def _ids(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 
-def _confirm(least: int, count: int):
+def _confirm(least: int, count: int, width: int):
     """Of candidate pairs (a, b, with texts and minima) those that are similar."""
     agreeing = least_agreeing(least, count)
 
@@ -163,8 +167,8 @@ def _confirm(least: int, count: int):
                     continue
                 text_u = text_u.as_py()
                 if text_u != last[0]:
-                    last = text_u, shingles(text_u)
-                if similar(last[1], shingles(text_v.as_py()), least):
+                    last = text_u, shingles(text_u, width)
+                if similar(last[1], shingles(text_v.as_py(), width), least):
                     us.append(u)
                     vs.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())],
@@ -172,11 +176,11 @@ def _confirm(least: int, count: int):
     return confirm
 
 
-def _across(least: int):
+def _across(least: int, width: int):
     """Links between the documents of a block and those sent to it: one for each of the latter."""
 
     def compare(block: pa.Table, sent: pa.Table) -> pa.Table:
-        sets = [shingles(t) for t in texts_of(block)]
+        sets = [shingles(t, width) for t in texts_of(block)]
         nodes = block["node"].to_pylist()
         us, vs = [], []
         if sets and sent.num_rows:
@@ -186,7 +190,7 @@ def _across(least: int):
             flat, of = flat[order], of[order]
             size = np.array([len(s) for s in sets])
             for node, text in zip(sent["node"].to_pylist(), texts_of(sent)):
-                mine = shingles(text)
+                mine = shingles(text, width)
                 a, b = np.searchsorted(flat, mine), np.searchsorted(flat, mine, "right")
                 n = b - a
                 places = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -204,7 +208,7 @@ def texts_of(table: pa.Table) -> list[bytes]:
 
 
 def _leftover(shared: DataFrame, found: DataFrame, pool: DataFrame, least: int, bands: int,
-              rows: int) -> DataFrame:
+              rows: int, width: int) -> DataFrame:
     """Links between components that buckets still hold side by side."""
     named = shared.select("key", "node").join(found, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))
@@ -246,16 +250,16 @@ def _leftover(shared: DataFrame, found: DataFrame, pool: DataFrame, least: int,
         ]).groupBy("to", "row", "column")
 
     return grouped(blocks).cogroup(grouped(asked)).applyInArrow(
-        _across(least), "u bigint, v bigint")
+        _across(least, width), "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS,
-                    rows: int = ROWS) -> DataFrame:
+                    rows: int = ROWS, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
     bounded_batches(docs.sparkSession)
     ids = _ids(docs)
     features = materialise(ids.mapInArrow(
-        _features(bands, rows),
+        _features(bands, rows, width),
         "doc_id bigint, n bigint, digest binary, keys array<bigint>, minima binary, bits array<bigint>"))
     real = features.where("n > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("digest").agg(F.min("doc_id").alias("node"))
@@ -275,10 +279,10 @@ def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS,
     links = materialise(
         pairs.join(two, pairs["node"] == two["node_v"]).join(one, pairs["head"] == one["node_u"])
         .select("node_u", "node_v", "minima_u", "minima_v", "text_u", "text_v")
-        .mapInArrow(_confirm(least, bands * rows), "u bigint, v bigint"))
+        .mapInArrow(_confirm(least, bands * rows, width), "u bigint, v bigint"))
 
     found = materialise(components(links))
-    more = materialise(_leftover(shared, found, pool, least, bands, rows))
+    more = materialise(_leftover(shared, found, pool, least, bands, rows, width))
     if not more.isEmpty():
         tied = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
         found = materialise(components(tied.union(more)))
@@ -293,8 +297,8 @@ def near_duplicates(docs: DataFrame, least: int = LEAST, bands: int = BANDS,
     return joined.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def unique(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def unique(docs: DataFrame, least: int = LEAST, width: int = WIDTH) -> DataFrame:
     """One document of each group, with all its columns; of rows that repeat its doc_id all."""
-    gone = near_duplicates(docs, least).where(~F.col("kept"))
+    gone = near_duplicates(docs, least, width=width).where(~F.col("kept"))
     gone = gone.select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"].cast("bigint") == gone["gone"], "left_anti")
