@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from tests.llm import plain
@@ -77,3 +79,31 @@ def test_empty(spark, side):
         assert decontaminate.matches(docs.limit(0), items).collect() == []
     else:
         assert [r.kept for r in decontaminate.matches(docs, items.limit(0)).collect()] == [True]
+
+
+def _template(words):
+    return decontaminate.Template([w.encode() for w in words], decontaminate.Words())
+
+
+def _consistent(pairs):
+    return all((x == u) == (y == v) for x, y in pairs for u, v in pairs)
+
+
+def test_longest_consistent_against_all_stretches():
+    rng = random.Random(4)
+    for _ in range(300):
+        n = rng.randint(1, 25)
+        mine = [rng.choice(["w", "w", "1", "2", "3"]) for _ in range(n)]
+        other = [("w" if rng.random() < 0.95 else "v") if w == "w" else rng.choice("4567") for w in mine]
+        best = max((j - i for i in range(n) for j in range(i, n + 1)
+                    if all(x == y for x, y in zip(mine[i:j], other[i:j]) if "w" in (x, y))
+                    and _consistent([p for p in zip(mine[i:j], other[i:j]) if p[0] != "w"])), default=0)
+        assert decontaminate.longest_consistent(_template(mine), _template(other), 0, 0, n) == best
+
+
+def test_a_repeated_number_that_changes_does_not_end_the_run():
+    words = [f"w{i}x" for i in range(31)]
+    item, text = list(words), list(words)
+    for place, value in ((2, "4"), (11, "5"), (20, "6")):
+        item[place], text[place] = "3", value
+    assert decontaminate.longest_consistent(_template(item), _template(text), 0, 0, 31) == 19

@@ -113,23 +113,22 @@ class Template:
 
 def longest_consistent(item: Template, document: Template, a: int, b: int, n: int) -> int:
     """Words of the longest stretch in which slots map one to one, of n words from a and from b."""
-    there: dict[tuple[int, int], int] = {}
-    back: dict[tuple[int, int], int] = {}
-    best = run = 0
+    there: dict[tuple[int, int], tuple[int, int]] = {}  # value there, and where that was last
+    back: dict[tuple[int, int], tuple[int, int]] = {}
+    best = left = 0
     for i in range(n):
         if item.codes[a + i] != document.codes[b + i]:
-            run = 0
-            there, back = {}, {}
+            left = i + 1
             continue
         kind = int(item.slots[a + i])
         if kind:
             x, y = int(item.values[a + i]), int(document.values[b + i])
-            if there.get((kind, x), y) != y or back.get((kind, y), x) != x:
-                run = 0
-                there, back = {}, {}
-            there[kind, x], back[kind, y] = y, x
-        run += 1
-        best = max(best, run)
+            for seen, value, other in ((there, x, y), (back, y, x)):
+                held, place = seen.get((kind, value), (other, -1))
+                if held != other:  # what maps otherwise is left behind
+                    left = max(left, place + 1)
+                seen[kind, value] = other, i
+        best = max(best, i + 1 - left)
     return best
 
 
