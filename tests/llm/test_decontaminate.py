@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import itertools
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tests.llm import plain
@@ -107,3 +109,48 @@ def test_a_repeated_number_that_changes_does_not_end_the_run():
     for place, value in ((2, "4"), (11, "5"), (20, "6")):
         item[place], text[place] = "3", value
     assert decontaminate.longest_consistent(_template(item), _template(text), 0, 0, 31) == 19
+
+
+def _runs(asked, text, least=decontaminate.LEAST_RUN):
+    batch = pa.RecordBatch.from_pydict({"text": [text], "items": pa.array([[]], pa.list_(pa.int64())),
+                                        "longest_run": [0]})
+    found = decontaminate.Table([(1, asked.encode())], decontaminate.WINDOW, decontaminate.LEAST_PLAIN)
+    out = next(decontaminate._find(found, decontaminate.WINDOW, decontaminate.LEAST_PLAIN, least)([batch]))
+    return out["longest_run"][0].as_py()
+
+
+SHORT = ("Anna has 12 apples in her old basket. Anna gives 5 of them to a friend. "
+         "Then she walks to the market with the rest.")
+
+
+def test_names_that_open_sentences():
+    assert _runs(SHORT, SHORT) == 25
+    assert _runs(SHORT, SHORT.replace("Anna", "Clara")) == 25
+    assert _runs(SHORT, SHORT.replace("Anna gives", "Clara gives")) >= 17
+    assert _runs(SHORT, SHORT.replace("Then", "then")) == 25
+    both = SHORT.replace("Anna has", "Anna has seen that Anna has")
+    assert _runs(both, both.replace("Anna", "Clara")) == 29
+
+
+def test_copies_without_punctuation():
+    bare = SHORT.replace(".", "")
+    assert _runs(SHORT, bare) == 25 and _runs(bare, SHORT) == 25
+    assert _runs(SHORT, bare.replace("Anna", "Clara")) == 25
+
+
+def test_windows_come_in_every_reading(monkeypatch):
+    monkeypatch.setattr(decontaminate, "READ_AT_ONCE", 5)
+    rng = random.Random(6)
+    words = [rng.choice(["Aa.", "Bb.", "cc", "dd", "9", "Ee"]) for _ in range(60)]
+    text = _template(words)
+    at, hashes = text.all_windows(8, 5)
+    wanted = set()
+    for i in range(len(words) - 7):
+        openers = [j for j in range(i, i + 8) if text.openers[j]]
+        for taken in itertools.product([0, 1], repeat=len(openers)):
+            codes = text.codes[i:i + 8].copy()
+            names = [j - i for j, t in zip(openers, taken) if t]
+            codes[names] = decontaminate._SLOT_HASH[decontaminate.NAME]
+            if (text.slots[i:i + 8] == 0).sum() - len(names) >= 5:
+                wanted.add((i, int(decontaminate.rolled(codes, 8)[0])))
+    assert sorted(zip(at.tolist(), hashes.tolist())) == sorted(wanted)

@@ -1,9 +1,11 @@
 """Benchmark decontamination by template windows.
 
 Words are brought into a canonical form: lower case without outer punctuation, numbers, units of
-measure and names (capitalised words inside a sentence) replaced by a placeholder of their type.
-Every window of ``WINDOW`` canonical words with enough plain ones is looked up in a hash table of the
-benchmark items' windows. Hits on one diagonal (document place less item place) make a run, compared
+measure and names (capitalised words inside a sentence) replaced by a placeholder of their type. A
+capitalised word that opens a sentence may be a plain word or a name: it matches an equal word, and
+as a name any name and any other such word. Every window of ``WINDOW`` canonical words with enough
+plain ones, in each reading of its openers, is looked up in a hash table of the benchmark items'
+windows. Hits on one diagonal (document place less item place) make a run, compared
 word by word; its slots must be consistent: equal values in the item stand for equal values in the
 document, and different ones for different ones. So a question asked again with other numbers or
 names is found, a chance pattern of numbers is not. A document is contaminated if a consistent run
@@ -35,6 +37,7 @@ from tradelens.llm.text import WORD, bounded_batches, slices, texts
 WINDOW, LEAST_PLAIN, LEAST_RUN = 8, 5, 12
 BLOCK_WORDS = 2_000_000
 CACHED_WORDS = 200_000
+READ_AT_ONCE = 1 << 14  # windows whose readings are held together
 
 # Units of measure that become placeholders.
 UNITS = frozenset("""
@@ -80,8 +83,9 @@ class Words(dict):
 
 
 class Template:
-    """A text's canonical words: ``codes`` (hashes), ``slots`` (placeholder types, 0 for plain words)
-    and ``values`` (the hashes of what the placeholders stand for)."""
+    """A text's canonical words: ``codes`` (hashes), ``slots`` (placeholder types, 0 for plain words),
+    ``values`` (the hashes of what the placeholders stand for) and ``openers`` (capitalised words that
+    open a sentence: plain in ``codes`` and ``slots``, but maybe names)."""
 
     def __init__(self, raw: list[bytes], cache: Words, doc: np.ndarray | None = None):
         packed = np.fromiter(map(cache.__getitem__, raw), np.uint64, len(raw))
@@ -93,22 +97,58 @@ class Template:
         kind = (flags & np.uint64(3)).astype(np.int8)
         inside = np.zeros(len(packed), bool)  # not the first word of a sentence or text
         inside[1:] = ((flags[:-1] & np.uint64(8)) == 0) & (self.doc[1:] == self.doc[:-1])
-        kind[inside & ((flags & np.uint64(4)) > 0)] = NAME
+        capital = (flags & np.uint64(4)) > 0
+        kind[inside & capital] = NAME
         self.slots = kind
+        self.openers = capital & ~inside
         self.values = packed & ~np.uint64(31)
         self.codes = self.values.copy()
         for slot, code in _SLOT_HASH.items():
             self.codes[kind == slot] = code
 
-    def windows(self, size: int, plain: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the windows that have enough plain words, and their hashes."""
-        n = len(self.codes) - size + 1
-        if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    def windows(self, size: int, plain: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of the windows that have enough plain words, and their hashes, part by part.
+
+        A window with openers comes once for each choice of those taken as names.
+        """
+        n = max(len(self.codes) - size + 1, 0)
         upto = np.append(0, np.cumsum(self.slots == 0))
-        good = (upto[size:] - upto[:n] >= plain) & (self.doc[size - 1:] == self.doc[:n])
+        openers = np.append(0, np.cumsum(self.openers))
+        free = upto[size:] - upto[:n] - plain  # how many openers may be names
+        good = (free >= 0) & (self.doc[size - 1:] == self.doc[:n])
         at = np.flatnonzero(good)
-        return at, rolled(self.codes, size)[at]
+        if len(at):
+            yield at, rolled(self.codes, size)[at]
+        at = np.flatnonzero(good & (free > 0) & (openers[size:] > openers[:n]))
+        for part in np.split(at, range(READ_AT_ONCE, len(at), READ_AT_ONCE)):
+            chosen = np.zeros(len(part), np.int64)  # a bit for each word taken as a name
+            left = free[part]
+            for place in range(size):
+                more = np.flatnonzero((left > 0) & self.openers[part + place])
+                part = np.append(part, part[more])
+                chosen = np.append(chosen, chosen[more] | 1 << place)
+                left = np.append(left, left[more] - 1)
+            part, chosen = part[chosen > 0], chosen[chosen > 0]
+            for first in range(0, len(part), READ_AT_ONCE):
+                where = part[first:first + READ_AT_ONCE]
+                names = chosen[first:first + READ_AT_ONCE, None] >> np.arange(size) & 1
+                codes = np.where(names > 0, _SLOT_HASH[NAME], self.codes[where[:, None] + np.arange(size)])
+                yield where, rolled(codes.ravel(), size)[::size]
+
+    def all_windows(self, size: int, plain: int) -> tuple[np.ndarray, np.ndarray]:
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.uint64)), *self.windows(size, plain)]
+        return np.concatenate([p for p, _ in parts]), np.concatenate([h for _, h in parts])
+
+
+def matched_as(item: Template, document: Template, a: int, b: int) -> int:
+    """How two words match: -1 not at all, 0 as plain words, else as slots of this type."""
+    x, y = int(item.slots[a]), int(document.slots[b])
+    either, other = item.openers[a], document.openers[b]
+    if not (either or other):
+        return x if item.codes[a] == document.codes[b] else -1
+    if x in (0, NAME) and y in (0, NAME) and item.values[a] == document.values[b]:
+        return 0
+    return NAME if (either or x == NAME) and (other or y == NAME) else -1
 
 
 def longest_consistent(item: Template, document: Template, a: int, b: int, n: int) -> int:
@@ -117,10 +157,10 @@ def longest_consistent(item: Template, document: Template, a: int, b: int, n: in
     back: dict[tuple[int, int], tuple[int, int]] = {}
     best = left = 0
     for i in range(n):
-        if item.codes[a + i] != document.codes[b + i]:
+        kind = matched_as(item, document, a + i, b + i)
+        if kind < 0:
             left = i + 1
             continue
-        kind = int(item.slots[a + i])
         if kind:
             x, y = int(item.values[a + i]), int(document.values[b + i])
             for seen, value, other in ((there, x, y), (back, y, x)):
@@ -135,10 +175,10 @@ def longest_consistent(item: Template, document: Template, a: int, b: int, n: in
 def stretched(item: Template, document: Template, a: int, b: int, n: int) -> tuple[int, int, int]:
     """The run of n words from a and from b, longer by what is equal before it and after it."""
     doc = document.doc[b]
-    while a and b and document.doc[b - 1] == doc and item.codes[a - 1] == document.codes[b - 1]:
+    while a and b and document.doc[b - 1] == doc and matched_as(item, document, a - 1, b - 1) >= 0:
         a, b, n = a - 1, b - 1, n + 1
     while (a + n < len(item.codes) and b + n < len(document.codes) and document.doc[b + n] == doc
-           and item.codes[a + n] == document.codes[b + n]):
+           and matched_as(item, document, a + n, b + n) >= 0):
         n += 1
     return a, b, n
 
@@ -152,7 +192,7 @@ class Table:
         self.items = [Template(text.split(), cache) for _, text in items]
         hashes, of, at = [], [], []
         for number, item in enumerate(self.items):
-            places, found = item.windows(window, plain)
+            places, found = item.all_windows(window, plain)
             hashes.append(found)
             of.append(np.full(len(places), number))
             at.append(places)
@@ -162,6 +202,16 @@ class Table:
         self.of = np.concatenate(of)[order] if of else np.zeros(0, np.int64)
         self.at = np.concatenate(at)[order] if at else np.zeros(0, np.int64)
 
+    def hits(self, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the table with one of ``hashes``, and the place in ``at`` of each."""
+        low = np.searchsorted(self.hashes, hashes)
+        hit = np.flatnonzero(self.hashes[np.minimum(low, max(len(self.hashes) - 1, 0))] == hashes) \
+            if len(self.hashes) else np.zeros(0, np.int64)
+        at, low = at[hit], low[hit]
+        many = np.searchsorted(self.hashes, hashes[hit], "right") - low
+        row = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        return row, np.repeat(at, many)
+
 
 def _find(table: Table, window: int, plain: int, least: int):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,14 +220,9 @@ def _find(table: Table, window: int, plain: int, least: int):
             raw = [t.split() for t in texts(batch).to_pylist()]
             doc = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
             text = Template([w for r in raw for w in r], cache, doc)
-            at, hashes = text.windows(window, plain)
-            low = np.searchsorted(table.hashes, hashes)
-            hit = np.flatnonzero(table.hashes[np.minimum(low, max(len(table.hashes) - 1, 0))] == hashes) \
-                if len(table.hashes) else np.zeros(0, np.int64)
-            at, low = at[hit], low[hit]
-            many = np.searchsorted(table.hashes, hashes[hit], "right") - low
-            row = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            place = np.repeat(at, many)
+            hits = [table.hits(at, hashes) for at, hashes in text.windows(window, plain)]
+            row = np.concatenate([r for r, _ in hits] or [np.zeros(0, np.int64)])
+            place = np.concatenate([p for _, p in hits] or [np.zeros(0, np.int64)])
             item, start = table.of[row], table.at[row]
             order = np.lexsort((place, place - start, item, text.doc[place]))
             place, item, start = place[order], item[order], start[order]
