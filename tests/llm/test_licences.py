@@ -72,3 +72,41 @@ def test_chain_takes_the_best_of_many():
 
 def test_empty_table(spark):
     assert licences.scanned(spark.createDataFrame([], plain.DOCS)).collect() == []
+
+
+def test_one_notice_several_times(spark):
+    bsd = dict(licences.TEMPLATES)["bsd"].split()
+    part = bsd[:50]
+    mit = "Released under the MIT License."
+    texts = {1: " ".join(bsd + ["code"] * 100 + bsd), 2: " ".join(bsd + part + bsd), 3: " ".join([mit] * 4000),
+             4: " ".join(bsd + ["code"] * 100 + bsd[:20])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    found = {r.doc_id: [(s.start, s.stop) for s in r.spans if s.label in ("bsd", "mit")]
+             for r in licences.scanned(docs).collect()}
+    n, m = len(licences.words_of(" ".join(bsd).encode())), len(licences.words_of(" ".join(part).encode()))
+    assert found[1] == [(0, n), (n + 100, 2 * n + 100)]
+    assert found[2] == [(0, n), (n, n + m), (n + m, 2 * n + m)]
+    assert found[3] == [(5 * i, 5 * i + 5) for i in range(4000)]
+    assert found[4] == [(0, n)]
+
+
+def test_all_chains_are_the_best_of_what_is_left():
+    rng = random.Random(8)
+
+    def plain_chains(found):
+        if not found:
+            return []
+        top = licences.chains(found)
+        if top[0] / 10 < 0.6:
+            return []
+        return [top, *plain_chains([f for f in found if f[1] <= top[1]]),
+                *plain_chains([f for f in found if f[0] >= top[2]])]
+
+    for _ in range(200):
+        found = []
+        for _ in range(rng.randint(1, 25)):
+            a, x, size = rng.randrange(60), rng.randrange(7), rng.randint(4, 10)
+            size = min(size, 10 - x)
+            found.append((a, a + size, x, x + size))
+        wanted = sorted(plain_chains(found)) or [licences.chains(found)]
+        assert sorted(licences.all_chains(found, 10, 0.6)) == wanted

@@ -4,7 +4,8 @@ The automaton of all templates' words holds every stretch of words of every temp
 streamed through it once; at each word it tells the longest stretch of a template that ends there
 (matching statistics). Long matches that cannot be extended are chained, for each template, in the
 order of both text and template with small gaps; a chain that covers enough of the template gives the
-template's label and a span of the text. Short phrases are templates of their own, found wherever a
+template's label and a span of the text. What lies before and after a span is chained again, so a text
+that holds a notice several times has a span for each. Short phrases are templates of their own, found wherever a
 match that ends at their last word is as long as they are.
 
 The automaton is built from a fixed list of templates, so its size is given; documents are streamed
@@ -16,6 +17,7 @@ own, whatever its doc_id. Columns other than doc_id and text are not looked at.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -158,31 +160,70 @@ class Automaton:
                     yield i, state, length
 
 
-def chains(found: list[tuple[int, int, int, int]], most_gap: int = MOST_GAP) -> tuple[int, int, int]:
-    """The best chain of one template's matches (start, end in the text; start, end in the template).
+def _best(found: list[tuple[int, int, int, int]], lo: int, most_gap: int, reach: int,
+          enough: float) -> tuple[int, int, int]:
+    """The best chain of sorted matches from ``lo`` on; the first that covers ``enough`` ends the search.
 
-    Returns covered template words, and the chain's span in the text. Matches may overlap; a chain
-    counts what they add.
+    Of chains with equal cover up to a match the shortest counts, so none takes in another notice.
     """
-    found = sorted(found)
     best: list[tuple[int, int]] = []  # covered words up to and with each match, first word
     top = (0, 0, 0)
-    reach = most_gap + max(e[1] - e[0] for e in found)
-    for i, (a, b, x, y) in enumerate(found):
+    for i in range(lo, len(found)):
+        a, b, x, y = found[i]
         mine = (y - x, a)
-        for j in range(i - 1, -1, -1):
+        for j in range(i - 1, lo - 1, -1):
             a2, b2, x2, y2 = found[j]
             if a - a2 > reach:
                 break
             if b2 <= b and y2 < y and x2 <= x and a - b2 <= most_gap and x - y2 <= most_gap:
-                mine = max(mine, (best[j][0] + min(y - x, y - y2), best[j][1]),
-                           key=lambda m: (m[0], -m[1]))
+                mine = max(mine, (best[j - lo][0] + min(y - x, y - y2), best[j - lo][1]))
         best.append(mine)
         if mine[0] > top[0]:
             top = (mine[0], mine[1], b)
+            if mine[0] >= enough:
+                break
     return top
 
 
+def _reach(found: list[tuple[int, int, int, int]], most_gap: int) -> int:
+    return most_gap + max(e[1] - e[0] for e in found)
+
+
+def chains(found: list[tuple[int, int, int, int]], most_gap: int = MOST_GAP) -> tuple[int, int, int]:
+    """The best chain of one template's matches (start, end in the text; start, end in the template).
+
+    Returns covered template words, and the chain's span in the text. Matches may overlap; a chain
+    counts what they add.
+    """
+    return _best(sorted(found), 0, most_gap, _reach(found, most_gap), float("inf"))
+
+
+def all_chains(found: list[tuple[int, int, int, int]], length: int, least: float,
+               most_gap: int = MOST_GAP) -> list[tuple[int, int, int]]:
+    """The best chain, then the best of what lies before and after its span, and so on.
+
+    All but the first cover ``least`` of the template's ``length`` words; spans do not overlap.
+    """
+    out: list[tuple[int, int, int]] = []
+    reach = _reach(found, most_gap)
+    left = [(sorted(found), 0)]  # matches, and from which on
+    while left:
+        matches, lo = left.pop()
+        top = _best(matches, lo, most_gap, reach, length)
+        if not out or top[0] / length >= least:
+            out.append(top)
+        if top[0] / length < least:
+            continue
+        _, start, stop = top
+        after = bisect_left(matches, (stop,), lo)
+        if after < len(matches):
+            left.append((matches, after))
+        before = [m for m in matches[lo:bisect_left(matches, (start,), lo)] if m[1] <= start]
+        if before:
+            left.append((before, 0))
+    return out
+
+
 class Scanner:
     def __init__(self, templates: Sequence[tuple[str, str]] = TEMPLATES,
                  phrases: Sequence[tuple[str, str]] = PHRASES):
@@ -193,8 +234,9 @@ class Scanner:
         self.lengths = [len(s) for s in sequences]
         self.automaton = Automaton(sequences)
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], dict[int, tuple[int, int, int]]]:
-        """Places of phrases (phrase, first word); by template covered words and span of its chain."""
+    def scan(self, words: list[bytes], least: float = LEAST_COVER) -> tuple[
+            list[tuple[int, int]], dict[int, list[tuple[int, int, int]]]]:
+        """Places of phrases (phrase, first word); by template covered words and span of its chains."""
         places: list[tuple[int, int]] = []
         matches: dict[int, list[tuple[int, int, int, int]]] = {}
         held = (-2, 0, 0)
@@ -214,7 +256,7 @@ class Scanner:
                 if template < self.phrases and size <= length:
                     places.append((template, end - size))
         closed(*held)
-        return places, {t: chains(m) for t, m in matches.items()}
+        return places, {t: all_chains(m, self.lengths[t], least) for t, m in matches.items()}
 
 
 def scanned(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -232,18 +274,19 @@ def scanned(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
             out = []
             for text in texts(batch).to_pylist():
                 words = words_of(text)
-                places, covered = scanner.scan(words)
+                places, covered = scanner.scan(words, least)
                 base = {scanner.labels[t] for t, _ in places}
                 starts = [at for _, at in places]
-                shares = {t: c[0] / scanner.lengths[t] for t, c in covered.items()}
+                shares = {t: c[0][0] / scanner.lengths[t] for t, c in covered.items()}
                 good = [t for t in covered if shares[t] >= least]
                 labels = base | {scanner.labels[t] for t in good}
                 score = max([*shares.values(), 1.0 if base else 0.0])
                 out.append((len(words), len(places), min(starts, default=None),
                             max(starts, default=None), ",".join(sorted(base)),
                             ",".join(sorted(labels)), score,
-                            [{"label": scanner.labels[t], "start": covered[t][1],
-                              "stop": covered[t][2], "share": shares[t]} for t in sorted(good)]))
+                            [{"label": scanner.labels[t], "start": start, "stop": stop,
+                              "share": words_held / scanner.lengths[t]} for t in sorted(good)
+                             for words_held, start, stop in sorted(covered[t], key=lambda c: c[1])]))
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
             columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
             struct = pa.struct([("label", pa.string()), ("start", pa.int64()), ("stop", pa.int64()),
