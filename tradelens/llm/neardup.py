@@ -13,7 +13,8 @@ hash minima are taken of each set. Documents that agree in a whole band meet in
    the choice of the smallest. Two that stand alone are first compared by two bits of each of their
    minima, inside the join that brings them together. What this finds goes into the components.
 
-No bucket forms all its pairs, and none is left out. A pair of similarity 0.8 has no band in common
+Of a bucket's pairs only those that stand alone are all tested, by their two bits: quadratic work in
+one task where a bucket holds very many texts that are not similar. None is left out. A pair of similarity 0.8 has no band in common
 with probability (1 - 0.8^6)^40 = 5e-6, and fails a comparison of minima with less than 1e-6.
 
 Defined cases: null texts and texts without words have an empty set, are linked with nothing and
