@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradelens.llm import (
-    decontaminate, language, licences, mixing, neardup, phrases, quality, reputation, suffix, warc,
+    alignment, decontaminate, language, licences, mixing, neardup, phrases, quality,
+    reputation, suffix, warc,
 )
 from tradelens.llm.text import table
 from tradelens.session import shared_path
@@ -57,6 +58,10 @@ def op10_phrase_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.deduplicated(table(spark, folder, "documents"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_phrase_dedup": op10_phrase_dedup,
+    "op11_alignment": op11_alignment,
 }
 
 ORACLES = {
