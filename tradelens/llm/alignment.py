@@ -25,6 +25,7 @@ empty result. Columns other than doc_id and text are not looked at.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -37,13 +38,13 @@ from pyspark.sql import functions as F
 
 from tradelens.llm.sparse import CSR
 from tradelens.llm.text import bounded_batches, slices, texts
-from tradelens.llm.tokens import Memory, merges, spread, vocabulary_bytes
+from tradelens.llm.tokens import KEPT, KEPT_CHARS, merges, spread, vocabulary_bytes
 from tradelens.session import materialise
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
-SLICE = 4 << 20
 SPACE = "▁"  # what B writes for a space
 CUT = re.compile(r"(?<=\S)(?= )")
+PLAIN = re.compile("[\x00-\u024f]{1,256}")
 BEFORE_SPACE = re.compile(r"\s ")
 
 
@@ -57,23 +58,45 @@ def _byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _in_merge_order(entries: dict[str, int], pairs: list) -> bool:
+    """Whether the longer entries are numbered as their merges are ordered."""
+    made = [entries["".join(p if isinstance(p, list) else p.split(" "))] for p in pairs]
+    return all(x < y for x, y in zip(made, made[1:])) and \
+        len(made) == sum(len(e) > 1 for e in entries)
+
+
 class Side:
-    """One tokenizer: ids of pieces, and each id's bytes."""
+    """One tokenizer: each id's bytes, and the ids of pieces."""
 
     def __init__(self, of_id: list[bytes], encode):
         self.of_id, self.size = of_id, np.array([len(b) for b in of_id], np.int64)
-        self.memory = Memory(encode)
+        self.encode = encode
 
     @classmethod
     def byte_level(cls, data: bytes) -> Side:
-        """``data`` is a tokenizers file with byte-level entries; it is given the space itself."""
+        """``data`` is a tokenizers file with byte-level entries; it is given the space itself.
+
+        Where the entries are numbered in the order of their merges, the same merges run in the
+        faster tiktoken: for short pieces of the letters of which all versions of Unicode agree.
+        """
         known, byte = merges(data), _byte_characters()
         of_id = [b""] * known.get_vocab_size(with_added_tokens=True)
-        for entry, i in known.get_vocab(with_added_tokens=False).items():
+        entries = known.get_vocab(with_added_tokens=False)
+        for entry, i in entries.items():
             of_id[i] = bytes(byte[c] for c in entry)
 
-        def encode(pieces: list[str]) -> list[list[int]]:
+        def whole(pieces: list[str]) -> list[list[int]]:
             return [e.ids for e in known.encode_batch_fast(pieces, add_special_tokens=False)]
+
+        if not _in_merge_order(entries, json.loads(data)["model"]["merges"]):
+            return cls(of_id, whole)
+        from public_tokenizers import PATTERN
+        from tiktoken import Encoding
+        ranks = {of_id[i]: i for i in entries.values()}
+        fast = Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+        def encode(pieces: list[str]) -> list[list[int]]:
+            return [fast.encode_ordinary(p) if PLAIN.fullmatch(p) else whole([p])[0] for p in pieces]
         return cls(of_id, encode)
 
     @classmethod
@@ -91,8 +114,20 @@ class Side:
             return [ids if p != " " else alone for p, ids in zip(pieces, found)]
         return cls(of_id, encode)
 
-    def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.of_id.__getitem__, ids.tolist()))
+    def joined(self, ids) -> bytes:
+        return b"".join(map(self.of_id.__getitem__, ids))
+
+
+def _tokens(side: Side, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the pieces in a row, where each one's start and end, and whether they join to it."""
+    found = side.encode(pieces)
+    sizes = [len(i) for i in found]
+    flat = np.fromiter(chain.from_iterable(found), np.int64, sum(sizes))
+    if side.joined(flat.tolist()) == "".join(pieces).encode():
+        restored = np.ones(len(pieces), bool)
+    else:
+        restored = np.array([side.joined(i) == p.encode() for i, p in zip(found, pieces)], bool)
+    return flat, np.append(0, np.cumsum(sizes)), restored
 
 
 class Aligned(NamedTuple):
@@ -178,72 +213,114 @@ def cut(text: str) -> list[str]:
     return [" " + part for part in text.split(" ")[1:]]
 
 
-class Slice:
-    """The distinct pieces of some documents, their tokens, and which document holds which."""
+class Known:
+    """What is known of distinct pieces: figures, groups as text, linked id pairs.
+
+    Bounded: beyond ``KEPT`` pieces or ``KEPT_CHARS`` characters all is forgotten before a new slice.
+    """
 
-    def __init__(self, a: Side, b: Side, raw: list[bytes]):
+    def __init__(self, a: Side, b: Side):
         self.a, self.b = a, b
+        self.writing = Writing(len(a.of_id), len(b.of_id))
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.text: list[str] = []
+        self.chars = 0
+        self.restored = np.empty(0, bool)
+        self.figures = np.empty((0, len(FIGURES)), np.int64)
+        self.ptr = np.zeros(1, np.int64)
+        self.pair, self.links = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        new = [p for p in dict.fromkeys(pieces) if p not in self.number]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+
+    def _learn(self, new: list[str]) -> None:
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.chars += sum(map(len, new))
+        sides = [_tokens(side, new) for side in (self.a, self.b)]
+        good = sides[0][2] & sides[1][2]
+        kept = np.flatnonzero(good)
+        found = align(self.a, self.b, *(spread(flat, ptr, kept) for flat, ptr, _ in sides))
+        links, pairs = shared(found, len(self.a.of_id), len(self.b.of_id))
+        piece = np.repeat(np.arange(len(kept)), np.diff(found.a_ptr))
+        first = np.append(True, found.a_group[1:] != found.a_group[:-1])[:len(found.a)]
+        figures = np.zeros((len(new), len(FIGURES)), np.int64)
+        figures[kept] = np.stack([
+            np.diff(found.a_ptr), np.diff(found.b_ptr),
+            np.bincount(piece[first], minlength=len(kept)),
+            links.times(np.ones(links.width, np.int64))], axis=1)
+        held = np.zeros(len(new), np.int64)
+        held[kept] = np.diff(links.ptr)
+        text = dict(zip(kept.tolist(), self.writing.of(found)))
+        self.text += [text.get(i, "") for i in range(len(new))]
+        self.restored = np.append(self.restored, good)
+        self.figures = np.concatenate([self.figures, figures])
+        self.ptr = np.append(self.ptr, self.ptr[-1] + np.cumsum(held))
+        self.pair = np.append(self.pair, pairs[links.col])
+        self.links = np.append(self.links, links.val)
+
+    def documents(self, raw: list[bytes]) -> list[np.ndarray]:
+        """The numbers of each document's pieces; none if it has no tokens."""
+        if len(self.number) > KEPT or self.chars > KEPT_CHARS:
+            self.forget()
         held = [data.decode("utf-8", "replace") for data in raw]
         parts = [cut(text) if text and text.encode() == data else []
                  for text, data in zip(held, raw)]
-        bad = self._encode(parts)
-        if bad:  # once more with these documents as one piece each
-            again = [i for i, some in enumerate(parts) if not bad.isdisjoint(some)]
-            for i in again:
-                parts[i] = [" " + held[i]]
-            bad = self._encode(parts)
-            for i in again:
-                if parts[i][0] in bad:
-                    parts[i] = []
-            self._encode(parts)
-        number = {p: i for i, p in enumerate(self.pieces)}
-        self.held = [[number[p] for p in some] for some in parts]
-        size = [len(h) for h in self.held]
-        piece = np.fromiter(chain.from_iterable(self.held), np.int64, sum(size))
-        self.documents = CSR.of(np.repeat(np.arange(len(raw)), size), piece,
-                                (len(raw), len(self.pieces)))
-
-    def _encode(self, parts: list[list[str]]) -> set[str]:
-        """Tokens of the distinct pieces; returns those pieces that their tokens do not join to."""
-        self.pieces = list(dict.fromkeys(chain.from_iterable(parts)))
-        self.ids = [side.memory.ids(self.pieces) for side in (self.a, self.b)]
-        whole = "".join(self.pieces).encode()
-        sides = [(side, *ids) for side, ids in zip((self.a, self.b), self.ids)]
-        if all(side.joined(flat) == whole for side, flat, _ in sides):
-            return set()
-        return {p for k, p in enumerate(self.pieces) for side, flat, ptr in sides
-                if side.joined(flat[ptr[k]:ptr[k + 1]]) != p.encode()}
-
-    def aligned(self) -> Aligned:
-        return align(self.a, self.b, *self.ids)
-
-
-ARRAYS = ["n_a", "n_b", "n_groups", "n_links", "d_ptr", "d_col", "d_val", "s_ptr", "s_col", "s_val",
-          "pairs", "docs"]
-WIDE = {"n_links", "pairs", "s_val", "d_val"}
-SCHEMA = ("slice bigint, doc_id array<bigint>, groups_sha256 array<string>, "
-          + ", ".join(f"{n} array<{'bigint' if n in WIDE else 'int'}>" for n in ARRAYS))
-
-
-def _summary(found: Slice, writing: Writing) -> dict:
+        ends = np.cumsum([len(some) for some in parts])
+        numbers = np.split(self.numbers(list(chain.from_iterable(parts))), ends)[:len(raw)]
+        for i, mine in enumerate(numbers):
+            if not self.restored[mine].all():
+                mine = self.numbers([" " + held[i]])
+                numbers[i] = mine[self.restored[mine]]
+        return numbers
+
+
+FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
+SCHEMA = ("doc_id array<bigint>, groups_sha256 array<string>, matrices binary, pairs array<bigint>, "
+          "docs array<int>, " + ", ".join(f"{n} array<bigint>" for n in FIGURES))
+
+
+def _packed(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of non-negative integers, each in the narrowest type, compressed."""
+    import zstandard
+    out = []
+    for array in arrays:
+        kind = np.min_scalar_type(int(array.max(initial=0)))
+        out.append(np.array([len(array), kind.itemsize], "<u8").tobytes() + array.astype(kind).tobytes())
+    return zstandard.compress(b"".join(out), 1)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    import zstandard
+    data, at, out = zstandard.decompress(data), 0, []
+    while at < len(data):
+        count, size = np.frombuffer(data, "<u8", 2, at).tolist()
+        out.append(np.frombuffer(data, f"<u{size}", count, at + 16).astype(np.int64))
+        at += 16 + count * size
+    return out
+
+
+def _summary(known: Known, raw: list[bytes]) -> dict:
     """The matrices and figures of a slice."""
-    aligned = found.aligned()
-    links, pairs = shared(aligned, len(found.a.of_id), len(found.b.of_id))
-    count = len(found.pieces)
-    piece = np.repeat(np.arange(count), np.diff(aligned.a_ptr))
-    first = np.append(True, aligned.a_group[1:] != aligned.a_group[:-1])[:len(aligned.a)]
-    text = writing.of(aligned)
-    digests = [hashlib.sha256(";".join(map(text.__getitem__, held)).encode()).hexdigest()
-               if held else "" for held in found.held]
-    docs = found.documents
+    numbers = known.documents(raw)
+    every, piece = np.unique(np.concatenate(numbers), return_inverse=True)
+    doc = np.repeat(np.arange(len(raw)), [len(n) for n in numbers])
+    docs = CSR.of(doc, piece, (len(raw), len(every)))
+    pair, ptr = spread(known.pair, known.ptr, every)
+    pairs, col = np.unique(pair, return_inverse=True)
+    links = CSR(ptr, col, spread(known.links, known.ptr, every)[0], len(pairs))
+    digests = [hashlib.sha256(";".join(map(known.text.__getitem__, n.tolist())).encode()).hexdigest()
+               if len(n) else "" for n in numbers]
     return {
-        "groups_sha256": digests,
-        "n_a": docs.times(np.diff(aligned.a_ptr)), "n_b": docs.times(np.diff(aligned.b_ptr)),
-        "n_groups": docs.times(np.bincount(piece[first], minlength=count)),
-        "n_links": docs.times(links.times(np.ones(len(pairs), np.int64))),
-        "d_ptr": docs.ptr, "d_col": docs.col, "d_val": docs.val,
-        "s_ptr": links.ptr, "s_col": links.col, "s_val": links.val,
-        "pairs": pairs, "docs": np.bincount((docs @ links).col, minlength=len(pairs))}
+        "groups_sha256": digests, "pairs": pairs,
+        "docs": np.bincount((docs @ links).col, minlength=len(pairs)),
+        "matrices": _packed([docs.ptr, docs.col, docs.val, links.ptr, links.col, links.val]),
+    } | {name: docs.times(known.figures[every, k]) for k, name in enumerate(FIGURES)}
 
 
 def _sides(docs: DataFrame, a_path: str | None, b_path: str | None):
@@ -259,23 +336,20 @@ def sliced(docs: DataFrame, a_path: str | None = None, b_path: str | None = None
     sides = _sides(docs, a_path, b_path)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = sides()
-        writing = Writing(len(a.of_id), len(b.of_id))
-        for batch in slices(batches, size=SLICE):
-            found = _summary(Slice(a, b, texts(batch).to_pylist()), writing)
-            columns = {"doc_id": batch.column(0).cast(pa.int64())} | {
-                name: pa.array(found[name], pa.int64() if name in WIDE else pa.int32())
-                for name in ARRAYS}
-            columns["groups_sha256"] = pa.array(found["groups_sha256"], pa.string())
-            order = ["doc_id", "groups_sha256", *ARRAYS]
-            yield pa.RecordBatch.from_arrays(
-                [pa.ListArray.from_arrays(pa.array([0, len(columns[n])], pa.int32()), columns[n])
-                 for n in order], order)
-
-    spread_docs = docs.select("doc_id", "text")
-    plain = SCHEMA.removeprefix("slice bigint, ")
-    return materialise(spread_docs.mapInArrow(encode, plain).select(
-        F.monotonically_increasing_id().alias("slice"), "*"))
+        known = Known(*sides())
+        kinds = {"groups_sha256": pa.string(), "docs": pa.int32()}
+        for batch in slices(batches):
+            found = _summary(known, texts(batch).to_pylist())
+            columns = {"doc_id": batch.column(0)} | {
+                name: pa.array(values, kinds.get(name, pa.int64()))
+                for name, values in found.items() if name != "matrices"}
+            rows = {n: pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c)
+                    for n, c in columns.items()} | {"matrices": pa.array([found["matrices"]], pa.binary())}
+            order = [f.split()[0] for f in SCHEMA.split(", ")]
+            yield pa.RecordBatch.from_arrays([rows[n] for n in order], order)
+
+    return materialise(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(encode, SCHEMA)
+                       .select(F.monotonically_increasing_id().alias("slice"), "*"))
 
 
 def pair_counts(slices_: DataFrame) -> DataFrame:
@@ -297,26 +371,25 @@ def aligned(docs: DataFrame, a_path: str | None = None, b_path: str | None = Non
     counts = pair_counts(made)
     wanted = made.select(F.col("slice").alias("of"), F.posexplode("pairs").alias("at", "pair")) \
         .join(counts, "pair").select("of", "at", "docs", "best")
-    matrices = made.drop("pairs", "docs")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         """A slice's matrices times the counts of its pairs."""
-        row = {n: left.column(n).combine_chunks().flatten() for n in left.column_names if n != "slice"}
-        ints = {n: row[n].to_numpy() for n in ARRAYS if n in row}
+        row = {n: left.column(n).combine_chunks().flatten() for n in ("doc_id", "groups_sha256", *FIGURES)}
+        d_ptr, d_col, d_val, s_ptr, s_col, s_val = _unpacked(left.column("matrices")[0].as_py())
         count, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, np.int64)
         at = right.column("at").to_numpy()
         count[at] = right.column("docs").to_numpy()
         best[at] = right.column("best").to_numpy()
-        of_docs = CSR(ints["d_ptr"], ints["d_col"], ints["d_val"], len(ints["s_ptr"]) - 1)
-        links = CSR(ints["s_ptr"], ints["s_col"], ints["s_val"], right.num_rows)
-        figures = {"n_a": ints["n_a"], "n_b": ints["n_b"], "n_groups": ints["n_groups"],
-                   "n_links": ints["n_links"], "n_best": of_docs.times(links.times(best)),
+        of_docs = CSR(d_ptr, d_col, d_val, len(s_ptr) - 1)
+        links = CSR(s_ptr, s_col, s_val, right.num_rows)
+        figures = {"n_best": of_docs.times(links.times(best)),
                    "count_sum": of_docs.times(links.times(count))}
-        return pa.table({"doc_id": row["doc_id"]}
+        return pa.table({"doc_id": row["doc_id"]} | {n: row[n] for n in FIGURES}
                         | {n: pa.array(v, pa.int64()) for n, v in figures.items()}
                         | {"groups_sha256": row["groups_sha256"]})
 
-    figures = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    matrices = made.drop("pairs", "docs")
+    figures = [*FIGURES, "n_best", "count_sum"]
     schema = "doc_id bigint, " + ", ".join(f"{n} bigint" for n in figures) + ", groups_sha256 string"
     return matrices.groupBy("slice").cogroup(wanted.groupBy("of")).applyInArrow(finish, schema)
 
@@ -332,13 +405,14 @@ def document_links(docs: DataFrame, a_path: str | None = None, b_path: str | Non
     sides = _sides(docs, a_path, b_path)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = sides()
-        for batch in slices(batches, size=SLICE):
-            found = Slice(a, b, texts(batch).to_pylist())
-            ids, rows = found.ids, []
-            for doc, held in zip(batch.column(0).to_pylist(), found.held):
-                chosen = np.array(held, np.int64)
-                one = align(a, b, spread(*ids[0], chosen), spread(*ids[1], chosen))
+        known = Known(*sides())
+        for batch in slices(batches):
+            rows = []
+            numbers = known.documents(texts(batch).to_pylist())
+            names = list(known.number)
+            for doc, mine in zip(batch.column(0).to_pylist(), numbers):
+                pieces = [names[p] for p in mine.tolist()]
+                one = align(known.a, known.b, *(_tokens(side, pieces)[:2] for side in (known.a, known.b)))
                 rows.append({
                     "doc_id": doc, "a_ids": one.a.tolist(), "b_ids": one.b.tolist(),
                     "a_groups": one.a_group.tolist(), "b_groups": one.b_group.tolist(),
@@ -351,6 +425,6 @@ def document_links(docs: DataFrame, a_path: str | None = None, b_path: str | Non
     link = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("bytes", pa.int32())])
     shape = pa.schema([("doc_id", pa.int64()), ("a_ids", ints), ("b_ids", ints), ("a_groups", ints),
                        ("b_groups", ints), ("overlaps", pa.list_(link))])
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
         encode, "doc_id bigint, a_ids array<int>, b_ids array<int>, a_groups array<int>, "
                 "b_groups array<int>, overlaps array<struct<a: int, b: int, bytes: int>>")

@@ -9,8 +9,7 @@ from pathlib import Path
 
 import numpy as np
 
-KEPT_WORDS = 200_000  # pieces a worker remembers from slice to slice
-KEPT_CHARS = 64
+KEPT, KEPT_CHARS = 200_000, 8 << 20  # what a worker remembers from slice to slice
 
 
 def vocabulary_bytes(path: str | None, name: str) -> bytes:
@@ -31,27 +30,34 @@ def merges(data: bytes):
 
 
 class Memory:
-    """Ids of pieces by ``encode``, which is asked once for each piece that is not remembered.
+    """Ids of pieces by ``encode``, which is asked once for each piece that is remembered.
 
-    Bounded: beyond ``KEPT_WORDS`` pieces all are forgotten, and long pieces are never kept.
+    Bounded: a call that finds more than ``KEPT`` pieces or ``KEPT_CHARS`` characters forgets them.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
-        self._encode, self._known = encode, {}
+        self._encode = encode
+        self._forget()
 
-    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """For distinct pieces: all ids in a row, and where each piece's ids start and end."""
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        self._flat, self._ptr, self._chars = np.empty(0, np.int64), np.zeros(1, np.int64), 0
+
+    def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids known, where each piece's ids start and end, and the number of every given piece."""
+        if len(self._known) > KEPT or self._chars > KEPT_CHARS:
+            self._forget()
         known = self._known
-        new = [p for p in pieces if p not in known]
-        fresh = dict(zip(new, self._encode(new))) if new else {}
-        found = [known[p] if p in known else fresh[p] for p in pieces]
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-        known.update((p, tuple(i)) for p, i in fresh.items() if len(p) <= KEPT_CHARS)
-        ptr = np.zeros(len(pieces) + 1, np.int64)
-        np.cumsum([len(i) for i in found], out=ptr[1:])
-        flat = np.fromiter(chain.from_iterable(found), np.int64, int(ptr[-1]))
-        return flat, ptr
+        new = [p for p in dict.fromkeys(pieces) if p not in known]
+        if new:
+            found = self._encode(new)
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self._chars += sum(map(len, new))
+            sizes = [len(i) for i in found]
+            flat = np.fromiter(chain.from_iterable(found), np.int64, sum(sizes))
+            self._ptr = np.append(self._ptr, self._ptr[-1] + np.cumsum(sizes))
+            self._flat = np.append(self._flat, flat)
+        return self._flat, self._ptr, np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
 
 def spread(flat: np.ndarray, ptr: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
