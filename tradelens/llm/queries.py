@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradelens.llm import (
-    alignment, decontaminate, language, licences, mixing, neardup, phrases, quality,
-    reputation, suffix, warc,
+    alignment, decontaminate, language, licences, mixing, neardup, packing, phrases, quality,
+    reputation, suffix, variants, warc,
 )
 from tradelens.llm.text import table
 from tradelens.session import shared_path
@@ -62,6 +62,14 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.aligned(table(spark, folder, "documents"))
 
 
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"))
+
+
+def op13_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -74,6 +82,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_phrase_dedup": op10_phrase_dedup,
     "op11_alignment": op11_alignment,
+    "op12_packing": op12_packing,
+    "op13_variants": op13_variants,
 }
 
 ORACLES = {
