@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tradelens.llm.sparse import CSR
 from tradelens.llm.text import bounded_batches, slices, texts
-from tradelens.llm.tokens import KEPT, KEPT_CHARS, merges, spread, vocabulary_bytes
+from tradelens.llm.tokens import KEPT, KEPT_CHARS, byte_characters, looked_up, merges, spread, vocabulary_bytes
 from tradelens.session import materialise
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -48,16 +48,6 @@ PLAIN = re.compile("[\x00-\u024f]{1,256}")
 BEFORE_SPACE = re.compile(r"\s ")
 
 
-def _byte_characters() -> dict[str, int]:
-    """The character that a byte-level vocabulary writes for each byte.
-
-    Printable Latin-1 bytes stand for themselves, the others take the code points from 256 on.
-    """
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 def _in_merge_order(entries: dict[str, int], pairs: list) -> bool:
     """Whether the longer entries are numbered as their merges are ordered."""
     made = [entries["".join(p if isinstance(p, list) else p.split(" "))] for p in pairs]
@@ -79,7 +69,7 @@ class Side:
         Where the entries are numbered in the order of their merges, the same merges run in the
         faster tiktoken: for short pieces of the letters of which all versions of Unicode agree.
         """
-        known, byte = merges(data), _byte_characters()
+        known, byte = merges(data), byte_characters()
         of_id = [b""] * known.get_vocab_size(with_added_tokens=True)
         entries = known.get_vocab(with_added_tokens=False)
         for entry, i in entries.items():
@@ -234,10 +224,7 @@ class Known:
         self.pair, self.links = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.number]
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        return looked_up(self.number, pieces, self._learn)
 
     def _learn(self, new: list[str]) -> None:
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))

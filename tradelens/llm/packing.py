@@ -20,7 +20,6 @@ empty table gives no pieces. Columns other than doc_id and text are not looked a
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,14 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.llm.text import bounded_batches, slices, texts
-from tradelens.llm.tokens import Memory, merges, spread, vocabulary_bytes
+from tradelens.llm.tokens import Words, vocabulary_bytes
 from tradelens.session import materialise, range_width
 
 VOCABULARY = "word_bpe_49k.json"
 END, LENGTH = 2, 4096
 BUCKET_BITS, DIMENSIONS, BITS = 9, 4, 15
 ONE = 1 << 16  # fixed point of a projection
-WORD = re.compile(r"[^ \t\n\r]+")
 
 
 def _signs() -> np.ndarray:
@@ -46,7 +44,7 @@ def _signs() -> np.ndarray:
     x *= np.uint64(0x9E3779B97F4A7C15)
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return (1.0 - 2.0 * (x >> np.uint64(63))).reshape(-1, DIMENSIONS)
+    return (1 - 2 * (x >> np.uint64(63)).astype(np.int64)).reshape(-1, DIMENSIONS)
 
 
 def _buckets(ids: int) -> np.ndarray:
@@ -60,8 +58,8 @@ def projected(ids: np.ndarray, ptr: np.ndarray, bucket: np.ndarray, signs: np.nd
     doc = np.repeat(np.arange(count), np.diff(ptr))
     size = 1 << BUCKET_BITS
     held = np.bincount(doc * size + bucket[ids], minlength=count * size).reshape(count, size)
-    damped = np.frexp(held)[1].astype(np.float64)  # bits of the count; sums of these are exact
-    length = np.sqrt(np.maximum((damped * damped).sum(axis=1), 1.0))
+    damped = np.frexp(held)[1].astype(np.int64)  # bits of the count; integers need no order and no BLAS
+    length = np.sqrt(np.maximum((damped * damped).sum(axis=1), 1))
     return np.floor(damped @ signs * ONE / length[:, None]).astype(np.int64)
 
 
@@ -72,32 +70,25 @@ def tokenised(docs: DataFrame, path: str | None = None, end: int = END) -> DataF
     file = spark.sparkContext.broadcast(vocabulary_bytes(path, VOCABULARY))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = merges(file.value)
-        memory = Memory(lambda words: [
-            e.ids for e in known.encode_batch_fast(words, add_special_tokens=False)])
-        highest = max(known.get_vocab_size(with_added_tokens=True), end + 1)
+        known = Words(file.value)
+        highest = max(known.size, end + 1)
         kind = "<u2" if highest <= 1 << 16 else "<u4"
         bucket, signs = _buckets(highest), _signs()
         for batch in slices(batches):
-            words, sizes = [], []
-            for data in texts(batch).to_pylist():
-                held = WORD.findall(data.decode("utf-8", "replace"))
-                words += held
-                sizes.append(len(held))
-            words_end = np.append(0, np.cumsum(sizes))
-            ids, at = spread(*memory.ids(words))
-            place = projected(ids, at[words_end], bucket, signs)
-            ids = np.insert(ids, at[words_end[1:]], end)
-            ptr = at[words_end] + np.arange(len(sizes) + 1)
+            ids, ptr = known.ids([data.decode("utf-8", "replace") for data in texts(batch).to_pylist()])
+            count = batch.num_rows
+            place = projected(ids, ptr, bucket, signs)
+            ids = np.insert(ids, ptr[1:], end)
+            ptr = ptr + np.arange(count + 1)
             data = ids.astype(kind)
-            binary = pa.Array.from_buffers(pa.binary(), len(sizes), [
+            binary = pa.Array.from_buffers(pa.binary(), count, [
                 None, pa.py_buffer((ptr * data.itemsize).astype(np.int32)), pa.py_buffer(data)])
             points = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(sizes) + 1) * DIMENSIONS, pa.int32()),
+                pa.array(np.arange(count + 1) * DIMENSIONS, pa.int32()),
                 pa.array(place.ravel(), pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.diff(ptr), pa.int64()), binary,
-                 points, pa.array([data.itemsize] * len(sizes), pa.int32())],
+                 points, pa.array([data.itemsize] * count, pa.int32())],
                 ["row", "doc_id", "size", "ids", "place", "width"])
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"),
