@@ -84,14 +84,16 @@ def phrase_dedup(rows: list[tuple], width: int = 35) -> list[tuple]:
     return by_text(out)
 
 
-def shingles(text: str | None) -> frozenset:
+def shingles(text: str | None, width: int = 2) -> frozenset:
     words = spaced(re.sub(r"[A-Z]", lambda m: m[0].lower(), text or ""))
-    return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset((w,) for w in words)
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i:i + width]) for i in range(max(1, len(words) - width + 1)))
 
 
-def near_dups(rows: list[tuple], least: int = 80) -> list[tuple]:
+def near_dups(rows: list[tuple], least: int = 80, width: int = 2) -> list[tuple]:
     """doc_id, set size, smallest reachable doc_id, kept; unique doc_ids only."""
-    sets = {d: shingles(t) for d, t in rows if d is not None}
+    sets = {d: shingles(t, width) for d, t in rows if d is not None}
     root = {d: d for d in sets}
 
     def find(d):
@@ -106,7 +108,7 @@ def near_dups(rows: list[tuple], least: int = 80) -> list[tuple]:
             if 100 * common >= least * (len(sets[a]) + len(sets[b]) - common):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    return by_text([(d, len(shingles(t)), None if d is None else find(d), d is None or find(d) == d)
+    return by_text([(d, len(shingles(t, width)), None if d is None else find(d), d is None or find(d) == d)
                     for d, t in rows])
 
 

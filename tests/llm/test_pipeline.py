@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import corpus_pipeline
 from tests.llm import plain
 
@@ -32,7 +30,7 @@ def test_stages_by_plain_loops(spark):
     rows = [r for r in rows if verdicts[r[0]]]
     assert run("quality rules") == rows
 
-    kept = {d for d, _, _, k in plain.near_dups([r[:2] for r in rows]) if k}
+    kept = {d for d, _, _, k in plain.near_dups([r[:2] for r in rows], width=corpus_pipeline.SHINGLE) if k}
     rows = [r for r in rows if r[0] in kept]
     assert run("near dedup") == rows
 
@@ -59,17 +57,12 @@ def test_run_is_the_stages_in_turn(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
 
 
-def _five_word_sets(text):
-    words = plain.spaced(re.sub(r"[A-Z]", lambda m: m[0].lower(), text or ""))
-    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
-
-
 def test_near_dedup_compares_five_words(spark):
     docs = table(spark, FOLDER, "documents")
     rows = _rows(docs)
     short = [(1000 + i, t, "en", "s", 1) for i, t in enumerate(["one two three", "One two three", "one two four"])]
     docs = docs.select(plain.COLUMNS).union(spark.createDataFrame(short, plain.DOCS))
-    sets = sorted((r[0], s) for r in rows + short if (s := _five_word_sets(r[1])))
+    sets = sorted((r[0], s) for r in rows + short if (s := plain.shingles(r[1], 5)))
     group = {d: d for d, _ in sets}
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
