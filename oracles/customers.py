@@ -333,6 +333,24 @@ _SLICED = f"""picked AS (
     AND order_id IN (SELECT order_id FROM line JOIN prod USING (product_id)
                      WHERE category IN ('PROMO', 'SMALL')))"""
 
+# The same tables within a range of dates, some states and some statuses.
+_DATED = """dated AS (
+  SELECT ord.*, c.segment FROM ord JOIN cust c USING (customer_id)
+  WHERE order_date BETWEEN DATE '1996-03-15' AND DATE '1998-02-01'
+    AND ord.state IN ('NATION_1', 'NATION_2', 'NATION_5', 'NATION_8', 'NATION_13') AND status IN ('Delivered', 'Returned'))"""
+_WITH_SEGMENT = "whole AS (SELECT ord.*, c.segment FROM ord JOIN cust c USING (customer_id))"
+_SLICED_BY = "year, segment, state, status, channel"
+
+
+def _cube(source: str) -> str:
+    return f"""
+SELECT {big(f'grouping_id({_SLICED_BY})')} AS open, CAST(year AS INTEGER) AS year, segment, state, status, channel,
+       count(*) AS orders, {money(f"sum(total_amount) FILTER ({_D})")} AS revenue,
+       count(DISTINCT customer_id) AS customers,
+       count(DISTINCT customer_id) FILTER ({_D}) AS active_customers
+FROM (SELECT *, year(order_date) AS year FROM {source}) GROUP BY CUBE ({_SLICED_BY})"""
+
+
 MEASURES = {
     "total_revenue": query(f" SELECT {money('sum(total_amount)')} AS total_revenue FROM done"),
     "total_revenue_by_segment": query(f"""
@@ -364,6 +382,18 @@ SELECT category, {money('sum(line_revenue)')} AS revenue,
        {ratio('sum(line_revenue)', 'sum(sum(line_revenue)) OVER ()', 6)} AS revenue_share
 FROM sold WHERE order_id IN (SELECT order_id FROM picked) AND category IN ('PROMO', 'SMALL')
 GROUP BY category""", _SLICED),
+    "sliced_dates_status": query(f"""
+SELECT status, count(*) AS order_count, {percent('count(*)', 'sum(count(*)) OVER ()', 1)} AS pct
+FROM dated GROUP BY status""", _DATED),
+    "sliced_dates_cards": query(f"""
+SELECT {money(f"sum(total_amount) FILTER ({_D})")} AS total_revenue,
+       count(*) FILTER ({_D}) AS orders,
+       {ratio(f"sum(total_amount) FILTER ({_D})", f"count(*) FILTER ({_D})", 2)} AS aov,
+       count(DISTINCT customer_id) FILTER ({_D}) AS active_customers,
+       {percent("count(*) FILTER (status = 'Cancelled')", 'count(*)', 4)} AS cancel_pct
+FROM dated""", _DATED),
+    "slicer_cube": query(_cube("whole"), _WITH_SEGMENT),
+    "slicer_cube_dates": query(_cube("dated"), _DATED),
     "category_revenue_share": query(f"""
 SELECT category, {money('revenue')} AS revenue,
        {ratio('revenue', 'sum(revenue) OVER ()', 6)} AS revenue_share FROM cat""", _CATEGORY),

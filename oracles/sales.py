@@ -147,6 +147,19 @@ def _constraints() -> str:
 
 QUALITY["constraint_report"] = _constraints()
 
+
+def _exported() -> str:
+    parts = (("customers", "cust", "customer_id", "customer_id"), ("products", "prod", "product_id", "cost_price"),
+             ("orders", "raw_ord", "order_id", "total_amount"), ("order_items", "line", "item_id", "line_revenue"),
+             ("returns", "ret", "return_id", "order_id"))
+    return query("\n" + "\nUNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS rows, count(DISTINCT {key}) AS keys, "
+        f"{money(f'sum({amount})')} AS amount FROM {source}" for name, source, key, amount in parts))
+
+
+QUALITY["exported_tables"] = QUALITY["exported_tables_csv"] = _exported()
+QUALITY["stored_totals"] = query(f" SELECT order_id, {money('total_amount')} AS total_amount FROM ord")
+
 _CATEGORY = """cat AS (
   SELECT category, count(DISTINCT order_id) AS orders, sum(quantity) AS units,
          sum(line_revenue) AS revenue, sum(line_revenue) - sum(quantity * cost_price) AS profit,

@@ -6,6 +6,7 @@ from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import DecimalType
 
 from tradelens.sources.schema import SCHEMAS
 from tradelens.sources.tables import Tables
@@ -24,11 +25,15 @@ DEFAULTS = {
 }
 
 
+def _typed(value, kind):
+    return Decimal(value) if isinstance(kind, DecimalType) and isinstance(value, int) else value
+
+
 def make(spark: SparkSession, **tables: list[dict]) -> Tables:
     frames = {}
     for name, schema in SCHEMAS.items():
         rows = [{**DEFAULTS[name], **row} for row in tables.get(name, [])]
-        values = [tuple(row.get(f.name) for f in schema) for row in rows]
+        values = [tuple(_typed(row.get(f.name), f.dataType) for f in schema) for row in rows]
         frames[name] = spark.createDataFrame(values, schema)
     return Tables(frames)
 

@@ -393,7 +393,7 @@ def test_report_sections_are_written(spark, tmp_path):
         report.export_tables(t, str(tmp_path), "xlsx")
 
 
-@pytest.mark.parametrize("name, sections", [("sql", 28), ("eda", 23), ("dashboard", 7)])
+@pytest.mark.parametrize("name, sections", [("sql", 29), ("eda", 25), ("dashboard", 7)])
 def test_command_line(spark, tmp_path, name, sections):
     from tradelens.__main__ import main
     report.export_tables(sales(spark), f"{tmp_path}/in", "csv")

@@ -44,6 +44,7 @@ class SlicedTables(Tables):
 
     def __init__(self, base: Tables, slicers: Slicers):
         self._base, self._s = base, slicers
+        self.generated = base.generated
 
     def columns(self, name: str) -> list[str]:
         return self._base.columns(name)
@@ -190,6 +191,35 @@ def page_cards(tables: Tables) -> DataFrame:
         percent(F.sum("cancelled"), F.sum("n"), 4).alias("cancel_pct"))
 
 
+SLICED_BY = ["year", "segment", "state", "status", "channel"]
+
+
+def slicer_cube(tables: Tables) -> DataFrame:
+    """Revenue, orders and customers for every combination of the slicers, each set or left open.
+
+    ``open`` is the grouping id: a bit for each of ``SLICED_BY``, the first one highest, set where the
+    slicer is open and its column NULL. Slice the tables by dates or categories first for those.
+
+    Orders are summed per customer and combination before they are grouped by all the sets, so that
+    customers are counted without a distinct and a customer with very many orders is a few rows.
+    """
+    people = tables.customers("customer_id", "segment")
+    orders = tables.orders("customer_id", "order_date", "status", "channel", "state", "total_amount") \
+        .join(people, "customer_id").withColumn("year", F.year("order_date"))
+    each = orders.groupBy(*SLICED_BY, "customer_id").agg(
+        order_count().alias("orders"), _delivered_amount().alias("revenue"),
+        F.count_if(F.col("status") == DELIVERED).alias("delivered"))
+    sets = [[c for i, c in enumerate(SLICED_BY) if not mask >> (len(SLICED_BY) - 1 - i) & 1]
+            for mask in range(1 << len(SLICED_BY))]
+    per_customer = each.groupingSets([[*s, "customer_id"] for s in sets], *SLICED_BY, "customer_id").agg(
+        F.shiftright(F.grouping_id(*SLICED_BY, "customer_id"), 1).alias("open"),
+        F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"),
+        F.sum("delivered").alias("delivered"))
+    return per_customer.groupBy("open", *SLICED_BY).agg(
+        F.sum("orders").alias("orders"), total("revenue").alias("revenue"),
+        order_count().alias("customers"), F.count_if(F.col("delivered") > 0).alias("active_customers"))
+
+
 def revenue_by_month(tables: Tables) -> DataFrame:
     months = delivered(tables, "order_date", "total_amount") \
         .groupBy(F.trunc("order_date", "month").alias("m")) \

@@ -139,8 +139,8 @@ def _as_rules(counted: DataFrame) -> DataFrame:
     return long.select(*parts, count)
 
 
-def _row_rules(tables: Tables, table: str) -> DataFrame | None:
-    """All rules that one row can break, counted in one pass; keys are checked elsewhere."""
+def _row_checks(tables: Tables, table: str) -> list[tuple[str, str, Column]]:
+    """(rule, column, broken) of every rule that one row can break; keys are checked elsewhere."""
     present = set(tables.columns(table)) - {schema.PRIMARY_KEYS[table]}
     checks: list[tuple[str, str, Column]] = []
     for field in schema.SCHEMAS[table]:
@@ -152,78 +152,119 @@ def _row_rules(tables: Tables, table: str) -> DataFrame | None:
     for where, column in schema.POSITIVE:
         if where == table and column in present:
             checks.append(("positive", column, ~(F.col(column) > 0)))
-    amount = {"quantity", "unit_price", "discount_pct", "line_revenue"}
-    if table == "order_items" and amount <= present:
+    if table == "order_items" and LINE_AMOUNT <= present:
         expected = F.col("quantity") * F.col("unit_price") * (1 - F.col("discount_pct"))
         off = F.abs(real("line_revenue") - expected) > CENT
         checks.append(("line_amount", "line_revenue", off))
-    if not checks:
-        return None
-    columns = list(dict.fromkeys([*(column for _, column, _ in checks),
-                                  *sorted(amount & present if table == "order_items" else ())]))
-    counts = [F.count_if(bad).alias(_label(rule, table, column)) for rule, column, bad in checks]
-    return _as_rules(_stored(tables, table, *columns).agg(*counts))
+    return checks
 
 
-def _per_value(tables: Tables, table: str, column: str) -> DataFrame:
-    """Rows per key value. Counting on the map side first keeps a hot value small."""
-    return _stored(tables, table, column).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+LINE_AMOUNT = {"quantity", "unit_price", "discount_pct", "line_revenue"}
+OWN, BROKEN = "own", "broken"  # roles; a child's is "table.column"
+# Figures of an order that its lines are held against.
+AMOUNTS = {"orders": ("total_amount", "discount_pct"), "order_items": ("line_revenue", "discount_pct")}
 
 
-def _key_rules(tables: Tables, table: str, column: str, rule: str) -> DataFrame:
-    repeated = F.count_if(F.col(column).isNotNull() & (F.col("n") > 1))
-    found = [repeated.alias(_label(rule, table, column))]
-    if rule == "primary_key":
-        missing = F.sum(F.when(F.col(column).isNull(), F.col("n")))
-        found.append(missing.alias(_label("not_null", table, column)))
-    return _as_rules(_per_value(tables, table, column).agg(*found))
+def _entries(tables: Tables, table: str) -> DataFrame:
+    """(place, key, role, amount, discount): what one scan of the table has to say.
 
-
-def _foreign_key_rule(tables: Tables, child: str, column: str, parent: str, key: str) -> DataFrame:
-    values = _per_value(tables, child, column).where(F.col(column).isNotNull())
-    lost = orphans(values, _stored(tables, parent, key), column, key)
-    return _as_rules(lost.agg(F.sum("n").alias(_label("foreign_key", child, column))))
-
-
-def _line_rules(tables: Tables) -> DataFrame:
-    """Lines without an order, orders whose total is not the sum of their lines, and orders with a
-    line that has another discount."""
-    per_order = tables.order_items("order_id", "line_revenue", "discount_pct").groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("line_revenue"), 2).alias("lines"),
-        F.min("discount_pct").alias("low"), F.max("discount_pct").alias("high"))
-    stored = tables.orders("order_id", "total_amount", "discount_pct").withColumn("known", F.lit(True))
-    both = stored.join(per_order.where("order_id IS NOT NULL"), "order_id", "full")
-    off = F.col("total_amount") != F.coalesce("lines", F.lit(0).cast("decimal(18,2)"))
-    lost = F.sum(F.when(F.col("known").isNull(), F.col("n")))
+    A row for each key value of each row, under the table it is a key of; orders and their lines
+    bring their amounts along. A row for each rule a row breaks, under the rule's label.
+    """
+    amount_of = AMOUNTS.get(table)
+
+    def entry(place: str, key: Column, role: str, amounts: bool = False) -> Column:
+        amount, discount = (F.col(c) for c in amount_of) if amounts else (F.lit(None), F.lit(None))
+        return F.struct(F.lit(place).alias("place"), key.cast("string").alias("key"),
+                        F.lit(role).alias("role"), amount.cast("decimal(38,4)").alias("amount"),
+                        discount.cast("double").alias("discount"))
+
+    own = schema.PRIMARY_KEYS[table]
+    found, columns = [], []
+    if (table, own) not in tables.generated:
+        found.append(entry(table, F.col(own), OWN, table == "orders"))
+        columns.append(own)
+    for column in schema.UNIQUE.get(table, []):
+        found.append(F.when(F.col(column).isNotNull(), entry(f"{table}.{column}", F.col(column), OWN)))
+        columns.append(column)
+    for child, column, parent, _ in schema.FOREIGN_KEYS:
+        if child == table:
+            to_order = (child, column) == ("order_items", "order_id")
+            found.append(F.when(F.col(column).isNotNull(),
+                                entry(parent, F.col(column), f"{child}.{column}", to_order)))
+            columns.append(column)
+    for rule, column, bad in _row_checks(tables, table):
+        found.append(F.when(bad, entry(_label(rule, table, column), F.lit(None), BROKEN)))
+        columns += [column, *(sorted(LINE_AMOUNT) if rule == "line_amount" else [])]
+    read = list(dict.fromkeys([*columns, *(amount_of or ())]))
+    rows = _stored(tables, table, *read)
+    return rows.select(F.explode(F.array_compact(F.array(*found))).alias("e")).select("e.*")
+
+
+def _key_and_row_rules(tables: Tables) -> DataFrame:
+    """Keys, references, row rules, and orders against their lines, from one scan of each table.
+
+    All tables' entries meet in one shuffle by key, counted before they move, so a hot key or a rule
+    that every row breaks is one row a task.
+    """
+    def with_role(role: str) -> Column:
+        return F.col("role") == role
+
+    children = {(child, column): f"{child}.{column}" for child, column, *_ in schema.FOREIGN_KEYS}
+    line = with_role(children["order_items", "order_id"])
+    met = _stack_all([_entries(tables, name) for name in schema.TABLE_NAMES]).groupBy("place", "key").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(with_role(OWN)).alias(OWN),
+        *[F.count_if(with_role(role)).alias(role) for role in children.values()],
+        F.max(F.when(with_role(OWN), F.col("amount"))).alias("total"),
+        F.sum(F.when(line, F.col("amount"))).alias("lines"),
+        F.max(F.when(with_role(OWN), F.col("discount"))).alias("discount"),
+        F.min(F.when(line, F.col("discount"))).alias("low"),
+        F.max(F.when(line, F.col("discount"))).alias("high"))
+
+    def at(place: str) -> Column:
+        return F.col("place") == place
+
+    has_key, own = F.col("key").isNotNull(), F.col(OWN)
+    repeated = has_key & (own > 1)
+    counts: dict[str, Column] = {}
+    for table, column in schema.PRIMARY_KEYS.items():
+        counts[_label("primary_key", table, column)] = F.count_if(at(table) & repeated)
+        counts[_label("not_null", table, column)] = F.sum(F.when(at(table) & ~has_key, own))
+    for table, columns in schema.UNIQUE.items():
+        for column in columns:
+            counts[_label("unique", table, column)] = F.count_if(at(f"{table}.{column}") & repeated)
+    for child, column, parent, _ in schema.FOREIGN_KEYS:
+        lost = at(parent) & has_key & (own == 0)
+        counts[_label("foreign_key", child, column)] = F.sum(F.when(lost, F.col(f"`{child}.{column}`")))
+    for table in schema.TABLE_NAMES:
+        for rule, column, _ in _row_checks(tables, table):
+            label = _label(rule, table, column)
+            counts[label] = F.sum(F.when(at(label), F.col("rows")))
+    known = at("orders") & (own > 0)
 
     def differs(side: str) -> Column:
-        return F.round(F.col(side) * 100) != F.round(F.col("discount_pct") * 100)
+        return F.round(F.col(side) * 100) != F.round(F.col("discount") * 100)
 
-    return _as_rules(both.agg(
-        lost.alias(_label("foreign_key", "order_items", "order_id")),
-        F.count_if(differs("low") | differs("high"))
-        .alias(_label("order_discount", "order_items", "discount_pct")),
-        F.count_if(off).alias(_label("sum_of_lines", "orders", "total_amount"))))
+    sum_of_lines = F.coalesce(F.round("lines", 2), F.lit(0).cast("decimal(18,2)"))
+    off = F.coalesce("total", F.lit(0)) != sum_of_lines
+    counts[_label("sum_of_lines", "orders", "total_amount")] = F.count_if(known & off)
+    counts[_label("order_discount", "order_items", "discount_pct")] = \
+        F.count_if(known & (differs("low") | differs("high")))
+    counts[_label("one_per_order", "returns", "order_id")] = \
+        F.count_if(at("orders") & has_key & (F.col("`returns.order_id`") > 1))
+    return _as_rules(met.agg(*[count.alias(label) for label, count in counts.items()]))
 
 
 def _return_rules(tables: Tables) -> DataFrame:
-    """Returns without an order, of an order that is not Returned, or on an impossible day."""
-    orders = tables.raw_orders("order_id", "order_date", "status").withColumn("known", F.lit(True))
-    both = tables.returns("order_id", "return_date").join(orders, "order_id", "left")
-    lost = F.col("order_id").isNotNull() & F.col("known").isNull()
+    """Returns of an order that is not Returned, or on an impossible day."""
+    orders = tables.raw_orders("order_id", "order_date", "status")
+    both = tables.returns("order_id", "return_date").join(orders, "order_id")
     late = ~F.datediff("return_date", "order_date").between(1, 15)
     return _as_rules(both.agg(
-        F.count_if(lost).alias(_label("foreign_key", "returns", "order_id")),
         F.count_if(F.col("status") != RETURNED).alias(_label("of_returned_order", "returns", "order_id")),
         F.count_if(late).alias(_label("days_after_order", "returns", "return_date"))))
 
 
-def _one_return(tables: Tables) -> DataFrame:
-    repeated = F.count_if(F.col("order_id").isNotNull() & (F.col("n") > 1))
-    return _as_rules(_per_value(tables, "returns", "order_id").agg(
-        repeated.alias(_label("one_per_order", "returns", "order_id"))))
-
-
 def _registration_rule(tables: Tables) -> DataFrame:
     """Orders from before their customer's registration."""
     people = tables.customers("customer_id", "registration_date")
@@ -256,13 +297,7 @@ def constraint_report(tables: Tables) -> DataFrame:
     belongs to a Returned order and is the only one of it, and no order is older than its customer's
     registration. Rules on columns that the source lacks are listed with NULL: not checked.
     """
-    reports = [r for r in (_row_rules(tables, name) for name in schema.TABLE_NAMES) if r]
-    reports += [_key_rules(tables, t, c, "primary_key") for t, c in schema.PRIMARY_KEYS.items()]
-    reports += [_key_rules(tables, t, c, "unique") for t, cs in schema.UNIQUE.items() for c in cs]
-    joined = {("order_items", "order_id"), ("returns", "order_id")}  # come with other rules
-    reports += [_foreign_key_rule(tables, *link) for link in schema.FOREIGN_KEYS
-                if link[:2] not in joined]
-    reports += [_line_rules(tables), _return_rules(tables), _one_return(tables)]
+    reports = [_key_and_row_rules(tables), _return_rules(tables)]
     open_rules = _not_checked(tables)
     if ("after_registration", "orders", "order_date") not in open_rules:
         reports.append(_registration_rule(tables))

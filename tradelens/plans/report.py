@@ -12,8 +12,9 @@ from tradelens.functions.display import currency, percent_text, thousands
 from tradelens.plans import (
     basket, cohorts, model, overview, quality, rfm, stats, topn, trends,
 )
-from tradelens.session import materialise
-from tradelens.sources import schema
+from tradelens.functions.numeric import money, total
+from tradelens.session import materialise, shared_path
+from tradelens.sources import schema, stored
 from tradelens.sources.tables import Tables
 
 
@@ -22,9 +23,7 @@ def data_dictionary(tables: Tables) -> DataFrame:
     def one(table: str) -> DataFrame:
         fields = {f.name: f for f in schema.SCHEMAS[table]}
         names = tables.columns(table)
-        smallest = tables.table(table, *names).agg(
-            *[F.min(c).cast("string").alias(c) for c in names])
-        long = smallest.unpivot([], names, "column", "example")
+        long = tables.smallest(table).unpivot([], names, "column", "example")
 
         def lookup(pick):
             pairs = [F.lit(x) for name in names for x in (name, pick(fields[name]))]
@@ -62,6 +61,7 @@ class SettledOrders(Tables):
         orders = materialise(base.raw_orders())
         super().__init__({"orders": orders})
         self._base = base
+        self.generated = base.generated
 
     def columns(self, name: str) -> list[str]:
         return self._base.columns(name)
@@ -78,6 +78,9 @@ class SettledOrders(Tables):
     def order_items(self, *columns: str) -> DataFrame:
         return self._base.order_items(*columns)
 
+    def smallest(self, name: str) -> DataFrame:
+        return self._base.smallest(name)
+
     def returns(self, *columns: str) -> DataFrame:
         return self._base.returns(*columns)
 
@@ -86,7 +89,7 @@ def sql_sections(tables: Tables, reference: date) -> dict[str, DataFrame]:
     """The analytical statements, by name."""
     return {
         **{f.__name__: f(tables) for f in (
-            quality.null_audit, quality.order_outliers, quality.duplicate_orders,
+            quality.null_audit, quality.fill_null_totals, quality.order_outliers, quality.duplicate_orders,
             quality.orphan_items, overview.orders_by_status, overview.revenue_by_category,
             overview.customers_by_segment_state, overview.payment_mode_summary,
             overview.channel_summary, topn.top_products_revenue, overview.kpi_overview,
@@ -104,7 +107,7 @@ def eda_sections(tables: Tables, reference: date) -> dict[str, DataFrame]:
     """What lies behind the exploratory charts and tests, by name."""
     return {
         **{f.__name__: f(tables) for f in (
-            quality.table_profile, overview.headline_stats, overview.status_counts,
+            quality.table_profile, trends.order_calendar, trends.order_detail, overview.headline_stats, overview.status_counts,
             overview.revenue_by_segment, stats.order_value_describe, trends.monthly_trend,
             overview.category_margin, stats.order_value_histogram, stats.order_value_density,
             stats.order_value_box_by_segment, overview.payment_channel_matrix,
@@ -134,20 +137,10 @@ def dashboard(tables: Tables, reference: date = rfm.REFERENCE_DATE) -> dict[str,
     }
 
 
-def _save(df: DataFrame, path: str, kind: str) -> None:
-    writer = df.write.mode("overwrite")
-    if kind == "csv":
-        writer.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
-    elif kind == "parquet":
-        writer.parquet(path)
-    else:
-        raise ValueError(f"unknown format: {kind}")
-
-
 def write_report(sections: dict[str, DataFrame], folder: str, kind: str = "parquet") -> None:
-    """One dataset per section, replacing an earlier one."""
+    """One dataset per section, each one checked and then put in the place of an earlier one."""
     for name, df in sections.items():
-        _save(df, f"{folder}/{name}", kind)
+        stored.replace(df, f"{folder}/{name}", kind)
 
 
 def export_tables(tables: Tables, folder: str, kind: str = "parquet") -> None:
@@ -157,19 +150,48 @@ def export_tables(tables: Tables, folder: str, kind: str = "parquet") -> None:
     ``from_csv`` read the result back.
     """
     for name in schema.TABLE_NAMES:
-        present = set(tables.columns(name))
-        columns = [
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.SCHEMAS[name]]
-        _save(tables.table(name).select(*columns), f"{folder}/{name}", kind)
+        stored.replace(stored.canonical(tables, name), f"{folder}/{name}", kind)
+
+
+def exported_tables(tables: Tables, kind: str = "parquet") -> DataFrame:
+    """The tables written to the shared folder and read again: rows, keys and a sum of each."""
+    spark = tables.customers("customer_id").sparkSession
+    folder = shared_path(spark)
+    export_tables(tables, folder, kind)
+    back = Tables.from_csv(spark, folder) if kind == "csv" else Tables.from_parquet(spark, folder)
+
+    def one(name: str, amount: str) -> DataFrame:
+        rows = back.raw_orders() if name == "orders" else back.table(name)
+        key = schema.PRIMARY_KEYS[name]
+        return rows.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"),
+                        F.count_distinct(key).alias("keys"), total(amount).alias("amount"))
+
+    amounts = {"customers": "customer_id", "products": "cost_price", "orders": "total_amount",
+               "order_items": "line_revenue", "returns": "order_id"}
+    return reduce(DataFrame.unionByName, [one(*pair) for pair in amounts.items()])
+
+
+def stored_totals(tables: Tables) -> DataFrame:
+    """Orders stored by month with missing totals, updated in place, and read again."""
+    spark = tables.customers("customer_id").sparkSession
+    path = shared_path(spark)
+    stored.store_orders(tables, path)
+    stored.fill_stored_totals(spark, path)
+    return stored.stored_orders(spark, path).select("order_id", money("total_amount").alias("total_amount"))
 
 
 def save_tables(tables: Tables, database: str) -> None:
-    """The same as catalog tables, facts bucketed on the order key so that joins need no shuffle."""
+    """The same as catalog tables, facts bucketed on the order key so that joins need no shuffle.
+
+    Rows are dealt by the bucket's key first: one file a bucket.
+    """
     buckets = int(tables.customers().sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = {"orders": "order_id", "order_items": "order_id", "returns": "order_id"}
     for name in schema.TABLE_NAMES:
-        writer = tables.table(name).write.mode("overwrite").format("parquet")
+        rows = tables.table(name)
+        if name in keys:
+            rows = rows.repartition(buckets, keys[name])
+        writer = rows.write.mode("overwrite").format("parquet")
         if name in keys:
             writer = writer.bucketBy(buckets, keys[name]).sortBy(keys[name])
         writer.saveAsTable(f"{database}.{name}")

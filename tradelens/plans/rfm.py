@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.labels import LONG_LABELS, SHORT_LABELS, score_label, score_label_six
 from tradelens.functions.numeric import half_up, mean, money, percent, real, total
-from tradelens.operators.ordering import ntile, rank_bins
-from tradelens.operators.quantiles import quantile_bins
+from tradelens.operators.ordering import ntile, ntile_of, quantiles_of, rank_bin, ranks, wide
+from tradelens.operators.quantiles import bin_of
 from tradelens.plans.common import customer_value
 from tradelens.session import materialise
 from tradelens.sources.tables import Tables
@@ -35,16 +35,17 @@ def _base(tables: Tables, reference: date) -> DataFrame:
 
 
 def _ntile_scores(base: DataFrame, orientation: str) -> DataFrame:
-    """r, f, m by NTILE over recency ascending, frequency and spend descending."""
+    """r, f, m by NTILE over recency ascending, frequency and spend descending, ranked in one go."""
     if orientation not in ("as_written", "best_high"):
         raise ValueError(f"unknown orientation: {orientation}")
-    keyed = base.withColumns({"_f": -F.col("frequency"), "_m": -F.col("monetary")})
-    for name, key in (("r_score", "recency_days"), ("f_score", "_f"), ("m_score", "_m")):
-        keyed = ntile(keyed, BUCKETS, [key, "customer_id"], name)
+    placed = ranks(base, "customer_id", {
+        "r_score": F.col("recency_days"), "f_score": -F.col("frequency"), "m_score": -F.col("monetary")})
+    bucket = ntile_of(F.col("rank"), F.col("total"), BUCKETS)
     if orientation == "best_high":
-        keyed = keyed.withColumns({s: F.lit(BUCKETS + 1) - F.col(s)
-                                   for s in ("r_score", "f_score", "m_score")})
-    return keyed.drop("_f", "_m").withColumn(
+        bucket = F.lit(BUCKETS + 1) - bucket
+    scores = ["r_score", "f_score", "m_score"]
+    scored = wide(placed.withColumn("score", bucket), "customer_id", scores, "score")
+    return base.join(scored, "customer_id").withColumn(
         "rfm_total", F.col("r_score") + F.col("f_score") + F.col("m_score"))
 
 
@@ -76,11 +77,18 @@ def rfm_segments_ntile(tables: Tables, reference: date = REFERENCE_DATE,
 
 
 def _quantile_scores(tables: Tables, reference: date, labels) -> DataFrame:
+    """Recency and spend cut at their quantiles, frequency by its ranks; all from one ranking."""
     base = _base(tables, reference)
-    scored = quantile_bins(base, "recency_days", BUCKETS, "_r")
-    scored = rank_bins(scored, BUCKETS, ["frequency", "customer_id"], "f")
-    scored = quantile_bins(scored, "monetary", BUCKETS, "m")
-    scored = scored.withColumn("r", F.lit(BUCKETS + 1) - F.col("_r")).drop("_r")
+    placed = ranks(base, "customer_id", {
+        "r": F.col("recency_days"), "f": F.col("frequency"), "m": F.col("monetary")})
+    probs = [e / BUCKETS for e in range(1, BUCKETS)]
+    placed = placed.withColumn("edges", quantiles_of(placed, ["r", "m"], probs))
+    by_value = bin_of(F.col("value"), F.try_element_at("edges", F.col("name")))
+    by_rank = rank_bin(F.col("rank"), F.col("total"), BUCKETS)
+    score = F.when(F.col("name") == "f", by_rank) \
+        .when(F.col("name") == "r", F.lit(BUCKETS + 1) - by_value).otherwise(by_value)
+    scored = base.join(wide(placed.withColumn("score", score), "customer_id", ["r", "f", "m"], "score"),
+                       "customer_id")
     scored = scored.withColumn("rfm_score", F.col("r") + F.col("f") + F.col("m"))
     return scored.withColumn("rfm_segment", score_label(F.col("rfm_score"), labels))
 

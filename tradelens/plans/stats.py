@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradelens.functions.numeric import half_up, ratio, real
 from tradelens.functions.student_t import t_two_sided
-from tradelens.operators.quantiles import exact_quantiles
+from tradelens.operators.quantiles import Summary, summaries
 from tradelens.plans.common import customer_value, delivered
 from tradelens.sources.schema import SEGMENTS
 from tradelens.session import materialise
@@ -36,19 +36,33 @@ def _values_by_segment(tables: Tables, segments: list[str]) -> DataFrame:
             "segment", real("total_amount").alias("x")))
 
 
+NOTHING = Summary(0, None, None, None, None, (None, None, None))
+
+
 def order_value_describe(tables: Tables) -> DataFrame:
+    """One row, from the passes that find the quartiles."""
     values = _values(tables)
-    quartiles = exact_quantiles(values, "x", [0.25, 0.5, 0.75]).scalar()
-    return values.agg(
-        F.count("x").alias("count"), half_up(F.avg("x"), 2).alias("mean"),
-        half_up(F.stddev_samp("x"), 2).alias("std"), F.min("x").alias("min"),
-        F.max("x").alias("max"), quartiles.alias("q"),
-    ).withColumns({name: half_up(F.get("q", F.lit(i)), 2)
-                   for i, name in enumerate(["p25", "p50", "p75"])}).drop("q")
+    found = summaries(values, "x", [0.25, 0.5, 0.75]).get(None, NOTHING)
+    spread = (found.deviations / (found.count - 1)) ** 0.5 if found.count > 1 else None
+    figures = [found.count, found.mean, spread, found.least, found.most, *found.quantiles]
+    row = values.sparkSession.createDataFrame(
+        [tuple(figures)], "count bigint, mean double, std double, min double, max double, "
+                          "p25 double, p50 double, p75 double")
+    return row.withColumns({n: half_up(F.col(n), 2) for n in ("mean", "std", "p25", "p50", "p75")})
+
+
+def _place(x: Column, low: Column, width: Column, bins: int) -> Column:
+    """The bin of a value; the maximum belongs to the last bin."""
+    steps = F.try_divide(x - low, width)
+    return F.coalesce(F.least(F.floor(steps), F.lit(bins - 1)), F.lit(0))
+
+
+def _every_bin(bins: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))
 
 
 def _equal_width(values: DataFrame, bins: int, **figures: Column) -> DataFrame:
-    """Rows per bin over [min, max], empty bins included; the maximum belongs to the last bin.
+    """Rows per bin over [min, max], empty bins included.
 
     Two passes: one for the range (and further ``figures`` of all values), one to count.
     """
@@ -57,23 +71,28 @@ def _equal_width(values: DataFrame, bins: int, **figures: Column) -> DataFrame:
                          *[figure.alias(name) for name, figure in figures.items()])
     summary = summary.withColumn("w", (F.col("hi") - F.col("lo")) / bins)
     scale = summary.select(F.struct("lo", "w")).scalar()
-    steps = F.try_divide(F.col("x") - F.col("s.lo"), F.col("s.w"))
-    place = F.coalesce(F.least(F.floor(steps), F.lit(bins - 1)), F.lit(0))
-    counted = values.select("x", scale.alias("s")).groupBy(place.alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"))
-    every_bin = F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))
-    return summary.where("total > 0").withColumn("bin", F.explode(every_bin)) \
+    counted = values.select("x", scale.alias("s")) \
+        .groupBy(_place(F.col("x"), F.col("s.lo"), F.col("s.w"), bins).alias("bin")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    return summary.where("total > 0").withColumn("bin", F.explode(_every_bin(bins))) \
         .join(counted, "bin", "left").na.fill(0, ["n"])
 
 
 def order_value_histogram(tables: Tables, bins: int = BINS) -> DataFrame:
+    """Counts per bin with mean and median: the passes of the median give the range."""
     values = _values(tables)
-    median = exact_quantiles(values, "x", [0.5]).scalar()
-    lower = F.col("lo") + F.col("bin") * F.col("w")
-    return _equal_width(values, bins, mean=F.avg("x"), median=median).select(
-        "bin", half_up(lower, 4).alias("lower"), half_up(lower + F.col("w"), 4).alias("upper"),
-        F.col("n").alias("orders"), half_up(F.col("mean"), 2).alias("mean"),
-        half_up(F.get("median", F.lit(0)), 2).alias("median"))
+    found = summaries(values, "x", [0.5]).get(None)
+    every = values.sparkSession.range(1 if found else 0).select(F.explode(_every_bin(bins)).alias("bin"))
+    found = found or NOTHING
+    low = F.lit(found.least).cast("double")
+    width = F.lit(None if found.most is None else (found.most - found.least) / bins).cast("double")
+    counted = values.groupBy(_place(F.col("x"), low, width, bins).alias("bin")) \
+        .agg(F.count(F.lit(1)).alias("orders"))
+    lower = low + F.col("bin") * width
+    return every.join(counted, "bin", "left").na.fill(0, ["orders"]).select(
+        "bin", half_up(lower, 4).alias("lower"), half_up(lower + width, 4).alias("upper"), "orders",
+        half_up(F.lit(found.mean), 2).alias("mean"),
+        half_up(F.lit(found.quantiles[0]), 2).alias("median"))
 
 
 def order_value_density(tables: Tables, bins: int = BINS, grid: int = GRID) -> DataFrame:
@@ -102,17 +121,15 @@ def order_value_density(tables: Tables, bins: int = BINS, grid: int = GRID) -> D
 def order_value_box_by_segment(tables: Tables, segments: list[str] = SEGMENTS) -> DataFrame:
     """Quartiles, whiskers within 1.5 IQR, median notch and outlier count per segment."""
     values = _values_by_segment(tables, segments)
-    quartiles = exact_quantiles(values, "x", [0.25, 0.5, 0.75], by="segment")
-    q1, q2, q3 = (F.get("quantiles", F.lit(i)) for i in range(3))
-    fences = quartiles.select("segment", q1.alias("q1"), q2.alias("median"), q3.alias("q3"),
-                              (q3 - q1).alias("iqr"))
+    found = summaries(values, "x", [0.25, 0.5, 0.75], by="segment")
+    of = {segment: (q1, q2, q3, q3 - q1) for segment, (q1, q2, q3) in
+          ((name, summary.quantiles) for name, summary in found.items())}
+    names = ["q1", "median", "q3", "iqr"]
+    fenced = values.where(F.col("segment").isin(list(of))).select("segment", "x", *[
+        F.coalesce(*[F.when(F.col("segment") == name, four[i]) for name, four in of.items()], F.lit(None))
+        .cast("double").alias(column) for i, column in enumerate(names)])
     inside = F.col("x").between(F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr"))
     kept = F.when(inside, F.col("x"))
-    # The fences of all segments as one map: the amounts need not meet them by segment.
-    of = fences.agg(F.map_from_entries(F.collect_list(F.struct(
-        "segment", F.struct("q1", "median", "q3", "iqr"))))).scalar()
-    fenced = values.withColumn("_of", of).withColumn("_of", F.try_element_at("_of", "segment")) \
-        .select("segment", "x", "_of.*")
     box = fenced.groupBy("segment", "q1", "median", "q3", "iqr").agg(
         F.count("x").alias("orders"), F.min(kept).alias("whisker_low"),
         F.max(kept).alias("whisker_high"), F.count_if(~inside).alias("outliers"))

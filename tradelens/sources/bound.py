@@ -83,9 +83,20 @@ class StarTables(Tables):
         super().__init__({name: spark.read.schema(ddl).parquet(f"{folder}/{name}.parquet")
                           for name, ddl in STAR.items()})
 
+    generated = frozenset({("order_items", "item_id")})
+
     def columns(self, name: str) -> list[str]:
         return COLUMNS[name]
 
+    def smallest(self, name: str) -> DataFrame:
+        """The smallest item_id is the first line of the smallest order: no line need be numbered."""
+        if name != "order_items":
+            return super().smallest(name)
+        names = [c for c in COLUMNS[name] if c != "item_id"]
+        found = self.order_items(*names).agg(*[F.min(c).cast("string").alias(c) for c in names])
+        first = (F.col("order_id").cast("decimal(19,0)") * ITEM_STEP + 1).cast("decimal(38,0)").cast("string")
+        return found.withColumn("item_id", first).select(*COLUMNS[name])
+
     def row_count(self, name: str) -> int:
         return super().row_count(DRIVING[name])
 

@@ -64,7 +64,7 @@ SCHEMAS: dict[str, T.StructType] = {
         ("state", _TEXT, True, "Delivery state"),
     ),
     "order_items": _table(
-        ("item_id", _LONG, False, "Order line key"),
+        ("item_id", T.DecimalType(38, 0), False, "Order line key"),
         ("order_id", _LONG, False, "Order of the line"),
         ("product_id", _LONG, False, "Product of the line"),
         ("quantity", _LONG, False, "Units bought"),

@@ -15,6 +15,11 @@ from tradelens.sources.schema import PRIMARY_KEYS, SCHEMAS, TABLE_NAMES
 # Position of a line within its order. Any ordered column will do; item_id is the usual one.
 LINE_SEQ = "line_seq"
 
+# Header CSV; dates as yyyy-MM-dd; texts with quotes and line ends come back as they were; a row
+# that does not parse fails the read.
+CSV_WRITE = {"header": "true", "dateFormat": "yyyy-MM-dd", "escape": '"'}
+CSV_READ = CSV_WRITE | {"mode": "FAILFAST", "enforceSchema": "false", "multiLine": "true"}
+
 
 class Tables:
     """Canonical tables held as DataFrames, e.g. read from Parquet, CSV or JDBC."""
@@ -31,10 +36,7 @@ class Tables:
 
     @classmethod
     def from_csv(cls, spark: SparkSession, folder: str) -> Tables:
-        """Header CSV; dates as yyyy-MM-dd; a row that does not parse fails the read."""
-        reader = spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd") \
-            .option("mode", "FAILFAST").option("enforceSchema", False)
-        return cls({name: reader.schema(SCHEMAS[name]).csv(f"{folder}/{name}")
+        return cls({name: spark.read.options(**CSV_READ).schema(SCHEMAS[name]).csv(f"{folder}/{name}")
                     for name in TABLE_NAMES})
 
     @classmethod
@@ -55,6 +57,9 @@ class Tables:
         return cls({name: load(name) for name in TABLE_NAMES})
 
     # -- tables ----------------------------------------------------------------------------
+    # Keys that the source makes up itself when they are read, so that they cannot be wrong.
+    generated: frozenset[tuple[str, str]] = frozenset()
+
     def columns(self, name: str) -> list[str]:
         return self._frames[name].columns
 
@@ -92,6 +97,11 @@ class Tables:
     def table(self, name: str, *columns: str) -> DataFrame:
         return getattr(self, name)(*columns)
 
+    def smallest(self, name: str) -> DataFrame:
+        """One row: the smallest value of every column, as text."""
+        names = self.columns(name)
+        return self.table(name, *names).agg(*[F.min(c).cast("string").alias(c) for c in names])
+
     # -- sizes -----------------------------------------------------------------------------
     def row_count(self, name: str) -> int:
         """Stored rows; on Parquet this reads footers only."""
