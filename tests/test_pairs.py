@@ -42,14 +42,19 @@ def test_one_group_only(spark):
     assert run(spark, rows) == brute_force(rows)
 
 
-def test_small_batches_split_groups(spark):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
-    try:
-        rng = random.Random(1)
-        rows = [(rng.randint(1, 25), i, rng.choice("abcde")) for i in range(300)]
-        assert run(spark, rows) == brute_force(rows)
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+def test_levels_of_a_hot_group_numbered_by_several_tasks(spark):
+    rng = random.Random(1)
+    rows = [(rng.choice([1, 1, 2, rng.randint(3, 25)]), i, rng.choice("abcde")) for i in range(1200)]
+    df = spark.createDataFrame(rows, "g bigint, o bigint, label string")
+    got = {(r["a"], r["b"]): r["n"] for r in ordered_label_pairs(df, "g", "o", "label", hot=100).collect()}
+    assert got == brute_force(rows)
+
+
+def test_no_python_worker(spark):
+    rows = [(1, i, "ab"[i % 2]) for i in range(100)]
+    df = spark.createDataFrame(rows, "g bigint, o bigint, label string")
+    plan = ordered_label_pairs(df, "g", "o", "label")._jdf.queryExecution().executedPlan().toString()
+    assert "Arrow" not in plan and "Python" not in plan
 
 
 def test_empty_and_single_rows(spark):

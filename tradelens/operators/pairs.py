@@ -2,95 +2,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelens.session import materialise, range_width
+from tradelens.operators.ordering import HOT, number_within
+from tradelens.session import materialise
 
+CHUNK, FAN = 32, 4  # rows of which all pairs are formed; pieces that are held against each other
 
-def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str,
-                        rows: int | None = None) -> DataFrame:
-    """For labels (a, b): how many row pairs of the same group have a before b. NULL groups have none.
-
-    A group of n rows has n(n-1)/2 pairs, so a hot group would blow up a self-join. Instead the
-    narrow rows are written, range-partitioned by (group, order), and each task walks its sorted
-    rows: each row meets the label counts of its group so far, so the work is rows times labels in
-    the group. A group cut by a partition border leaves label counts per piece, from which the
-    pairs across pieces follow. Counts are kept by pair that occurs, not for all labels squared.
-    ``rows`` is a rough row count, if known; it sets the number of ranges.
-    """
-    parts = range_width(df.sparkSession, rows)
-    narrow = materialise(df.where(F.col(group).isNotNull()).select(
-        F.col(group).alias("g"), F.col(order).alias("o"), F.col(label).alias("label")))
-    ranged = (narrow.repartitionByRange(parts, "g", "o").sortWithinPartitions("g", "o")
-              .select("g", "label", F.spark_partition_id().alias("part")))
-    kind = narrow.schema["g"].dataType.simpleString()
 
-    def within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs: dict = {}
-        running: dict = {}  # label -> rows of the open group so far
-        open_group, part, closed = None, None, 0
-        pieces = []  # label counts of the partition's first and last group
+def _close_pairs(rows: DataFrame, *chunk: str) -> DataFrame:
+    """a, b of every two rows of a chunk, in order."""
+    labels = F.transform(F.array_sort(F.collect_list(F.struct("o", "label"))), lambda row: row["label"])
+    held = rows.groupBy("g", *chunk).agg(labels.alias("labels")).where(F.size("labels") > 1)
 
-        def leave_piece() -> None:
-            pieces.extend((open_group, part, name, n) for name, n in running.items())
+    def after(a, i):
+        return F.transform(F.slice("labels", i + 2, F.lit(CHUNK)), lambda b: F.struct(a.alias("a"), b.alias("b")))
 
-        for batch in batches:
-            if batch.num_rows:
-                part = batch.column(2)[0].as_py()
-            for g, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if g != open_group:
-                    if open_group is not None:
-                        if not closed:
-                            leave_piece()
-                        closed += 1
-                    open_group, running = g, {}
-                for earlier, n in running.items():
-                    pair = earlier, name
-                    pairs[pair] = pairs.get(pair, 0) + n
-                running[name] = running.get(name, 0) + 1
-        if open_group is not None:
-            leave_piece()
-        found = [(None, part, a, b, n) for (a, b), n in pairs.items()]
-        found += [(g, p, name, None, n) for g, p, name, n in pieces]
-        yield pa.RecordBatch.from_pylist(
-            [dict(zip(("g", "part", "a", "b", "n", "piece"), (*row, row[0] is not None)))
-             for row in found], schema=tally)
+    return held.select(F.explode(F.flatten(F.transform("labels", after))).alias("p")) \
+        .groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
 
-    tally = pa.schema([("g", _arrow(narrow, "g")), ("part", pa.int32()), ("a", pa.string()),
-                       ("b", pa.string()), ("n", pa.int64()), ("piece", pa.bool_())])
-    # Small: per partition one row per label pair and the label counts of two groups.
-    tallies = materialise(ranged.mapInArrow(
-        within, f"g {kind}, part int, a string, b string, n bigint, piece boolean"))
-    inside = tallies.where("NOT piece").select("a", "b", "n")
 
-    cut = tallies.where("piece").drop("piece")
-    spans = cut.groupBy("g").agg(F.min("part").alias("lo"), F.max("part").alias("hi"))
-    cut = cut.join(spans.where("lo < hi").select("g"), "g", "left_semi")
+def _far_pairs(counts: DataFrame, size: int) -> DataFrame:
+    """Pairs between pieces of ``size`` rows that lie in the same ``FAN`` pieces, from label counts."""
+    piece = F.floor(F.col("chunk") * CHUNK / size)
+    held = counts.groupBy("g", piece.alias("piece"), "label").agg(F.sum("n").alias("n")) \
+        .withColumn("around", F.floor(F.col("piece") / FAN))
+    first = held.select("g", "around", F.col("piece").alias("p"), F.col("label").alias("a"), F.col("n").alias("x"))
+    second = held.select("g", "around", F.col("piece").alias("q"), F.col("label").alias("b"), F.col("n").alias("y"))
+    met = first.join(second, ["g", "around"]).where("p < q")
+    return met.groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("n"))
 
-    def across(group_pieces: pa.Table) -> pa.Table:
-        counts: dict[int, dict] = {}
-        for row in group_pieces.to_pylist():
-            mine = counts.setdefault(row["part"], {})
-            mine[row["a"]] = mine.get(row["a"], 0) + row["n"]
-        found: dict = {}
-        before: dict = {}
-        for number in sorted(counts):
-            for b, n in counts[number].items():
-                for a, earlier in before.items():
-                    found[a, b] = found.get((a, b), 0) + earlier * n
-            for b, n in counts[number].items():
-                before[b] = before.get(b, 0) + n
-        return pa.Table.from_pylist([{"a": a, "b": b, "n": n} for (a, b), n in found.items()],
-                                    schema=pa.schema([("a", pa.string()), ("b", pa.string()),
-                                                      ("n", pa.int64())]))
-
-    border = cut.groupBy("g").applyInArrow(across, "a string, b string, n bigint")
-    return inside.unionByName(border).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
+def ordered_label_pairs(df: DataFrame, group: str, order: str, label: str, hot: int = HOT) -> DataFrame:
+    """For labels (a, b): how many row pairs of the same group have a before b. NULL groups have none.
 
-def _arrow(df: DataFrame, name: str) -> pa.DataType:
-    return df.select(name).limit(0).toArrow().schema.field(name).type
+    A group of n rows has n(n-1)/2 pairs, so a hot group would blow up a self-join. The narrow rows
+    are written; groups of up to ``CHUNK`` rows, usually all, give their pairs directly. Larger ones
+    are numbered and cut into chunks; beyond a chunk only label counts meet: those of neighbouring
+    pieces, level by level, each ``FAN`` times as large. A level's work per row is bounded by the
+    pieces and the labels in them, its groups by ``FAN`` pieces, and the number of levels by the
+    logarithm of the largest group, one number that goes to the driver.
+    """
+    rows = materialise(df.where(F.col(group).isNotNull()).select(
+        F.col(group).alias("g"), F.col(order).alias("o"), F.col(label).alias("label")))
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    most = sizes.agg(F.max("size")).first()[0] or 0
+    if most <= CHUNK:
+        return _close_pairs(rows)
+    large = sizes.where(F.col("size") > CHUNK).select("g")
+    numbered = number_within(rows.join(large, "g", "left_semi"), "g", ["o", "label"], "place", hot)
+    chunked = materialise(numbered.withColumn("chunk", F.floor((F.col("place") - 1) / CHUNK)))
+    counts = materialise(chunked.groupBy("g", "chunk", "label").agg(F.count(F.lit(1)).alias("n")))
+    parts, size = [_close_pairs(rows.join(large, "g", "left_anti")), _close_pairs(chunked, "chunk")], CHUNK
+    while size < most:
+        parts.append(_far_pairs(counts, size))
+        size *= FAN
+    return reduce(DataFrame.unionByName, parts).groupBy("a", "b").agg(F.sum("n").alias("n"))

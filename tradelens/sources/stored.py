@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tradelens.sources.schema import SCHEMAS
 from tradelens.sources.tables import CSV_READ, CSV_WRITE, Tables, fill_totals
@@ -83,8 +83,12 @@ def replace(df: DataFrame, path: str, kind: str = "parquet") -> dict:
     """Put ``df`` in the place of what ``path`` holds; returns the manifest.
 
     Rows and checksum are taken while the rows are written, so ``df`` runs once. The swap is two
-    renames: a reader may find no folder between them, never a part of one.
+    renames: a reader may find no folder between them, never a part of one. CSV has no empty texts;
+    they become NULL.
     """
+    if kind == "csv":
+        df = df.select(*[F.nullif(F.col(f.name), F.lit("")).alias(f.name) if f.dataType == StringType()
+                         else F.col(f.name) for f in df.schema])
     spark = df.sparkSession
     folders, mark = _Folders(spark, path), uuid.uuid4().hex
     staged, old = f"{path}.staged-{mark}", f"{path}.old-{mark}"
@@ -139,16 +143,18 @@ def stored_orders(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def fill_stored_totals(spark: SparkSession, path: str) -> list[str]:
-    """Set missing totals of stored orders to zero; returns the months that were rewritten.
+def fill_stored_totals(spark: SparkSession, path: str) -> list[str | None]:
+    """Set missing totals of stored orders to zero; returns the months that were rewritten (None: no date).
 
     Dynamic partition overwrite: only months with a missing total are read and written again, all
     others keep their files. To the driver goes a row for each such month.
     """
     stored = stored_orders(spark, path)
     hit = stored.where("total_amount IS NULL").select(MONTH).distinct()
-    months = sorted(row[MONTH] for row in hit.collect())
+    months = sorted((row[MONTH] for row in hit.collect()), key=str)
     if months:
-        fill_totals(stored.where(F.col(MONTH).isin(months))).write.mode("overwrite") \
+        dated = F.col(MONTH).isin([m for m in months if m is not None])
+        chosen = dated | F.col(MONTH).isNull() if None in months else dated
+        fill_totals(stored.where(chosen)).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
     return months

@@ -17,7 +17,8 @@ LINE_SEQ = "line_seq"
 
 # Header CSV; dates as yyyy-MM-dd; texts with quotes and line ends come back as they were; a row
 # that does not parse fails the read.
-CSV_WRITE = {"header": "true", "dateFormat": "yyyy-MM-dd", "escape": '"'}
+CSV_WRITE = {"header": "true", "dateFormat": "yyyy-MM-dd", "escape": '"',
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 CSV_READ = CSV_WRITE | {"mode": "FAILFAST", "enforceSchema": "false", "multiLine": "true"}
 
 
