@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 
 from tradelens.llm.sparse import CSR
 from tradelens.llm.text import bounded_batches, slices, texts
-from tradelens.llm.tokens import KEPT, KEPT_CHARS, byte_characters, looked_up, merges, spread, vocabulary_bytes
+from tradelens.llm.tokens import (
+    KEPT, KEPT_CHARS, byte_characters, looked_up, merges, per_worker, spread, vocabulary_bytes,
+)
 from tradelens.session import materialise
 
 A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -227,8 +229,6 @@ class Known:
         return looked_up(self.number, pieces, self._learn)
 
     def _learn(self, new: list[str]) -> None:
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        self.chars += sum(map(len, new))
         sides = [_tokens(side, new) for side in (self.a, self.b)]
         good = sides[0][2] & sides[1][2]
         kept = np.flatnonzero(good)
@@ -250,6 +250,8 @@ class Known:
         self.ptr = np.append(self.ptr, self.ptr[-1] + np.cumsum(held))
         self.pair = np.append(self.pair, pairs[links.col])
         self.links = np.append(self.links, links.val)
+        self.chars += sum(map(len, new))
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
 
     def documents(self, raw: list[bytes]) -> list[np.ndarray]:
         """The numbers of each document's pieces; none if it has no tokens."""
@@ -310,20 +312,22 @@ def _summary(known: Known, raw: list[bytes]) -> dict:
     } | {name: docs.times(known.figures[every, k]) for k, name in enumerate(FIGURES)}
 
 
-def _sides(docs: DataFrame, a_path: str | None, b_path: str | None):
-    """A function that makes both tokenizers in a task; the files travel as broadcasts."""
+def _known_pieces(docs: DataFrame, a_path: str | None, b_path: str | None):
+    """A function that gives a task what its worker knows of pieces; the files travel as broadcasts."""
     files = [docs.sparkSession.sparkContext.broadcast(vocabulary_bytes(path, name))
              for path, name in ((a_path, A_VOCABULARY), (b_path, B_VOCABULARY))]
-    return lambda: (Side.byte_level(files[0].value), Side.pieces(files[1].value))
+    def make() -> Known:
+        return Known(Side.byte_level(files[0].value), Side.pieces(files[1].value))
+    return lambda: per_worker("pieces", [file.value for file in files], make)
 
 
 def sliced(docs: DataFrame, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
     """One row for each slice of documents, with its matrices; written."""
     bounded_batches(docs.sparkSession)
-    sides = _sides(docs, a_path, b_path)
+    known_pieces = _known_pieces(docs, a_path, b_path)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(*sides())
+        known = known_pieces()
         kinds = {"groups_sha256": pa.string(), "docs": pa.int32()}
         for batch in slices(batches):
             found = _summary(known, texts(batch).to_pylist())
@@ -389,10 +393,10 @@ def document_links(docs: DataFrame, a_path: str | None = None, b_path: str | Non
     (from 0) and the bytes they share. Arrays are empty where a document has no tokens.
     """
     bounded_batches(docs.sparkSession)
-    sides = _sides(docs, a_path, b_path)
+    known_pieces = _known_pieces(docs, a_path, b_path)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(*sides())
+        known = known_pieces()
         for batch in slices(batches):
             rows = []
             numbers = known.documents(texts(batch).to_pylist())

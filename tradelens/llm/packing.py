@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradelens.llm.text import bounded_batches, slices, texts
-from tradelens.llm.tokens import Words, vocabulary_bytes
+from tradelens.llm.tokens import Words, per_worker, vocabulary_bytes
 from tradelens.session import materialise, range_width
 
 VOCABULARY = "word_bpe_49k.json"
@@ -70,7 +70,7 @@ def tokenised(docs: DataFrame, path: str | None = None, end: int = END) -> DataF
     file = spark.sparkContext.broadcast(vocabulary_bytes(path, VOCABULARY))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(file.value)
+        known = per_worker("words", [file.value], lambda: Words(file.value))
         highest = max(known.size, end + 1)
         kind = "<u2" if highest <= 1 << 16 else "<u4"
         bucket, signs = _buckets(highest), _signs()

@@ -5,6 +5,9 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+import types
+import zlib
 from collections.abc import Callable
 from itertools import chain, repeat
 from pathlib import Path
@@ -32,6 +35,21 @@ def merges(data: bytes):
     return found
 
 
+def per_worker(name: str, files: list[bytes], make: Callable[[], object]):
+    """What ``make`` gives, made once for a worker process and these files; only the last is kept.
+
+    Functions travel to the executors by value, with globals of their own for each task, so a module
+    that lives in the process holds it.
+    """
+    shelf = sys.modules.setdefault("_tradelens_shelf", types.ModuleType("_tradelens_shelf"))
+    key = (name, *(zlib.crc32(f) for f in files), *map(len, files))
+    if getattr(shelf, "key", None) != key:
+        shelf.key = shelf.held = None
+        shelf.held = make()
+        shelf.key = key
+    return shelf.held
+
+
 def byte_characters() -> dict[str, int]:
     """The character that a byte-level vocabulary writes for each byte.
 
@@ -69,12 +87,12 @@ class Memory:
 
     def _learn(self, new: list[str]) -> None:
         found = self._encode(new)
-        self._known.update(zip(new, range(len(self._known), len(self._known) + len(new))))
-        self._chars += sum(map(len, new))
         sizes = [len(i) for i in found]
         flat = np.fromiter(chain.from_iterable(found), np.int64, sum(sizes))
         self._ptr = np.append(self._ptr, self._ptr[-1] + np.cumsum(sizes))
         self._flat = np.append(self._flat, flat)
+        self._chars += sum(map(len, new))
+        self._known.update(zip(new, range(len(self._known), len(self._known) + len(new))))
 
     def ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids known, where each piece's ids start and end, and the number of every given piece."""
@@ -121,8 +139,7 @@ class Words:
         self.size = self._known.get_vocab_size(with_added_tokens=True)
         file = json.loads(data)
         self._by_word = all(file[key] == value for key, value in LOWER_WORDS.items())
-        bare = file | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
-        self._bare = merges(json.dumps(bare).encode())
+        self._bare = type(self._known)(self._known.model)
         written = {b: c for c, b in byte_characters().items()}
         self._letters = {c: "".join(written[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
         self._memory = Memory(self._encode, KEPT_WORDS)
