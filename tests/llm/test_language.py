@@ -80,3 +80,16 @@ def test_undetermined_and_odd_rows(spark):
     unlabelled = spark.createDataFrame([(1, "some text", None, "s", 9)], plain.DOCS)
     assert [r.lang_pred for r in language.predict(unlabelled).collect()] == ["und"]
     assert language.predict(unlabelled.limit(0)).collect() == []
+
+
+def test_words_are_letters_with_their_marks():
+    assert language.words_of("² ½ ① 12 _ 3") == []
+    assert language.words_of("हिन्दी x²y") == ["▁हिन्दी", "▁x", "▁y"]
+    assert language.words_of("\u0301a e\u0301") == ["▁a", "▁e\u0301"]
+
+
+def test_texts_without_letters_are_undetermined(spark):
+    rows = [(i, "the cat and the dog", "en") for i in range(20)] + [(100, "² ½ 12", None), (101, "१२ ３ ٣", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.predict(docs).collect()}
+    assert got[100] == got[101] == ("und", 0.0) and got[3][0] == "en"

@@ -7,25 +7,28 @@ the sum of its words' log probabilities; the best language wins.
 
 The probabilities are trained by expectation maximisation on words of labelled documents, about
 ``TRAIN_DOCS`` of each language, chosen by hash: the documented bound of what is fitted. All documents
-are scored, on their whole text.
+are scored, on their whole text. What reaches the driver is bounded by the documents chosen: their
+distinct words by language.
 
-Words are runs of letters, lower-cased, begun with the vocabulary's word mark; of words longer than
-``LONGEST`` characters every such stretch counts as a word without a mark. A character that is no
-piece counts as a piece of small fixed probability.
+Words are letters (Unicode categories L) with the marks on them (M), lower-cased, begun with the
+vocabulary's word mark; of words longer than ``LONGEST`` characters every such stretch counts as a
+word without a mark. A character that is no piece counts as a piece of small fixed probability.
 
 Defined cases: ``und`` with score 0 for a null text, for one without letters, and if there is nothing
 to learn from. Null languages are not learned from. Ties go to the first language by code point.
-Every row is predicted on its own; only doc_id, text and, for training, lang are looked at.
+Every row is predicted on its own; only doc_id, text and, for training, lang are looked at. A text
+longer than a slice stands alone in one; its distinct words are scored once. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +40,8 @@ TRAIN_DOCS, ROUNDS = 400, 3
 LONGEST, SMOOTHING, UNKNOWN = 32, 0.05, 1e-7
 UNDETERMINED = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+_OF_LETTERS = regex.compile(r"[\p{L}\p{M}]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -65,7 +69,7 @@ def vocabulary(path: str = VOCABULARY) -> Vocabulary:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())
               if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-    pieces = {p for p in pieces if _LETTERS.fullmatch(p.removeprefix(MARK)) or p == MARK}
+    pieces = {p for p in pieces if _OF_LETTERS.fullmatch(p.removeprefix(MARK)) or p == MARK}
     hashes = []
     for piece in pieces:
         h = np.zeros(1, np.uint64)

@@ -3,17 +3,23 @@
 Texts are counted as hashed byte n-grams, once over all documents (raw) and once over those that
 labels call good and not toxic (target). With T and R n-grams in all, a bucket with t target and r
 raw counts scores log((t + a) / (r T / R + a)): target counts against those expected if the target
-were like the corpus, both smoothed. A document's score is the mean over its n-grams, so length does
-not count, and it is kept if the score reaches a fixed threshold. Nothing is drawn at random.
+were like the corpus, both smoothed by a fixed share of T. A document's score is the mean over its
+n-grams, so length does not count. The same ratio is taken of hashed single words, counted once a
+document: a mean hides a few abusive words in a long text, the worst word does not. A document is
+kept if score and worst word reach fixed thresholds. Nothing is drawn at random, and all sums are of
+integers, so a verdict depends on no other document of the batch.
 
 Besides, simple counts: words, characters in words, symbols, repeated lines, and words in repeated
 3-word windows; a document with too few words or too many repeated ones fails whatever its score.
 
 The target is fitted on at most ``TRUSTED`` labelled documents, those of the smallest hashed ids
-(the documented bound of what the driver holds, together with the 2^16 bucket scores); the raw
-counts are of all documents.
+(the documented bound of what the driver holds, together with the 2^16 bucket scores and the bad
+words); the raw counts are of all documents. A word can only be bad if about one document in a
+hundred has it, so there are at most a hundred times as many as a document has words on average.
 
-Defined cases: a null text has no words and score 0; so has a text shorter than an n-gram. Labels
+Defined cases: a null text has no words and score 0; so has a text shorter than an n-gram. A text
+longer than a slice stands alone in one, with some 20 bytes of numbers for each of its bytes. An empty
+table gives an empty result. Labels
 that contradict each other, or are null, do not make a document trusted. Without trusted documents
 every score is 0. Every row is judged on its own, whatever its doc_id. Columns other than doc_id
 and text are not looked at by ``judge``; ``kept`` carries them along.
@@ -21,8 +27,11 @@ and text are not looked at by ``judge``; ``kept`` carries them along.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +40,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from tradelens.llm.text import bounded_batches, slices, texts
+from tradelens.session import materialise
 
 GRAM, BUCKETS = 4, 1 << 16
 TRUSTED = 50_000
-SMOOTHING = 50.0
-LEAST_SCORE = -0.2
+SMOOTHING, WORD_SMOOTHING = 5e-6, 5e-4  # shares of the target's n-grams, of its documents
+LEAST_SCORE, LEAST_WORD = -0.2, -3.0
+ONE = 1 << 36  # fixed point of a bucket's score
 LEAST_WORDS, MOST_REPEATED = 50, 50  # words; repeated words in a hundred
 # Separators of words, and symbols.
 SPACES, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
@@ -51,6 +62,28 @@ def gram_buckets(text: bytes) -> np.ndarray:
     return ((out[:len(text)] * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64)
 
 
+class Ratios(NamedTuple):
+    """Log-likelihood ratios: of every bucket in units of 1 / ``ONE``, and of the bad words by hash."""
+
+    buckets: np.ndarray
+    words: np.ndarray
+    worst: np.ndarray
+
+
+LETTERS = re.compile(rb"[a-z\x80-\xff]+")
+
+
+def words_by_document(held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of every distinct word of each text, in lower case."""
+    import xxhash
+    found = [LETTERS.findall(text.lower()) for text in held]
+    doc = np.repeat(np.arange(len(held)), [len(words) for words in found])
+    coded = pa.array(chain.from_iterable(found), pa.binary()).dictionary_encode()
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+    each = np.unique(doc * max(len(hashes), 1) + coded.indices.to_numpy())
+    return each // max(len(hashes), 1), hashes.view(np.int64)[each % max(len(hashes), 1)]
+
+
 def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> list[int]:
     """At most ``most`` documents that all their labels call good and not toxic."""
     good = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
@@ -60,13 +93,24 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> list[int]:
             .select("doc_id").collect()]
 
 
+def _is_trusted(batch: pa.RecordBatch, trusted: np.ndarray) -> np.ndarray:
+    ids = batch.column(batch.schema.get_field_index("doc_id"))
+    good = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), trusted)
+    return good & ~np.asarray(ids.is_null())
+
+
+def _counted(place: np.ndarray, is_word: bool, target: np.ndarray, raw: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(place, pa.int64()), pa.array(np.full(len(place), is_word)), pa.array(target, pa.int64()),
+         pa.array(raw, pa.int64())], ["place", "word", "target", "raw"])
+
+
 def _counts(trusted: np.ndarray):
+    """n-grams by bucket, and documents by word; the bucket after the last one counts documents."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, target = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
         for batch in slices(batches):
-            ids = batch.column(batch.schema.get_field_index("doc_id"))
-            good = np.isin(ids.fill_null(0).to_numpy(zero_copy_only=False), trusted)
-            good &= ~np.asarray(ids.is_null())
+            good = _is_trusted(batch, trusted)
             held = texts(batch).to_pylist()
             lengths = np.array([len(t) for t in held], np.int64)
             buckets = gram_buckets(b"".join(held))
@@ -74,30 +118,42 @@ def _counts(trusted: np.ndarray):
             whole = np.ones(len(buckets), bool)
             for back in range(1, GRAM):  # n-grams that run into the next text
                 whole[np.maximum(ends - back, 0)[lengths >= back]] = False
-            raw += np.bincount(buckets[whole], minlength=BUCKETS)
-            target += np.bincount(buckets[whole & np.repeat(good, lengths)], minlength=BUCKETS)
+            raw += np.bincount(buckets[whole], minlength=BUCKETS + 1)
+            target += np.bincount(buckets[whole & np.repeat(good, lengths)], minlength=BUCKETS + 1)
+            raw[BUCKETS] += len(held)
+            target[BUCKETS] += good.sum()
+            doc, word = words_by_document(held)
+            distinct, at = np.unique(word, return_inverse=True)
+            yield _counted(distinct, True, np.bincount(at[good[doc]], minlength=len(distinct)),
+                           np.bincount(at, minlength=len(distinct)))
         seen = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int32()), pa.array(target[seen]), pa.array(raw[seen])],
-            ["bucket", "target", "raw"])
+        yield _counted(seen, False, target[seen], raw[seen])
     return count
 
 
-def bucket_scores(docs: DataFrame, labels: DataFrame, most: int = TRUSTED) -> np.ndarray:
-    """The log-likelihood ratio of every bucket."""
+def ratios(docs: DataFrame, labels: DataFrame, most: int = TRUSTED, least: float = LEAST_WORD) -> Ratios:
+    """The log-likelihood ratios of all buckets and of the words below ``least``."""
     bounded_batches(docs.sparkSession)
     trusted = np.sort(np.array(trusted_ids(labels, most), np.int64))
-    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-            .mapInArrow(_counts(trusted), "bucket int, target bigint, raw bigint")
-            .groupBy("bucket").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw"))
-            .toArrow())
-    target, raw = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    target[rows["bucket"].to_numpy()] = rows["target"].to_numpy()
-    raw[rows["bucket"].to_numpy()] = rows["raw"].to_numpy()
-    if not target.sum():
-        return np.zeros(BUCKETS)
-    expected = raw * (target.sum() / raw.sum())
-    return np.log((target + SMOOTHING) / (expected + SMOOTHING))
+    counted = materialise(
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+        .mapInArrow(_counts(trusted), "place bigint, word boolean, target bigint, raw bigint")
+        .groupBy("place", "word").agg(F.sum("target").alias("target"), F.sum("raw").alias("raw")))
+    rows = counted.where("NOT word").toArrow()
+    target, raw = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
+    target[rows["place"].to_numpy()] = rows["target"].to_numpy()
+    raw[rows["place"].to_numpy()] = rows["raw"].to_numpy()
+    (grams, documents), (all_grams, all_documents) = ((x[:BUCKETS].sum(), x[BUCKETS]) for x in (target, raw))
+    nothing = Ratios(np.zeros(BUCKETS, np.int64), np.empty(0, np.int64), np.empty(0))
+    if not grams:
+        return nothing
+    share = SMOOTHING * grams
+    scores = np.log((target[:BUCKETS] + share) / (raw[:BUCKETS] * (grams / all_grams) + share))
+    share = WORD_SMOOTHING * documents
+    ratio = F.log((F.col("target") + share) / (F.col("raw") * (documents / all_documents) + share))
+    bad = counted.where("word").select("place", ratio.alias("ratio")).where(F.col("ratio") < least) \
+        .orderBy("place").toArrow()
+    return Ratios(np.rint(scores * ONE).astype(np.int64), bad["place"].to_numpy(), bad["ratio"].to_numpy())
 
 
 def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
@@ -122,38 +178,44 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
 _NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def judged(rows: DataFrame, scores: np.ndarray, least: float = LEAST_SCORE) -> DataFrame:
+def judged(rows: DataFrame, found: Ratios, least: float = LEAST_SCORE) -> DataFrame:
     """``rows``, which have a text, with the verdict's columns; the text itself is left out."""
     carried = [f for f in rows.schema.fields if f.name != "text"]
     schema = StructType([*carried, *(StructField(name, LongType()) for name in _NAMES),
-                         StructField("base_failed", BooleanType()),
-                         StructField("score", DoubleType()), StructField("kept", BooleanType())])
+                         StructField("base_failed", BooleanType()), StructField("score", DoubleType()),
+                         StructField("worst_word", DoubleType()), StructField("kept", BooleanType())])
 
     def judge_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             held = texts(batch).to_pylist()
             lengths = np.array([len(t) for t in held], np.int64)
             counts = np.array([base_counts(t) for t in held], np.int64).T
-            upto = np.append(0.0, np.cumsum(scores[gram_buckets(b"".join(held))]))
+            upto = np.append(0, np.cumsum(found.buckets[gram_buckets(b"".join(held))]))
             first = np.cumsum(lengths) - lengths
             n = np.maximum(lengths - GRAM + 1, 0)
-            score = (upto[first + n] - upto[first]) / np.maximum(n, 1)
+            score = (upto[first + n] - upto[first]) / np.maximum(n, 1) / ONE
+            worst = np.zeros(len(held))
+            if len(found.words):
+                doc, word = words_by_document(held)
+                at = np.minimum(np.searchsorted(found.words, word), len(found.words) - 1)
+                bad = found.words[at] == word
+                np.minimum.at(worst, doc[bad], found.worst[at[bad]])
             failed = (counts[0] < LEAST_WORDS) | (100 * counts[4] > MOST_REPEATED * counts[0])
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in carried]
             yield pa.RecordBatch.from_arrays(
-                [*columns, *(pa.array(c) for c in counts), pa.array(failed), pa.array(score),
-                 pa.array(~failed & (score >= least))],
-                [*(f.name for f in carried), *_NAMES, "base_failed", "score", "kept"])
+                [*columns, *(pa.array(c) for c in counts), pa.array(failed), pa.array(score), pa.array(worst),
+                 pa.array(~failed & (score >= least) & (worst == 0))],
+                [*(f.name for f in carried), *_NAMES, "base_failed", "score", "worst_word", "kept"])
 
     return rows.mapInArrow(judge_, schema)
 
 
 def judge(docs: DataFrame, labels: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
-    """doc_id, the counts, base_failed, score and kept for every document."""
-    return judged(docs.select("doc_id", "text"), bucket_scores(docs, labels), least)
+    """doc_id, the counts, base_failed, score, worst_word (0 if no word is bad) and kept of every document."""
+    return judged(docs.select("doc_id", "text"), ratios(docs, labels), least)
 
 
 def kept(docs: DataFrame, labels: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
     rows = docs.select(F.struct("*").alias("row"), "text")
-    return judged(rows, bucket_scores(docs, labels), least).where("kept").select("row.*")
+    return judged(rows, ratios(docs, labels), least).where("kept").select("row.*")
