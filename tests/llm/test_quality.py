@@ -23,22 +23,24 @@ def test_base_counts(text):
     assert quality.base_counts(text.encode()) == plain.base(text)
 
 
-def _score(rows, labels, text):
-    """The mean log-likelihood ratio by plain counting."""
-    def grams(t):
-        b = (t or "").encode()
-        return [int(quality.gram_buckets(b)[i]) for i in range(len(b) - 3)]
+def _grams(text):
+    data = (text or "").encode()
+    return quality.gram_buckets(data)[:max(len(data) - 3, 0)].tolist()
+
+
+def _scores(rows, labels):
+    """Each text's mean log-likelihood ratio by plain counting."""
     good = {d for d in {x[0] for x in labels} if d is not None
             and all(q == 1 and t == 0 for i, q, t in labels if i == d)}
     raw, target = Counter(), Counter()
     for d, t in rows:
-        raw.update(grams(t))
+        raw.update(_grams(t))
         if d in good:
-            target.update(grams(t))
+            target.update(_grams(t))
     share = sum(target.values()) / sum(raw.values())
-    mine = grams(text)
     a = quality.SMOOTHING * sum(target.values())
-    return sum(math.log((target[g] + a) / (raw[g] * share + a)) for g in mine) / max(len(mine), 1)
+    ratio = {g: math.log((target[g] + a) / (raw[g] * share + a)) for g in raw}
+    return [round(sum(ratio[g] for g in _grams(t)) / max(len(_grams(t)), 1), 9) for _, t in rows]
 
 
 def test_scores_and_counts_by_plain_loops(spark):
@@ -49,7 +51,7 @@ def test_scores_and_counts_by_plain_loops(spark):
     out = quality.judge(docs, told).collect()
     two = [r[:2] for r in rows]
     assert len(out) == len(rows)
-    wanted = plain.by_text([(d, *plain.base(t), round(_score(two, labels, t), 9)) for d, t in two])
+    wanted = plain.by_text([(d, *plain.base(t), score) for (d, t), score in zip(two, _scores(two, labels))])
     assert plain.by_text([(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines,
                            r.n_repeat_words, round(r.score, 9)) for r in out]) == wanted
     for r in out:

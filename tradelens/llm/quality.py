@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from tradelens.llm.text import bounded_batches, slices, texts
+from tradelens.llm.tokens import KEPT_WORDS, looked_up
 from tradelens.session import materialise
 
 GRAM, BUCKETS = 4, 1 << 16
@@ -73,15 +74,49 @@ class Ratios(NamedTuple):
 LETTERS = re.compile(rb"[a-z\x80-\xff]+")
 
 
-def words_by_document(held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(document, hash) of every distinct word of each text, in lower case."""
-    import xxhash
-    found = [LETTERS.findall(text.lower()) for text in held]
-    doc = np.repeat(np.arange(len(held)), [len(words) for words in found])
-    coded = pa.array(chain.from_iterable(found), pa.binary()).dictionary_encode()
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-    each = np.unique(doc * max(len(hashes), 1) + coded.indices.to_numpy())
-    return each // max(len(hashes), 1), hashes.view(np.int64)[each % max(len(hashes), 1)]
+class Words:
+    """Numbers of words, in lower case, and their hashes; a task begins anew when it knows too many."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+        self.hashes: list[int] = []
+
+    def _learn(self, new: list[bytes]) -> None:
+        import xxhash
+        self.hashes += [xxhash.xxh64_intdigest(w) for w in new]
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+
+    def full(self) -> bool:
+        return len(self.known) > KEPT_WORDS
+
+    def hash(self) -> np.ndarray:
+        return np.array(self.hashes, np.uint64).view(np.int64)
+
+    def of(self, held: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(document, number) of every word of each text."""
+        found = [LETTERS.findall(text.lower()) for text in held]
+        doc = np.repeat(np.arange(len(held)), [len(words) for words in found])
+        return doc, looked_up(self.known, list(chain.from_iterable(found)), self._learn)
+
+
+class Documents:
+    """How many documents have each word, all and trusted ones."""
+
+    def __init__(self):
+        self.words = Words()
+        self.raw, self.target = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, held: list[bytes], good: np.ndarray) -> None:
+        doc, number = self.words.of(held)
+        size = len(self.words.known)
+        once = np.unique(doc * size + number) if size else number
+        doc, number = once // max(size, 1), once % max(size, 1)
+        more = np.zeros(size - len(self.raw), np.int64)
+        self.raw = np.append(self.raw, more) + np.bincount(number, minlength=size)
+        self.target = np.append(self.target, more) + np.bincount(number[good[doc]], minlength=size)
+
+    def counted(self) -> pa.RecordBatch:
+        return _counted(self.words.hash(), True, self.target, self.raw)
 
 
 def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> list[int]:
@@ -109,6 +144,7 @@ def _counts(trusted: np.ndarray):
     """n-grams by bucket, and documents by word; the bucket after the last one counts documents."""
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
+        documents = Documents()
         for batch in slices(batches):
             good = _is_trusted(batch, trusted)
             held = texts(batch).to_pylist()
@@ -122,10 +158,11 @@ def _counts(trusted: np.ndarray):
             target += np.bincount(buckets[whole & np.repeat(good, lengths)], minlength=BUCKETS + 1)
             raw[BUCKETS] += len(held)
             target[BUCKETS] += good.sum()
-            doc, word = words_by_document(held)
-            distinct, at = np.unique(word, return_inverse=True)
-            yield _counted(distinct, True, np.bincount(at[good[doc]], minlength=len(distinct)),
-                           np.bincount(at, minlength=len(distinct)))
+            documents.add(held, good)
+            if documents.words.full():
+                yield documents.counted()
+                documents = Documents()
+        yield documents.counted()
         seen = np.flatnonzero(raw)
         yield _counted(seen, False, target[seen], raw[seen])
     return count
@@ -186,6 +223,7 @@ def judged(rows: DataFrame, found: Ratios, least: float = LEAST_SCORE) -> DataFr
                          StructField("worst_word", DoubleType()), StructField("kept", BooleanType())])
 
     def judge_(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words()
         for batch in slices(batches):
             held = texts(batch).to_pylist()
             lengths = np.array([len(t) for t in held], np.int64)
@@ -196,10 +234,13 @@ def judged(rows: DataFrame, found: Ratios, least: float = LEAST_SCORE) -> DataFr
             score = (upto[first + n] - upto[first]) / np.maximum(n, 1) / ONE
             worst = np.zeros(len(held))
             if len(found.words):
-                doc, word = words_by_document(held)
-                at = np.minimum(np.searchsorted(found.words, word), len(found.words) - 1)
-                bad = found.words[at] == word
-                np.minimum.at(worst, doc[bad], found.worst[at[bad]])
+                known = Words() if known.full() else known
+                doc, number = known.of(held)
+                hashes = known.hash()
+                at = np.minimum(np.searchsorted(found.words, hashes), len(found.words) - 1)
+                bad = np.where(found.words[at] == hashes, found.worst[at], 0.0)[number] if len(number) else worst
+                hit = np.flatnonzero(bad)
+                np.minimum.at(worst, doc[hit], bad[hit])
             failed = (counts[0] < LEAST_WORDS) | (100 * counts[4] > MOST_REPEATED * counts[0])
             columns = [batch.column(batch.schema.get_field_index(f.name)) for f in carried]
             yield pa.RecordBatch.from_arrays(
