@@ -11,7 +11,7 @@ import __spark_entry__ as driver
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = {name: query for name, query in driver.queries().items() if name in driver.ANALYSES}
 
-# Tests with a p-value end in a Python function on one row; pairs are counted in Python.
+# Tests with a p-value end in a Python function on one row.
 PYTHON = {"segment_ttest", "discount_ttest", "pearson_test"}
 
 
@@ -24,7 +24,20 @@ def test_no_cross_join_and_no_stray_python(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert ("ArrowEvalPython" in text) == (name in PYTHON)
-    assert "BatchEvalPython" not in text
+    assert "BatchEvalPython" not in text and "InArrow" not in text and "InPandas" not in text
+
+
+def scans(text: str) -> int:
+    """File scans of the plan without adaptive changes."""
+    return len(re.findall(r"FileScan ", text.split("== Initial Plan ==")[-1]))
+
+
+@pytest.mark.parametrize("name, most", [("constraint_report", 8), ("rfm_quantile", 6), ("rfm_report", 7),
+                                        ("rfm_customers_as_written", 6), ("order_value_histogram", 1),
+                                        ("order_value_box_by_segment", 1), ("clv_regression", 10)])
+def test_tables_are_not_read_again_and_again(spark, name, most):
+    """What is written on the way counts too; passes that ended while the plan was built do not."""
+    assert scans(plan(QUERIES[name](spark, FOLDER))) <= most
 
 
 @pytest.mark.parametrize("name", ["revenue_by_category", "monthly_revenue", "top_customers",
