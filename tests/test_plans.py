@@ -88,3 +88,14 @@ def test_lines_are_shuffled_no_more_than_needed(spark, name, most):
         assert lines_shuffled(plan(QUERIES[name](spark, FOLDER))) <= most
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_cube_takes_a_customer_through_all_sets_in_one_task(spark, monkeypatch):
+    """What is multiplied by the sets is not shuffled again by customer, and tasks follow the rows."""
+    monkeypatch.setattr("tradelens.session.GROUPED_ROWS", 1000)
+    orders = driver.StarTables(spark, FOLDER).row_count("orders")
+    text = plan(QUERIES["slicer_cube"](spark, FOLDER))
+    above = text.split("Generate")[0]
+    assert "Expand" not in text and above.count("Exchange") == 1 and "customer_id" not in \
+        re.search(r"Exchange hashpartitioning\(([^)]*)\)", above)[1]
+    assert re.search(rf"hashpartitioning\(customer_id#\d+L, {-(-orders * 32 // 1000)}\)", text)

@@ -17,6 +17,7 @@ from tradelens.functions.labels import year_month
 from tradelens.functions.numeric import money, percent, ratio, total
 from tradelens.plans.common import CANCELLED, DELIVERED, RETURNED, delivered, order_count
 from tradelens.plans.overview import category_performance
+from tradelens.session import grouped_width
 from tradelens.sources.tables import Tables
 
 
@@ -201,7 +202,9 @@ def slicer_cube(tables: Tables) -> DataFrame:
     slicer is open and its column NULL. Slice the tables by dates or categories first for those.
 
     Orders are summed per customer and combination before they are grouped by all the sets, so that
-    customers are counted without a distinct and a customer with very many orders is a few rows.
+    customers are counted without a distinct and a customer with very many orders is a few rows. These
+    rows are dealt by customer, a bounded number to a task, and each task takes them through all the
+    sets by itself: only the sums of its combinations leave it.
     """
     people = tables.customers("customer_id", "segment")
     orders = tables.orders("customer_id", "order_date", "status", "channel", "state", "total_amount") \
@@ -209,10 +212,13 @@ def slicer_cube(tables: Tables) -> DataFrame:
     each = orders.groupBy(*SLICED_BY, "customer_id").agg(
         order_count().alias("orders"), _delivered_amount().alias("revenue"),
         F.count_if(F.col("status") == DELIVERED).alias("delivered"))
-    sets = [[c for i, c in enumerate(SLICED_BY) if not mask >> (len(SLICED_BY) - 1 - i) & 1]
-            for mask in range(1 << len(SLICED_BY))]
-    per_customer = each.groupingSets([[*s, "customer_id"] for s in sets], *SLICED_BY, "customer_id").agg(
-        F.shiftright(F.grouping_id(*SLICED_BY, "customer_id"), 1).alias("open"),
+    sets = 1 << len(SLICED_BY)
+    width = grouped_width(each.sparkSession, tables.row_count("orders"), sets)
+    opened = each.repartition(width, "customer_id") \
+        .withColumn("open", F.explode(F.array(*[F.lit(mask).cast("bigint") for mask in range(sets)])))
+    for i, c in enumerate(reversed(SLICED_BY)):
+        opened = opened.withColumn(c, F.when(F.col("open").bitwiseAND(1 << i) == 0, F.col(c)))
+    per_customer = opened.groupBy("customer_id", "open", *SLICED_BY).agg(
         F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"),
         F.sum("delivered").alias("delivered"))
     return per_customer.groupBy("open", *SLICED_BY).agg(

@@ -43,6 +43,7 @@ _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _USUAL = "tradelens.shuffle.usualWidth"
 BYTES_PER_PARTITION = 256 * 1024 * 1024
 FEW_ROWS, MANY_ROWS = 100_000, 20_000_000  # rows a range should have at least, at most
+GROUPED_ROWS = 500_000  # rows of a task that holds a group for nearly each of them
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -58,6 +59,14 @@ def range_width(spark: SparkSession, rows: int | None = None) -> int:
     return max(min(width, -(-rows // FEW_ROWS)), -(-rows // MANY_ROWS), 1)
 
 
+def grouped_width(spark: SparkSession, rows: int, copies: int = 1) -> int:
+    """Partitions for ``rows`` rows, each taken ``copies`` times, that a task groups in memory.
+
+    Small columns shrink to few bytes in a shuffle, so partitions merged by bytes hold ever more rows.
+    """
+    return max(min(shuffle_width(spark), -(-rows // FEW_ROWS)), -(-rows * copies // GROUPED_ROWS), 1)
+
+
 def widen_shuffles(spark: SparkSession, input_bytes: int) -> None:
     """Start shuffles wide enough for the input, never narrower than the session had it at first.
 
