@@ -99,3 +99,11 @@ def test_cube_takes_a_customer_through_all_sets_in_one_task(spark, monkeypatch):
     assert "Expand" not in text and above.count("Exchange") == 1 and "customer_id" not in \
         re.search(r"Exchange hashpartitioning\(([^)]*)\)", above)[1]
     assert re.search(rf"hashpartitioning\(customer_id#\d+L, {-(-orders * 32 // 1000)}\)", text)
+
+
+@pytest.mark.parametrize("name", ["product_return_rate", "category_return_rate"])
+def test_return_rates_deal_a_bounded_number_of_lines(spark, monkeypatch, name):
+    monkeypatch.setattr("tradelens.session.GROUPED_ROWS", 1000)
+    lines = driver.StarTables(spark, FOLDER).row_count("order_items")
+    assert re.search(rf"hashpartitioning\(order_id#\d+L, {-(-lines // 1000)}\), REPARTITION_BY_NUM",
+                     plan(QUERIES[name](spark, FOLDER)))

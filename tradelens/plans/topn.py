@@ -12,6 +12,7 @@ from tradelens.plans.common import (
 from tradelens.plans.overview import (
     category_margin, channel_summary, return_rate, state_analysis, state_sales,
 )
+from tradelens.session import grouped_width
 from tradelens.sources.tables import Tables
 
 
@@ -47,13 +48,16 @@ def top_customers(tables: Tables, limit: int = 10) -> DataFrame:
 def _with_returns(lines: DataFrame, tables: Tables) -> DataFrame:
     """Distinct rows of ``lines`` in delivered and returned orders, with the order's returns.
 
-    Dealt by order once: that serves the distinct rows as well as the join with the orders.
+    Dealt by order once, a bounded number of lines to a task: that serves the distinct rows as well as
+    the join with the orders.
     """
     per_order = tables.returns("order_id", "return_id").groupBy("order_id") \
         .agg(F.count("return_id").alias("returns"))
     orders = orders_in(tables, FULFILLED, "order_id").join(per_order, "order_id", "left") \
         .na.fill(0, ["returns"])
-    return lines.repartition("order_id").distinct().join(orders, "order_id")
+    width = grouped_width(lines.sparkSession, tables.row_count("order_items"))
+    return lines.repartition(width, "order_id").distinct() \
+        .join(orders.repartition(width, "order_id"), "order_id")
 
 
 def product_return_rate(tables: Tables, min_orders: int = 5, limit: int = 10) -> DataFrame:
