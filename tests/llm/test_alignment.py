@@ -130,3 +130,30 @@ def test_products_of_sparse_matrices(monkeypatch):
         assert (dense(x @ y) == a @ b).all()
         assert (dense(x.transposed()) == a.T).all()
         assert (x.times(np.arange(n)) == a @ np.arange(n)).all()
+
+
+def test_matrices_come_back_from_their_steps():
+    rng = np.random.default_rng(3)
+    for height, width, count in ((0, 0, 0), (3, 5, 0), (1, 1, 1), (7, 300, 60), (50, 4, 90)):
+        made = sparse.CSR.of(rng.integers(0, max(height, 1), count), rng.integers(0, max(width, 1), count),
+                             (height, width))
+        steps = alignment._unpacked(alignment._packed(alignment._steps(made)))
+        found = alignment._stepped(*steps, width)
+        assert all((x == y).all() for x, y in zip(made[:3], found[:3])) and found.width == width
+
+
+def test_columns_take_little_room_as_steps():
+    """A slice's matrices are the largest rows that are shuffled."""
+    rng = np.random.default_rng(4)
+    matrix = sparse.CSR.of(np.repeat(np.arange(200), 300), rng.integers(0, 30_000, 60_000), (200, 30_000))
+    plain_ = alignment._packed([matrix.ptr, matrix.col, matrix.val])
+    assert len(alignment._packed(alignment._steps(matrix))) < 0.75 * len(plain_)
+
+
+def test_a_worker_lets_go_of_what_it_holds():
+    from tradelens.llm import tokens
+    first = tokens.per_worker("test", [b"file"], lambda: object())
+    assert tokens.per_worker("test", [b"file"], lambda: object()) is first
+    tokens.forget_worker()
+    assert tokens.per_worker("test", [b"file"], lambda: object()) is not first
+    tokens.forget_worker()

@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 from tradelens.llm.sparse import CSR
 from tradelens.llm.text import bounded_batches, slices, texts
 from tradelens.llm.tokens import (
-    KEPT, KEPT_CHARS, byte_characters, looked_up, merges, per_worker, spread, vocabulary_bytes,
+    KEPT, KEPT_CHARS, byte_characters, forget_worker, looked_up, merges, per_worker, spread,
+    vocabulary_bytes,
 )
 from tradelens.session import materialise
 
@@ -294,6 +295,21 @@ def _unpacked(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def _steps(matrix: CSR) -> list[np.ndarray]:
+    """Entries of each row, columns as steps from the one before in the row, values: small numbers."""
+    size, step = np.diff(matrix.ptr), np.diff(matrix.col, prepend=0)
+    first = matrix.ptr[:-1][size > 0]
+    step[first] = matrix.col[first]
+    return [size, step, matrix.val]
+
+
+def _stepped(size: np.ndarray, step: np.ndarray, val: np.ndarray, width: int) -> CSR:
+    """The matrix whose ``_steps`` these are."""
+    ptr = np.append(0, np.cumsum(size))
+    upto = np.append(0, np.cumsum(step))
+    return CSR(ptr, upto[1:] - np.repeat(upto[ptr[:-1]], size), val, width)
+
+
 def _summary(known: Known, raw: list[bytes]) -> dict:
     """The matrices and figures of a slice."""
     numbers = known.documents(raw)
@@ -308,7 +324,7 @@ def _summary(known: Known, raw: list[bytes]) -> dict:
     return {
         "groups_sha256": digests, "pairs": pairs,
         "docs": np.bincount((docs @ links).col, minlength=len(pairs)),
-        "matrices": _packed([docs.ptr, docs.col, docs.val, links.ptr, links.col, links.val]),
+        "matrices": _packed([*_steps(docs), *_steps(links)]),
     } | {name: docs.times(known.figures[every, k]) for k, name in enumerate(FIGURES)}
 
 
@@ -365,14 +381,15 @@ def aligned(docs: DataFrame, a_path: str | None = None, b_path: str | None = Non
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         """A slice's matrices times the counts of its pairs."""
+        forget_worker()  # what is known of pieces would only take memory here
         row = {n: left.column(n).combine_chunks().flatten() for n in ("doc_id", "groups_sha256", *FIGURES)}
-        d_ptr, d_col, d_val, s_ptr, s_col, s_val = _unpacked(left.column("matrices")[0].as_py())
+        held = _unpacked(left.column("matrices")[0].as_py())
         count, best = np.zeros(right.num_rows, np.int64), np.zeros(right.num_rows, np.int64)
         at = right.column("at").to_numpy()
         count[at] = right.column("docs").to_numpy()
         best[at] = right.column("best").to_numpy()
-        of_docs = CSR(d_ptr, d_col, d_val, len(s_ptr) - 1)
-        links = CSR(s_ptr, s_col, s_val, right.num_rows)
+        of_docs = _stepped(*held[:3], len(held[3]))
+        links = _stepped(*held[3:], right.num_rows)
         figures = {"n_best": of_docs.times(links.times(best)),
                    "count_sum": of_docs.times(links.times(count))}
         return pa.table({"doc_id": row["doc_id"]} | {n: row[n] for n in FIGURES}

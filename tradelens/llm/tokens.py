@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import os
 import re
@@ -50,6 +52,17 @@ def per_worker(name: str, files: list[bytes], make: Callable[[], object]):
     return shelf.held
 
 
+def forget_worker() -> None:
+    """Let go of what ``per_worker`` holds, in a stage that has no use for it, and of its memory."""
+    shelf = sys.modules.get("_tradelens_shelf")
+    if getattr(shelf, "held", None) is not None:
+        shelf.key = shelf.held = None
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps what is freed otherwise
+        if trim:
+            trim(0)
+
+
 def byte_characters() -> dict[str, int]:
     """The character that a byte-level vocabulary writes for each byte.
 
