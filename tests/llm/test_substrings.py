@@ -117,3 +117,16 @@ def test_runs_hold_every_window_once():
             anchors.setdefault(texts[d][p:p + 12], set()).add(int(anchor))
     assert sorted(windows) == [(d, p) for d, t in enumerate(texts) for p in range(len(t) - 11)]
     assert all(len(a) == 1 for a in anchors.values())
+
+
+@pytest.mark.parametrize("size", [60, 5000, (1 << 21) + 4000])
+def test_suffixes_are_sorted_in_every_size(size, monkeypatch):
+    """Numbers hold rank, next rank and place up to 2 MB; only longer texts need places sorted."""
+    rng = np.random.default_rng(size)
+    text = rng.integers(97, 99, size, np.uint8).tobytes()[:size // 2] * 2
+    starts = np.sort(rng.choice(len(text) - 50 + 1, min(len(text) - 49, 4000), replace=False))
+    sorts = []
+    monkeypatch.setattr(suffix.np, "argsort", lambda *a, f=np.argsort, **k: sorts.append(1) or f(*a, **k))
+    order = suffix.suffix_array(text, starts)
+    assert order.tolist() == sorted(starts.tolist(), key=lambda s: (text[s:s + 50], s))
+    assert bool(sorts) == (size > 1 << 21)
