@@ -134,3 +134,22 @@ def test_neighbours_are_alike(spark):
     keys = packing.keyed(made, packing._figures(made)).orderBy("key").collect()
     same = np.mean([a.doc_id % 6 == b.doc_id % 6 for a, b in zip(keys, keys[1:])])
     assert same > 0.6  # by chance one in six
+
+
+def test_many_pieces_go_to_the_tokenizer_together(encode):
+    """One call for a hundred pieces, each with the ids it has alone."""
+    from tradelens.llm.tokens import JOINED, Words
+    words = Words(vocabulary_bytes(None, packing.VOCABULARY))
+    rng = random.Random(12)
+    pieces = ["".join(rng.choice("abcéßÿñ") for _ in range(rng.randint(1, 9))) for _ in range(3 * JOINED + 7)]
+    pieces += ["!!", "'s", "7", "\0x² y", "%&", "zz", "\0 ", "ÿ"]
+    calls = []
+
+    class Counted:
+        def encode(self, text, held=words._bare, **more):
+            calls.append(text)
+            return held.encode(text, **more)
+
+    words._bare = Counted()
+    assert words._encode(pieces) == [encode(p.lstrip("\0"))[:-1] for p in pieces]
+    assert len(calls) == -(-(len(pieces) - 2) // JOINED)

@@ -10,14 +10,14 @@ import re
 import sys
 import types
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
 
 KEPT, KEPT_CHARS = 200_000, 8 << 20  # what a worker remembers from slice to slice
-KEPT_WORDS = 400_000  # of words, which take less room
+KEPT_WORDS = 800_000  # of words, which take less room
 
 
 def vocabulary_bytes(path: str | None, name: str) -> bytes:
@@ -135,6 +135,7 @@ LOWER_WORDS = {
 WORD = re.compile(r"[^ \t\n\r]+")
 # Of these characters it is known what normalising, lower case and the cut make of them.
 PLAIN = re.compile(r"[ \t\n\r!-~À-ÖØ-öø-ÿ]*")
+JOINED = 100  # pieces that the tokenizer gets in one call
 PART = re.compile(r"[a-zß-öø-ÿ]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^a-z0-9ß-öø-ÿ \t\n\r]+")
 WHOLE = "\0"  # marks a piece that the tokenizer itself must cut
 
@@ -152,17 +153,34 @@ class Words:
         self.size = self._known.get_vocab_size(with_added_tokens=True)
         file = json.loads(data)
         self._by_word = all(file[key] == value for key, value in LOWER_WORDS.items())
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self._bare = type(self._known)(self._known.model)
+        self._bare.pre_tokenizer = WhitespaceSplit()  # between the pieces of a call
         written = {b: c for c, b in byte_characters().items()}
         self._letters = {c: "".join(written[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
         self._memory = Memory(self._encode, KEPT_WORDS)
 
     def _encode(self, pieces: list[str]) -> list[list[int]]:
-        plain = [p if p.isascii() else p.translate(self._letters) for p in pieces if p[0] != WHOLE]
+        plain = [p for p in pieces if p[0] != WHOLE]
         other = [p[1:] for p in pieces if p[0] == WHOLE]
-        found = iter(self._bare.encode_batch_fast(plain, add_special_tokens=False))
+        found = self._merged(plain)
         rest = iter(self._known.encode_batch_fast(other, add_special_tokens=False))
-        return [next(rest if p[0] == WHOLE else found).ids for p in pieces]
+        return [next(rest).ids if p[0] == WHOLE else next(found) for p in pieces]
+
+    def _merged(self, plain: list[str]) -> Iterator[list[int]]:
+        """Ids of plain pieces, which hold no white space, also not as a byte-level vocabulary writes them."""
+        for first in range(0, len(plain), JOINED):
+            part = plain[first:first + JOINED]
+            text = " ".join(part)
+            found = self._bare.encode(text if text.isascii() else text.translate(self._letters),
+                                      add_special_tokens=False)
+            ids, of = found.ids, found.word_ids
+            end = 0
+            for number in range(len(part)):
+                begin = end
+                while end < len(of) and of[end] == number:
+                    end += 1
+                yield ids[begin:end]
 
     def _cut(self, text: str) -> list[str]:
         if not self._by_word:
