@@ -178,3 +178,33 @@ def test_windows_come_in_every_reading(monkeypatch):
             if (text.slots[i:i + 8] == 0).sum() - len(names) >= 5:
                 wanted.add((i, int(decontaminate.rolled(codes, 8)[0])))
     assert sorted(zip(at.tolist(), hashes.tolist())) == sorted(wanted)
+
+
+def test_words_of_ascii_are_read_as_all_words_are(monkeypatch):
+    """The way without decoding gives what the other one gives."""
+    rng = random.Random(6)
+    raw = ["".join(rng.choice("aZ09.,:/!?-_'(\x01") for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    raw += ["1st", "2ND", "3.5kg", "Kilograms,", "__", "-a", "KM", "9,", "(Anna)", "ok.", "x:", "\x1f"]
+
+    class Seen(bytes):
+        def isascii(self):
+            return False
+
+    def codes(kind):
+        words = decontaminate.Words()
+        return [words[kind(w.encode())] for w in raw]
+
+    fast = codes(bytes)
+    calls = []
+    monkeypatch.setattr(decontaminate.Words, "_of_ascii", lambda self, w: calls.append(w))
+    assert codes(Seen) == fast and not calls
+
+
+def test_only_windows_that_may_be_known_are_searched():
+    table = decontaminate.Table([(1, QUESTION.encode())], 8, 5)
+    places, known = table.items[0].all_windows(8, 5)
+    import numpy as np
+    others = np.arange(1, 100_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert table.begun[others >> table.unseen].mean() < 0.2
+    row, at = table.hits(np.arange(len(known) + len(others)), np.concatenate([known, others]))
+    assert set(at.tolist()) == set(range(len(known))) and (table.hashes[row] == known[at]).all()

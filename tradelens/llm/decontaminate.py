@@ -36,7 +36,7 @@ from tradelens.llm.text import WORD, bounded_batches, slices, texts
 
 WINDOW, LEAST_PLAIN, LEAST_RUN = 8, 5, 12
 BLOCK_WORDS = 2_000_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 READ_AT_ONCE = 1 << 14  # windows whose readings are held together
 
 # Units of measure that become placeholders.
@@ -50,6 +50,8 @@ euro euros percent degree degrees meter meters metre metres kilometer kilometers
 _OUTER = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"[0-9][0-9.,:/]*(?:st|nd|rd|th)?")
 _STOPS = (".", "!", "?", ":")
+_ASCII_OUTER = bytes(c for c in range(128) if not chr(c).isalnum())
+_UNITS = frozenset(u.encode() for u in UNITS)
 NUMBER, UNIT, NAME = 1, 2, 3
 _SLOT_HASH = {kind: np.uint64(0xA24BAED4963EE407 * kind % (1 << 64)) for kind in (NUMBER, UNIT, NAME)}
 
@@ -64,6 +66,8 @@ class Words(dict):
     def __missing__(self, raw: bytes) -> int:
         if len(self) >= CACHED_WORDS:
             self.clear()
+        if raw.isascii():
+            return self._of_ascii(raw)
         text = raw.decode()
         word = _OUTER.sub("", text)
         flags = 0
@@ -81,6 +85,23 @@ class Words(dict):
         self[raw] = code
         return code
 
+    def _of_ascii(self, raw: bytes) -> int:
+        """The same without decoding and, for all but numbers, without patterns."""
+        word = raw.strip(_ASCII_OUTER)
+        low = word.lower()
+        if not word:
+            flags = 16
+        elif low in _UNITS:
+            flags = UNIT
+        elif 48 <= word[0] <= 57:
+            flags = NUMBER if _NUMBER.fullmatch(word.decode()) else 0
+        else:
+            flags = 4 if 65 <= word[0] <= 90 else 0
+        if raw[-1] in b".!?:":
+            flags |= 8
+        self[raw] = code = xxhash.xxh3_64_intdigest(low) & ~31 | flags
+        return code
+
 
 class Template:
     """A text's canonical words: ``codes`` (hashes), ``slots`` (placeholder types, 0 for plain words),
@@ -201,9 +222,14 @@ class Table:
         self.hashes = joined[order]
         self.of = np.concatenate(of)[order] if of else np.zeros(0, np.int64)
         self.at = np.concatenate(at)[order] if at else np.zeros(0, np.int64)
+        self.unseen = np.uint64(64 - min(len(joined).bit_length() + 4, 24))
+        self.begun = np.zeros(1 << 64 - int(self.unseen), bool)  # highest bits of some hash
+        self.begun[joined >> self.unseen] = True
 
     def hits(self, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the table with one of ``hashes``, and the place in ``at`` of each."""
+        maybe = np.flatnonzero(self.begun[hashes >> self.unseen])
+        at, hashes = at[maybe], hashes[maybe]
         low = np.searchsorted(self.hashes, hashes)
         hit = np.flatnonzero(self.hashes[np.minimum(low, max(len(self.hashes) - 1, 0))] == hashes) \
             if len(self.hashes) else np.zeros(0, np.int64)
