@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -130,3 +131,73 @@ def test_suffixes_are_sorted_in_every_size(size, monkeypatch):
     order = suffix.suffix_array(text, starts)
     assert order.tolist() == sorted(starts.tolist(), key=lambda s: (text[s:s + 50], s))
     assert bool(sorts) == (size > 1 << 21)
+
+
+def test_only_recurring_windows_are_sorted(monkeypatch):
+    """A piece's windows that no other piece has need no suffix array."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, 400, np.uint8).tobytes() for _ in range(200)]
+    texts[150] = texts[150][:100] + texts[3][200:280] + texts[150][180:]
+    sorted_bytes = []
+    build = suffix._Array.__init__
+    monkeypatch.setattr(suffix._Array, "__init__",
+                        lambda self, pieces, *a: sorted_bytes.append(sum(map(len, pieces))) or build(self, pieces, *a))
+    found = [tuple(row) for row in suffix.kernel(50)(_pieces(texts))]
+    assert found == [(150, 0, 100, 180)]
+    assert sum(sorted_bytes) == 2 * 80
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.binary(min_size=20, max_size=90).map(lambda b: bytes(c % 3 for c in b)),
+                min_size=1, max_size=6))
+def test_every_repeated_window_recurs(pieces):
+    width = 20
+    places = {}
+    for i, text in enumerate(pieces):
+        for p in range(len(text) - width + 1):
+            places.setdefault(text[p:p + width], []).append((i, p))
+    of, start, stop = suffix.recurring(pieces, width)
+    found = [(i, p) for i, a, b in zip(of, start, stop) for p in range(a, b - width + 1)]
+    assert sorted(found) == sorted(p for each in places.values() if len(each) > 1 for p in each)
+
+
+@pytest.mark.parametrize("width", [8, 20, 33, 50])
+def test_equal_bytes_have_equal_hashes_wherever_they_start(width):
+    rng = np.random.default_rng(width)
+    same = rng.integers(0, 256, 60, np.uint8).tobytes()
+    stretch = repeats._STRETCH
+    at = [0, 700, stretch - 30, 2 * stretch - 1, 3 * stretch, 3 * stretch + 5000]
+    text = bytearray(rng.integers(0, 256, at[-1] + width, np.uint8).tobytes())
+    for place in at:
+        text[place:place + width] = same[:width]
+    hashes = repeats.byte_hashes(bytes(text), width)
+    assert len(hashes) == len(text)
+    assert len(set(hashes[at].tolist())) == 1
+    assert len(set(hashes.tolist())) == len(text) - len(at) + 1
+
+
+def test_spans_of_a_batch_are_merged_text_by_text():
+    span = pa.list_(pa.struct([("tag", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]))
+    rows = [[(1, 0, 9)], None, [(1, 30, 60), (2, 0, 99), (1, 0, 10), (1, 10, 20), (1, 40, 50)], [],
+            [(7, 0, 5)], [(1, 5, 6), (1, 1, 2)]]
+    named = [r and [dict(zip(("tag", "start", "stop"), s)) for s in r] for r in rows]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1] * 6, pa.int32()), pa.array(named, span)], ["tag", "spans"])
+    wanted = [[(0, 9)], [], [(0, 20), (30, 60)], [], [], [(1, 2), (5, 6)]]
+    assert repeats.merged(batch) == wanted
+    assert repeats.merged(batch.slice(2)) == wanted[2:]
+    assert repeats.merged(batch.slice(1, 1)) == [[]]
+
+
+@pytest.mark.parametrize("same_document", [False, True])
+def test_equal_pieces_of_a_slice_are_settled_there(same_document):
+    unit = repeats.Unit(5, 3, same_document=same_document)
+    pieces = [b"a", b"b", b"a", b"c", b"b", b"a"]
+    sent, full, weight, known = repeats._settle(unit, pieces, np.array([4, 2, 9, 1, 2, 4]), np.arange(6))
+    if same_document:
+        assert (sent.tolist(), full.tolist(), weight.tolist()) == ([0, 1, 3], [True] * 3, [2, 2, 1])
+        assert known.tolist() == [0, 1, 2, 4, 5]
+    else:
+        assert sent.tolist() == [0, 5, 1, 4, 3]
+        assert full.tolist() == [True, False, True, False, True]
+        assert (weight.tolist(), known.tolist()) == ([1] * 5, [2])

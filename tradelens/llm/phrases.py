@@ -95,12 +95,11 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataF
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids, totals, removed, digests = [], [], [], []
-            rest = batch.select(["k", "tag", "spans"]).to_pylist()
-            for text, row in zip(texts(batch).to_pylist(), rest):
+            keys = batch.column(batch.schema.get_field_index("k")).to_pylist()
+            for key, text, spans in zip(keys, texts(batch).to_pylist(), repeats.merged(batch)):
                 words = text.split()
-                spans = repeats.merged(row["spans"], row["tag"])
                 left = [w for part in repeats.kept(words, spans) for w in part]
-                ids.append(None if row["k"] == repeats.NO_ID else row["k"])
+                ids.append(None if key == repeats.NO_ID else key)
                 totals.append(len(words))
                 removed.append(len(words) - len(left))
                 digests.append(hashlib.sha256(b" ".join(left)).hexdigest())

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from tradelens.llm.text import bounded_batches, shards_for, slices, texts
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _HALF = np.uint64(32)
 _CODE_BITS = np.uint64(40)
+_STRETCH = 1 << 14  # places hashed at a time: their numbers stay in a core's cache
 NO_ID = (1 << 63) - 1  # stands for a null doc_id: larger than every other
 
 
@@ -48,8 +50,8 @@ class Unit:
     def symbols(self, text: bytes) -> bytes | list[bytes]:
         return text.split() if self.words else text
 
-    def join(self, symbols: bytes | list[bytes]) -> bytes:
-        return b" ".join(symbols) if self.words else bytes(symbols)
+    def joined(self, symbols: list[bytes] | list[list[bytes]]) -> list[bytes]:
+        return [b" ".join(words) for words in symbols] if self.words else symbols
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,6 +60,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _mix_here(x: np.ndarray, spare: np.ndarray) -> None:
+    """``mix`` in place; ``spare`` is as long and loses what it holds."""
+    x *= _ODD
+    np.right_shift(x, _HALF, out=spare)
+    x ^= spare
+
+
 def rolled(h: np.ndarray, gram: int) -> np.ndarray:
     """Hashes of ``gram`` symbols in a row, from those of single symbols; runs out at the end."""
     reach = 1
@@ -85,26 +94,42 @@ def _gram_hashes(unit: Unit, symbols: list[bytes | list[bytes]]) -> np.ndarray:
     if unit.words:
         flat = [w for words in symbols for w in words]
         h = mix(np.fromiter(map(zlib.crc32, flat), np.uint64, len(flat)) + np.uint64(1))
-    else:
-        joined = b"".join(symbols)
-        n = len(joined)
-        eights = eight_bytes(joined, "<u8")[:n]
-        h = mix(eights)
-        for o in range(8, unit.gram, 8):  # a last step that overlaps reaches grams of any length
-            o = min(o, unit.gram - 8)
-            h[:n - o] += eights[o:]
-            h = mix(h)
-        return h
-    return rolled(h, unit.gram)
+        return rolled(h, unit.gram)
+    return byte_hashes(b"".join(symbols), unit.gram)
+
+
+def byte_hashes(text: bytes, width: int) -> np.ndarray:
+    """The hash of the ``width`` bytes (8 or more) from each place on; zeros follow the text."""
+    out = np.empty(len(text), np.uint64)
+    for a in range(0, len(text), _STRETCH):
+        wanted = out[a:a + _STRETCH]
+        part = text[a:a + len(wanted) + width].ljust(len(wanted) + width, b"\0")
+        h = eight_bytes(part, "<u8").astype(np.uint64, copy=False)
+        spare = np.empty_like(h)
+        _mix_here(h, spare)
+        reach = 8
+        while reach < width:  # a last step that overlaps reaches any width
+            step = min(reach, width - reach)
+            np.multiply(h[:-step], _ODD, out=spare[:-step])
+            spare[:-step] += h[step:]
+            h, spare = spare, h
+            _mix_here(h, spare)
+            reach += step
+        wanted[:] = h[:len(wanted)]
+    return out
 
 
 def _sliding_min(h: np.ndarray, span: int) -> np.ndarray:
-    reach = 1
-    while reach < span:
-        step = min(reach, span - reach)
-        h = np.minimum(h[:len(h) - step], h[step:])
-        reach += step
-    return h
+    out = np.empty(max(len(h) - span + 1, 0), h.dtype)
+    for a in range(0, len(out), _STRETCH):
+        part = h[a:a + _STRETCH + span - 1]
+        reach = 1
+        while reach < span:
+            step = min(reach, span - reach)
+            part = np.minimum(part[:len(part) - step], part[step:])
+            reach += step
+        out[a:a + _STRETCH] = part
+    return out
 
 
 @dataclass
@@ -124,19 +149,19 @@ def runs(unit: Unit, symbols: list[bytes | list[bytes]]) -> Runs:
     ends = np.cumsum(lengths)
     hashes = _gram_hashes(unit, symbols)
     least = _sliding_min(hashes, unit.width - unit.gram + 1)[:total - unit.width + 1]
-    doc = np.repeat(np.arange(len(symbols)), lengths)[:len(least)]
-    valid = np.arange(unit.width, unit.width + len(least)) <= ends[doc]
     turn = np.empty(len(least), bool)
-    turn[0] = True
-    turn[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (valid[1:] != valid[:-1])
+    np.not_equal(least[1:], least[:-1], out=turn[1:])
     if unit.same_document:  # a gram that comes twice in a row of windows makes two runs
         turn[1:] |= hashes[:len(least) - 1] == least[:-1]
+    begins = ends - lengths
+    for edge in (begins, (ends - unit.width + 1)[lengths >= unit.width]):
+        turn[edge[edge < len(least)]] = True  # no window reaches into the next text
     first = np.flatnonzero(turn)
     last = np.append(first[1:], len(least)) - 1
-    keep = valid[first]
-    first, last = first[keep], last[keep]
-    begin = (ends - lengths)[doc[first]]
-    return Runs(doc[first], first - begin, last - begin + unit.width, mix(least[first]))
+    doc = np.searchsorted(ends, first, "right")
+    keep = first + unit.width <= ends[doc]
+    doc, first, last = doc[keep], first[keep], last[keep]
+    return Runs(doc, first - begins[doc], last - begins[doc] + unit.width, mix(least[first]))
 
 
 def codes(anchors: np.ndarray, shards: int) -> np.ndarray:
@@ -202,20 +227,26 @@ def _send_anchors(unit: Unit, shards: int) -> Callable:
             found = runs(unit, [unit.symbols(t) for t in texts(batch).to_pylist()])
             if not len(found.doc):
                 continue
-            code, key = codes(found.anchor, shards), keys[found.doc]
+            code = codes(found.anchor, shards)
             order = np.argsort(code)
-            code, key = code[order], key[order]
+            code = code[order]
             new = np.append(True, code[1:] != code[:-1])
             again = np.flatnonzero(~(new & np.append(new[1:], True)))  # anchors found twice or more
-            key[again] = key[again][np.lexsort((key[again], code[again]))]
+            ids, rank = np.unique(keys, return_inverse=True)
+            rank = rank[found.doc[order]]
+            both = np.cumsum(new[again]) << 32 | rank[again]
+            both.sort()
+            rank[again] = both & ((1 << 32) - 1)
+            key = ids[rank]
             if not unit.same_document:  # one entry for each anchor and document
                 keep = new | np.append(True, key[1:] != key[:-1])
                 code, key, new = code[keep], key[keep], new[keep]
             first = np.flatnonzero(new)
             often = np.diff(np.append(first, len(code))) > 1
             known = np.repeat(often, np.diff(np.append(first, len(code))))
-            rows = [(s, False, pack(key[first][part]), pack_sorted(code[first][part]))
-                    for s, part in _by_shard(code[first])]
+            one_key, one_code = key[first], code[first]
+            rows = [(s, False, pack(one_key[part]), pack_sorted(one_code[part]))
+                    for s, part in _by_shard(one_code)]
             if known.any():  # settled here; any shard may pass them on
                 rows.append((int(code[0] % np.uint64(shards)), True, pack(key[known]),
                              pack_sorted(code[known])))
@@ -235,14 +266,14 @@ def _meet_anchors(unit: Unit) -> Callable:
         live_keys, live_codes = [key[known]], [code[known]]
         key, code = key[~known], code[~known]
         if len(code):
-            order = np.lexsort((key, code))
+            order = np.argsort(code)
             key, code = key[order], code[order]
             first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
             size = np.diff(np.append(first, len(code)))
             if unit.same_document:
                 live = size > 1
             else:
-                live = key[first] != key[first + size - 1]
+                live = np.minimum.reduceat(key, first) != np.maximum.reduceat(key, first)
             live = np.repeat(live, size)
             live_keys.append(key[live])
             live_codes.append(code[live])
@@ -282,10 +313,42 @@ def joined(spans: np.ndarray) -> np.ndarray:
     return np.stack([key[first], tag[first], start[first], far[last] - text[last]])
 
 
-def _piece_row(shard: int, known: bool, columns: np.ndarray, data: bytes) -> dict:
+def _piece_row(shard: int, known: bool, columns: Iterable[np.ndarray], data: bytes,
+               zstd: zstandard.ZstdCompressor) -> dict:
     """columns: key, tag, start, stop, weight, bytes in data."""
-    return {"shard": shard, "known": known, "data": zstandard.compress(data, 1)} | {
-        name: pack(np.ascontiguousarray(c)) for name, c in zip(_FIELDS, columns)}
+    return {"shard": shard, "known": known, "data": zstd.compress(data)} | {
+        name: pack(c) for name, c in zip(_FIELDS, columns)}
+
+
+def _settle(unit: Unit, pieces: list[bytes], keys: np.ndarray, maybe: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What a slice can say of its pieces that are equal; only those of ``maybe`` are compared.
+
+    Gives the places to send, those of one piece in a row, which of them come with the piece's data,
+    how many places each stands for (two for more), and the places that are known to repeat.
+    """
+    sent, leader = np.ones(len(pieces), bool), np.arange(len(pieces))
+    weight, known = np.ones(len(pieces), np.int64), np.zeros(len(pieces), bool)
+    same: dict[bytes, list[int]] = {}
+    for i in maybe.tolist():
+        same.setdefault(pieces[i], []).append(i)
+    for places in same.values():
+        if len(places) == 1:
+            continue
+        if unit.same_document:
+            known[places] = True
+            sent[places[1:]] = False
+            weight[places[0]] = 2
+        else:
+            key = keys[places]
+            least = key == key.min()
+            places = np.array(places)
+            known[places[~least]] = True
+            sent[places[~least]] = False
+            leader[places[least]] = places[least][0]
+    sent = np.flatnonzero(sent)
+    sent = sent[np.argsort(leader[sent], kind="stable")]
+    return sent, leader[sent] == sent, weight[sent], np.flatnonzero(known)
 
 
 def _send_pieces(unit: Unit, shards: int) -> Callable:
@@ -293,6 +356,7 @@ def _send_pieces(unit: Unit, shards: int) -> Callable:
                        + [(name, pa.binary()) for name in (*_FIELDS, "data")])
 
     def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zstd = zstandard.ZstdCompressor(level=1)
         for batch in slices(batches):
             symbols = [unit.symbols(t) for t in texts(batch).to_pylist()]
             found = runs(unit, symbols)
@@ -304,79 +368,90 @@ def _send_pieces(unit: Unit, shards: int) -> Callable:
             half = short(code)
             at = np.minimum(np.searchsorted(live, half), len(live) - 1)
             hit = np.flatnonzero(live[at] == half)
-            hit = hit[np.argsort(code[hit], kind="stable")]
-            keys = _keys(batch).tolist()
-            tags = batch.column(batch.schema.get_field_index("tag")).to_pylist()
-            known, rows = [], []
-            for shard, part in _by_shard(code[hit]):
-                same: dict[bytes, list[tuple]] = {}
-                mine = hit[part]
-                for d, a, b in zip(found.doc[mine].tolist(), found.start[mine].tolist(),
-                                   found.stop[mine].tolist()):
-                    same.setdefault(unit.join(symbols[d][a:b]), []).append((keys[d], tags[d], a, b))
-                entries, data = [], []
-                for piece, places in same.items():
-                    if len(places) == 1:
-                        sent, weight = places, 1
-                    elif unit.same_document:
-                        known += places
-                        sent, weight = places[:1], 2
-                    else:
-                        least = min(p[0] for p in places)
-                        known += [p for p in places if p[0] > least]
-                        sent, weight = [p for p in places if p[0] == least], 1
-                    entries += [(*p, weight, len(piece) if i == 0 else 0)
-                                for i, p in enumerate(sent)]
-                    data.append(piece)
-                rows.append(_piece_row(shard, False, np.array(entries, np.int64).T, b"".join(data)))
-            if known:  # settled here; any shard may pass them on
-                settled = joined(np.array(known, np.int64).T)
+            if not len(hit):
+                continue
+            hit = hit[np.argsort(code[hit])]
+            code, doc, start, stop = code[hit], found.doc[hit], found.start[hit], found.stop[hit]
+            pieces = unit.joined([symbols[d][a:b] for d, a, b in
+                                  zip(doc.tolist(), start.tolist(), stop.tolist())])
+            tags = batch.column(batch.schema.get_field_index("tag")).to_numpy()
+            places = np.stack([_keys(batch)[doc], tags.astype(np.int64)[doc], start, stop])
+            again = code[1:] == code[:-1]
+            maybe = np.flatnonzero(np.append(again, False) | np.append(False, again))
+            sent, full, weight, known = _settle(unit, pieces, places[0], maybe)
+            pieces = [pieces[i] for i in sent.tolist()]
+            lengths = np.where(full, np.fromiter(map(len, pieces), np.int64, len(pieces)), 0)
+            columns = np.vstack([places[:, sent], weight, lengths])
+            data = [p if f else b"" for p, f in zip(pieces, full.tolist())]
+            rows = [_piece_row(s, False, columns[:, part], b"".join(data[part]), zstd)
+                    for s, part in _by_shard(code[sent])]
+            if len(known):  # settled here; any shard may pass them on
+                settled = joined(places[:, known])
                 settled = np.vstack([settled, np.zeros((2, settled.shape[1]), np.int64)])
-                rows.append(_piece_row(int(found.anchor[0] % np.uint64(shards)), True, settled, b""))
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema)
+                rows.append(_piece_row(int(found.anchor[0] % np.uint64(shards)), True, settled, b"", zstd))
+            yield pa.RecordBatch.from_pylist(rows, schema)
     return send
 
 
+class Places:
+    """The places of pieces, as rows key, tag, start, stop; goes through them piece by piece."""
+
+    def __init__(self, rows: np.ndarray, sizes: np.ndarray):
+        self.rows, self.sizes = rows, sizes  # sizes: how many places each piece has
+
+    @classmethod
+    def of(cls, places: Places | list[list[tuple[int, int, int, int]]]) -> Places:
+        if isinstance(places, cls):
+            return places
+        return cls(np.array([p for each in places for p in each], np.int64),
+                   np.array([len(each) for each in places], np.int64))
+
+    def __iter__(self) -> Iterator[list[list[int]]]:
+        rows, ends = self.rows.tolist(), np.cumsum(self.sizes).tolist()
+        return (rows[a:b] for a, b in zip([0, *ends], ends))
+
+
 @dataclass
 class Pieces:
     """What a shard has to compare: the distinct pieces, and for each the places it was sent from."""
 
     texts: list[bytes]
-    places: list[list[tuple[int, int, int, int]]]  # key, tag, start, stop
+    places: Places | list[list[tuple[int, int, int, int]]]  # key, tag, start, stop
     weights: list[int]  # how many places it has, two standing for more
 
 
 def _received(group: pa.Table) -> tuple[Pieces, list[np.ndarray]]:
     number: dict[bytes, int] = {}
-    pieces, known = Pieces([], [], []), []
+    zstd = zstandard.ZstdDecompressor()
+    of, places, known = [], [], []
     for row in group.to_pylist():
-        fields = [unpack(row[name]).astype(np.int64) for name in _FIELDS]
+        fields = np.stack([unpack(row[name]).astype(np.int64) for name in _FIELDS])
         if row["known"]:
-            known.append(np.stack(fields[:4]))
+            known.append(fields[:4])
             continue
-        key, tag, start, stop, weight, length = (f.tolist() for f in fields)
-        data, at, i = zstandard.decompress(row["data"]), 0, 0
-        for place in zip(key, tag, start, stop, weight, length):
-            if place[5]:  # else one more place of the same piece
-                piece = data[at:at + place[5]]
-                at += place[5]
-                i = number.setdefault(piece, len(pieces.texts))
-                if i == len(pieces.texts):
-                    pieces.texts.append(piece)
-                    pieces.places.append([])
-                    pieces.weights.append(0)
-            pieces.places[i].append(place[:4])
-            pieces.weights[i] += place[4]
-    return pieces, known
+        data, full = zstd.decompress(row["data"]), fields[5] > 0
+        ends = np.cumsum(fields[5][full]).tolist()
+        mine = np.array([number.setdefault(data[a:b], len(number)) for a, b in zip([0, *ends], ends)],
+                        np.int64)
+        of.append(mine[np.cumsum(full) - 1])  # the others are more places of the piece before
+        places.append(fields[:5])
+    if not of:
+        return Pieces([], [], []), known
+    piece, rows = np.concatenate(of), np.hstack(places)
+    sizes = np.bincount(piece)
+    weights = np.bincount(piece, rows[4]).astype(np.int64).tolist()
+    rows = np.ascontiguousarray(rows[:4, np.argsort(piece, kind="stable")].T)
+    return Pieces(list(number), Places(rows, sizes), weights), known
 
 
 def _meet_pieces(kernel: Callable[[Pieces], Iterator[tuple[int, int, int, int]]]) -> Callable:
     def meet(group: pa.Table) -> pa.Table:
         pieces, spans = _received(group)
         if pieces.texts:
-            found = np.array(list(kernel(pieces)), np.int64)
-            spans.append(found.reshape(-1, 4).T)
+            found = kernel(pieces)
+            if not isinstance(found, np.ndarray):
+                found = np.array(list(found), np.int64).reshape(-1, 4)
+            spans.append(found.T)
         both = np.hstack(spans) if spans else np.zeros((4, 0), np.int64)
         key, tag, start, stop = joined(both) if both.shape[1] else both
         return pa.table({"k": pa.array(key, pa.int64()), "tag": pa.array(tag, pa.int32()),
@@ -399,15 +474,18 @@ def repeated_spans(rows: DataFrame, unit: Unit,
 
 # --- back to the texts
 
-def merged(spans: list[dict] | None, tag: int) -> list[tuple[int, int]]:
-    """Maximal runs of a text's spans, in order."""
-    out: list[list[int]] = []
-    for start, stop in sorted((s["start"], s["stop"]) for s in spans or () if s["tag"] == tag):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], stop)
-        else:
-            out.append([start, stop])
-    return [(a, b) for a, b in out]
+def merged(batch: pa.RecordBatch) -> list[list[tuple[int, int]]]:
+    """For each text, by the columns tag and spans, the maximal runs of its spans, in order."""
+    spans, tags = (batch.column(batch.schema.get_field_index(name)) for name in ("spans", "tag"))
+    text = np.repeat(np.arange(len(spans)), pc.list_value_length(spans).fill_null(0).to_numpy())
+    tag, start, stop = (field.to_numpy().astype(np.int64) for field in spans.flatten().flatten())
+    out: list[list[tuple[int, int]]] = [[] for _ in range(len(spans))]
+    mine = np.stack([text, tag, start, stop])[:, tag == tags.to_numpy()[text]]
+    if mine.shape[1]:
+        text, _, start, stop = joined(mine).tolist()
+        for i, a, b in zip(text, start, stop):
+            out[i].append((a, b))
+    return out
 
 
 def kept(symbols: bytes | list[bytes], spans: list[tuple[int, int]]) -> list:

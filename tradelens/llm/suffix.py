@@ -1,10 +1,11 @@
 """Substring dedup by suffix arrays.
 
 Bytes covered by a string of ``WIDTH`` bytes that also starts in a document of smaller doc_id are
-repeats. Pieces that can repeat (see ``repeats``) meet in shards. Each shard's pieces get suffix
-arrays of bounded size: the suffixes are sorted by their first bytes and refined as Larsson and
-Sadakane do, by the ranks of the suffixes that begin where the compared bytes end, only groups
-of equal suffixes being sorted again. Common prefixes come from Kasai's rule, a suffix starting with
+repeats. Pieces that can repeat (see ``repeats``) meet in shards. Of a shard's different pieces the
+stretches whose windows recur there, by their hashes, get suffix arrays of bounded size; a window
+found once needs none, its piece's smallest document is its own. The suffixes are sorted by their
+first bytes and refined as Larsson and Sadakane do, by the ranks of the suffixes that begin where
+the compared bytes end, only groups of equal suffixes being sorted again. Common prefixes come from Kasai's rule, a suffix starting with
 what its left neighbour in the text had less one. Strings that several arrays of a shard hold are
 merged by binary search in sorted order.
 
@@ -200,37 +201,76 @@ def _merge(arrays: list[_Array]) -> None:
         array.least = least[np.searchsorted(strings, array.strings())]
 
 
-def kernel(width: int = WIDTH, array_bytes: int = ARRAY_BYTES):
-    """Compares a shard's pieces; yields the spans that a document of smaller id has too."""
+def recurring(pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Piece, start and stop of the stretches whose every window may be in another place too.
+
+    Windows are told apart by hashes here; equal ones have equal hashes, so none is lost, and a
+    chance hit costs a window that the arrays find to be alone.
+    """
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    windows = lengths - width + 1
+    first = np.cumsum(windows) - windows
+    starts = np.arange(windows.sum()) + np.repeat(np.cumsum(lengths) - lengths - first, windows)
+    key = repeats.byte_hashes(b"".join(pieces), width)[starts]
+    bits = np.uint64(len(starts).bit_length())
+    key = key >> bits << bits | np.arange(len(starts), dtype=np.uint64)
+    key.sort()
+    equal = (key[1:] ^ key[:-1]) >> bits == 0
+    window = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    again = np.zeros(len(starts), bool)
+    again[window[1:][equal]] = True
+    again[window[:-1][equal]] = True
+    turn = np.diff(again, prepend=False)
+    turn[first] = True
+    edge = np.flatnonzero(turn)
+    last = np.append(edge[1:], len(starts)) - 1
+    edge, last = edge[again[edge]], last[again[edge]]
+    of = np.searchsorted(first, edge, "right") - 1
+    return of, edge - first[of], last - first[of] + width
+
 
-    def compare(pieces: repeats.Pieces) -> Iterator[tuple[int, int, int, int]]:
+def kernel(width: int = WIDTH, array_bytes: int = ARRAY_BYTES):
+    """Compares a shard's pieces; gives the spans that a document of smaller id has too."""
+
+    def compare(pieces: repeats.Pieces) -> np.ndarray:
+        given = repeats.Places.of(pieces.places)
+        places, sizes = given.rows, given.sizes
+        piece = np.repeat(np.arange(len(sizes)), sizes)  # of each place
+        least = np.minimum.reduceat(places[:, 0], np.cumsum(sizes) - sizes)
+        least_here = least[piece] == places[:, 0]
+        found = [places[~least_here]]  # the same piece is in a smaller document
+
+        of, start, stop = recurring(pieces.texts, width)
+        stretches = [pieces.texts[i][x:y] for i, x, y in zip(of.tolist(), start.tolist(), stop.tolist())]
         arrays, cuts = [], [0]
         held = 0
-        for i, piece in enumerate(pieces.texts):
-            if held and held + len(piece) > array_bytes:
+        for i, stretch in enumerate(stretches):
+            if held and held + len(stretch) > array_bytes:
                 cuts.append(i)
                 held = 0
-            held += len(piece)
-        cuts.append(len(pieces.texts))
-        least = np.array([min(p[0] for p in places) for places in pieces.places], np.int64)
-        for a, b in zip(cuts, cuts[1:]):
-            arrays.append(_Array(pieces.texts[a:b], least[a:b], width))
-        _merge(arrays)
+            held += len(stretch)
+        cuts.append(len(stretches))
+        if stretches:
+            arrays = [_Array(stretches[a:b], least[of[a:b]], width) for a, b in zip(cuts, cuts[1:])]
+            _merge(arrays)
+        places, piece = places[least_here], piece[least_here]
         for array, a, b in zip(arrays, cuts, cuts[1:]):
-            seen = array.least[array.group]  # by window: the smallest document that has it
-            low = np.minimum.reduceat(seen, array.first)
-            high = np.maximum.reduceat(seen, array.first)
-            for j, (lo, hi, at, n) in enumerate(zip(low.tolist(), high.tolist(),
-                                                    array.first.tolist(),
-                                                    array.windows.tolist())):
-                for key, tag, start, stop in pieces.places[a + j]:
-                    if hi < key:
-                        yield key, tag, start, stop
-                    elif lo < key:
-                        edge = np.flatnonzero(np.diff(np.concatenate(
-                            ([False], seen[at:at + n] < key, [False]))))
-                        for x, y in zip(edge[::2].tolist(), edge[1::2].tolist()):
-                            yield key, tag, start + x, start + y - 1 + width
+            stretch = np.repeat(np.arange(a, b), array.windows)
+            smaller = array.least[array.group] < least[of[stretch]]  # by window: another document has it
+            edge = np.flatnonzero(np.diff(smaller, prepend=False, append=False)
+                                  | np.append(np.diff(stretch, prepend=-1) != 0, True))
+            first, last = edge[:-1], edge[1:] - 1
+            first, last = first[smaller[first]], last[smaller[first]]
+            offset = start[stretch[first]] - array.first[stretch[first] - a]
+            begin, end = first + offset, last + offset + width
+            low = np.searchsorted(piece, of[stretch[first]])
+            times = np.searchsorted(piece, of[stretch[first]], "right") - low
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            rows = places[np.repeat(low, times) + nth]
+            rows[:, 3] = rows[:, 2] + np.repeat(end, times)
+            rows[:, 2] += np.repeat(begin, times)
+            found.append(rows)
+        return np.concatenate(found)
     return compare
 
 
@@ -245,13 +285,12 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataF
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            rest = batch.select(["k", "tag", "spans"]).to_pylist()
-            for text, row in zip(texts(batch).to_pylist(), rest):
-                spans = repeats.merged(row["spans"], row["tag"])
+            keys = batch.column(batch.schema.get_field_index("k")).to_pylist()
+            for key, text, spans in zip(keys, texts(batch).to_pylist(), repeats.merged(batch)):
                 digest = hashlib.sha256()
                 for part in repeats.kept(text, spans):
                     digest.update(part)
-                out.append((None if row["k"] == repeats.NO_ID else row["k"], len(text),
+                out.append((None if key == repeats.NO_ID else key, len(text),
                             sum(b - a for a, b in spans), len(spans), digest.hexdigest()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, pa.int64()) for x in list(zip(*out))[:4]]
@@ -289,9 +328,8 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out = []
-            rest = batch.select(["tag", "spans"]).to_pylist()
-            for text, row in zip(texts(batch).to_pylist(), rest):
-                spans = _whole_characters(text, repeats.merged(row["spans"], row["tag"]))
+            for text, spans in zip(texts(batch).to_pylist(), repeats.merged(batch)):
+                spans = _whole_characters(text, spans)
                 out.append(b"".join(repeats.kept(text, spans)).decode())
             rows_ = batch.column(batch.schema.get_field_index("row"))
             yield pa.RecordBatch.from_arrays([rows_, pa.array(out, pa.string())], ["row", "cut"])
