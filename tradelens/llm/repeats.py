@@ -50,8 +50,8 @@ class Unit:
     def symbols(self, text: bytes) -> bytes | list[bytes]:
         return text.split() if self.words else text
 
-    def joined(self, symbols: list[bytes] | list[list[bytes]]) -> list[bytes]:
-        return [b" ".join(words) for words in symbols] if self.words else symbols
+    def joined(self, symbols: Iterable[bytes | list[bytes]]) -> list[bytes]:
+        return [b" ".join(words) for words in symbols] if self.words else list(symbols)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -372,8 +372,8 @@ def _send_pieces(unit: Unit, shards: int) -> Callable:
                 continue
             hit = hit[np.argsort(code[hit])]
             code, doc, start, stop = code[hit], found.doc[hit], found.start[hit], found.stop[hit]
-            pieces = unit.joined([symbols[d][a:b] for d, a, b in
-                                  zip(doc.tolist(), start.tolist(), stop.tolist())])
+            pieces = unit.joined(symbols[d][a:b] for d, a, b in
+                                 zip(doc.tolist(), start.tolist(), stop.tolist()))
             tags = batch.column(batch.schema.get_field_index("tag")).to_numpy()
             places = np.stack([_keys(batch)[doc], tags.astype(np.int64)[doc], start, stop])
             again = code[1:] == code[:-1]
@@ -407,8 +407,8 @@ class Places:
                    np.array([len(each) for each in places], np.int64))
 
     def __iter__(self) -> Iterator[list[list[int]]]:
-        rows, ends = self.rows.tolist(), np.cumsum(self.sizes).tolist()
-        return (rows[a:b] for a, b in zip([0, *ends], ends))
+        ends = np.cumsum(self.sizes).tolist()
+        return (self.rows[a:b].tolist() for a, b in zip([0, *ends], ends))
 
 
 @dataclass
